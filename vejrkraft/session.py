@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,10 +54,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder, so that lost executors never replay its inputs."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def staged(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back.
+
+    For results that are read several times: later passes scan only the columns they need, and lost
+    executors never replay the inputs.
+    """
+    folder = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/staged-{uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def parallelism(spark: SparkSession) -> int:
