@@ -5,6 +5,9 @@ that holds most rows. Here the total order (keys first, then the order columns)
 ranges of about equal row count. Each range is solved on its own, and one small row per range
 carries the state over to the next one. Split points come from a sample of the *order key*, so
 that a hot key or a hot hour is cut as well; no row is dropped.
+
+The input is read four times (row count, sample, state per range, result), the first two with the
+order columns only. Give it as a table, or as ``session.staged(df)`` where it is costly to compute.
 """
 
 from __future__ import annotations

@@ -10,19 +10,18 @@ from pyspark.sql import functions as F
 
 from vejrkraft.operators.cleaning import numeric_columns
 from vejrkraft.operators.ordering import running_total
+from vejrkraft.session import staged
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
-# A correlation is undefined where the spread is rounding noise of the values themselves.
-_RELATIVE_ZERO = 1e-14
-
 
 def _pearson(a: str, b: str) -> Column:
     x, y = F.col(a).cast("double"), F.col(b).cast("double")
-    both = x.isNotNull() & y.isNotNull()
-    x, y = F.when(both, x), F.when(both, y)
+    if a == b:
+        return F.when(F.stddev_pop(x) > 0, F.lit(1.0))
+    # The built-in correlation fails on a column that does not vary; its moments are exactly 0.
+    x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
     spread = F.stddev_pop(x) * F.stddev_pop(y)
-    size = F.sqrt(F.avg(x * x)) * F.sqrt(F.avg(y * y))
-    return F.when(spread > size * _RELATIVE_ZERO, F.covar_pop(x, y) / spread)
+    return F.when(spread > 0, F.covar_pop(x, y) / spread)
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -50,11 +49,12 @@ def box_stats(
 
     Quartiles interpolate linearly. Whiskers are the most extreme values within ``whisker``
     inter-quartile ranges of the box. The values are counted per distinct value and ranked with a
-    range-wise running total, so no task has to hold a column.
+    range-wise running total, so no task has to hold a column. The counts are staged: ranking, totals
+    and fences all read them.
     """
     cols = list(cols or numeric_columns(df))
     cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols]
-    counts = (
+    counts = staged(
         df.select(F.inline(F.array(*cells)))
         .where(F.col("value").isNotNull())
         .groupBy("column", "value")
