@@ -2,12 +2,12 @@
 
 A window without ``partitionBy`` runs in one task, and a window per key does the same for a key
 that holds most rows. Here the total order (keys first, then the order columns) is cut into
-ranges of about equal row count. Each range is solved on its own, and one small row per range
-carries the state over to the next one. Split points come from a sample of the *order key*, so
-that a hot key or a hot hour is cut as well; no row is dropped.
+ranges of about equal row count by Spark's own range partitioning. Each range is solved on its own,
+and one small row per range carries the state over to the next one. The cut looks at all order
+columns, so a hot key or a hot hour is cut as well; no row is dropped.
 
-The input is read four times (row count, sample, state per range, result), the first two with the
-order columns only. Give it as a table, or as ``session.staged(df)`` where it is costly to compute.
+The ranges are staged as a table: the number of its range is then a fixed property of each row, and
+the input is computed once, however often the ranges are read.
 """
 
 from __future__ import annotations
@@ -17,12 +17,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vejrkraft.session import parallelism
+from vejrkraft.session import parallelism, staged
 
 _BUCKET = "_bucket"
-_SPLITS = "_splits"
-_SAMPLE_PER_BUCKET = 64
-_HASH_SPACE = 1 << 31
 
 Order = Sequence[str | Column]
 
@@ -43,41 +40,11 @@ def nulls_last(order: Order) -> list[Column]:
     return [c.asc_nulls_last() for c in _columns(order)]
 
 
-def _split_points(df: DataFrame, order: Order, buckets: int) -> Column:
-    """Scalar subquery: an array of ``buckets - 1`` order keys that cut ``df`` about evenly.
-
-    The sample is chosen by a hash of the key, so it is the same on every evaluation, and its
-    size depends on the number of buckets only. Equal keys are kept once.
-    """
-    total = df.agg(F.greatest(F.count(F.lit(1)), F.lit(1))).scalar()
-    share = F.least(F.lit(1.0), F.lit(float(_SAMPLE_PER_BUCKET * buckets)) / total)
-    sample = df.select(order_key(order).alias("k")).where(
-        F.pmod(F.xxhash64("k"), F.lit(_HASH_SPACE)) < F.lit(float(_HASH_SPACE)) * share
-    )
-    cut = F.transform(
-        F.sequence(F.lit(1), F.lit(buckets - 1)),
-        lambda i: F.get("keys", F.floor(i * F.size("keys") / buckets).cast("int")),
-    )
-    return sample.agg(F.array_sort(F.collect_set("k")).alias("keys")).select(cut).scalar()
-
-
 def with_ranges(df: DataFrame, order: Order, buckets: int | None = None) -> DataFrame:
-    """Add ``_bucket``: the number of the range of the total order the row falls in."""
+    """Staged copy of ``df`` with ``_bucket``: the range of the total order the row falls in."""
     buckets = max(2, buckets or parallelism(df.sparkSession))
-    key = order_key(order)
-    top = (buckets - 1).bit_length() - 1
-    steps = F.array(*[F.lit(1 << b) for b in range(top, -1, -1)])
-    # Binary search: how many split points are <= key.
-    position = F.aggregate(
-        steps,
-        F.lit(0),
-        lambda at, step: F.when(F.get(_SPLITS, at + step - 1) <= key, at + step).otherwise(at),
-    )
-    return (
-        df.withColumn(_SPLITS, _split_points(df, order, buckets))
-        .withColumn(_BUCKET, position)
-        .drop(_SPLITS)
-    )
+    ranged = df.repartitionByRange(buckets, *nulls_last(order))
+    return staged(ranged.withColumn(_BUCKET, F.spark_partition_id()))
 
 
 def _carry(solved: DataFrame, by: Sequence[str], order: Order, state: dict[str, Column]) -> DataFrame:

@@ -19,7 +19,6 @@ from vejrkraft.operators.cleaning import (
 )
 from vejrkraft.operators.nearest import nearest_point
 from vejrkraft.operators.ordering import ffill, nulls_last
-from vejrkraft.session import staged
 
 KEYS = ["datetime", "area", "municipality_code"]
 CONSUMPTION_LABELS = ["TimeDK", "Municipality", "RegionName", "area"]
@@ -140,14 +139,14 @@ def energy_panel(
     ]
     order = [*KEYS, *ties]
     if fill == "global":
-        filled = ffill(staged(outer_align(frames, KEYS)), order, buckets=buckets)
+        filled = ffill(outer_align(frames, KEYS), order, buckets=buckets)
     elif fill == "keyed":
         aligned = outer_align(frames[1:], KEYS)
         hourly = frames[0].drop("municipality_code")
         clash = [c for c in hourly.columns if c in aligned.columns and c not in KEYS]
         hourly = hourly.withColumnsRenamed({c: f"{c}_price" for c in clash})
         joined = aligned.join(hourly, ["datetime", "area"], "left")
-        joined = staged(fill_with_zero(joined, [sunshine]))
+        joined = fill_with_zero(joined, [sunshine])
         measures = [c for c in joined.columns if c not in (*KEYS, *ties)]
         filled = ffill(joined, order, by=fill_by, cols=measures, buckets=buckets)
     else:

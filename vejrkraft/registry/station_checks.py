@@ -20,7 +20,6 @@ from vejrkraft.registry.tables import (
     observations_sql,
     table,
 )
-from vejrkraft.session import staged
 
 _ISO = "'%Y-%m-%dT%H:%M:%SZ'"
 _SPAN = profiles._ARRIVAL_SPAN
@@ -333,11 +332,10 @@ def sorted_profile(spark: SparkSession, folder: str) -> DataFrame:
     joined = profile.select("station_id", "parameter_count", station.alias("user")).join(
         latest.select(F.col("station_id").alias("user"), "country"), "user", "left"
     )
-    # Each numbering reads its input several times, hence the stages.
-    out = row_index(staged(joined), ["station_id"], out="by_station")
-    out = row_index(staged(out), ["country", "station_id"], out="by_country")
+    out = row_index(joined, ["station_id"], out="by_station")
+    out = row_index(out, ["country", "station_id"], out="by_country")
     by_coverage = ["country", -F.col("parameter_count"), "station_id"]
-    out = row_index(staged(out), by_coverage, out="by_coverage")
+    out = row_index(out, by_coverage, out="by_coverage")
     return out.select("station_id", "by_station", "by_country", "by_coverage")
 
 
