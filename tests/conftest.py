@@ -5,6 +5,10 @@ import pytest
 
 from vejrkraft.session import build_session
 
+# Executors import the package and the stand-in services from here.
+_HERE = os.path.dirname(os.path.abspath(__file__))
+_PATHS = [os.path.dirname(_HERE), _HERE, os.environ.get("PYTHONPATH", "")]
+os.environ["PYTHONPATH"] = os.pathsep.join(p for p in _PATHS if p)
 os.environ.setdefault("PYSPARK_PYTHON", "python")
 
 
