@@ -47,6 +47,15 @@ def with_ranges(df: DataFrame, order: Order, buckets: int | None = None) -> Data
     return staged(ranged.withColumn(_BUCKET, F.spark_partition_id()))
 
 
+def _ordered_ranges(
+    df: DataFrame, by: Sequence[str], order: Order, buckets: int | None
+) -> tuple[DataFrame, list[str]]:
+    """Ranges of ``df`` with the order as columns of its own, readable while others are filled."""
+    ranged = df if _BUCKET in df.columns else with_ranges(df, [*by, *order], buckets)
+    named = {f"_o{i}": c for i, c in enumerate(_columns(order))}
+    return ranged.withColumns(named), list(named)
+
+
 def _carry(solved: DataFrame, by: Sequence[str], order: Order, state: dict[str, Column]) -> DataFrame:
     """State that enters each range: at most one row per range.
 
@@ -88,19 +97,17 @@ def ffill(
     """
     by = list(by)
     cols = [c for c in (cols or df.columns) if c not in by]
-    # The order stays readable while its own columns are being filled.
-    ords = {f"_o{i}": c for i, c in enumerate(_columns(order))}
-    ranged = with_ranges(df.withColumns(ords), [*by, *ords], buckets)
+    ranged, ords = _ordered_ranges(df, by, order, buckets)
     here = (
         Window.partitionBy(_BUCKET, *by)
-        .orderBy(*nulls_last(list(ords)))
+        .orderBy(*nulls_last(ords))
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     solved = ranged.select(
         *[c for c in ranged.columns if c not in cols],
         *[F.last(c, ignorenulls=True).over(here).alias(c) for c in cols],
     )
-    carry = _carry(solved, by, list(ords), {c: F.last(c, ignorenulls=True) for c in cols})
+    carry = _carry(solved, by, ords, {c: F.last(c, ignorenulls=True) for c in cols})
     joined = _join_carry(solved, carry, by)
     return joined.select(
         *[F.coalesce(c, f"_in_{c}").alias(c) if c in cols else F.col(c) for c in df.columns]
@@ -115,17 +122,19 @@ def running_total(
     out: str = "running",
     buckets: int | None = None,
 ) -> DataFrame:
-    """Running sum of ``value`` (null counts as 0) in ``order``, per ``by`` if given."""
+    """Running sum of ``value`` (null counts as 0) in ``order``, per ``by`` if given.
+
+    A table already cut by ``with_ranges`` in this order is used as it is.
+    """
     by = list(by)
-    ords = {f"_o{i}": c for i, c in enumerate(_columns(order))}
-    ranged = with_ranges(df.withColumns(ords), [*by, *ords], buckets)
+    ranged, ords = _ordered_ranges(df, by, order, buckets)
     here = (
         Window.partitionBy(_BUCKET, *by)
-        .orderBy(*nulls_last(list(ords)))
+        .orderBy(*nulls_last(ords))
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     solved = ranged.withColumn(out, F.sum(F.coalesce(F.col(value), F.lit(0))).over(here))
-    carry = _carry(solved, by, list(ords), {out: F.sum(out)})
+    carry = _carry(solved, by, ords, {out: F.sum(out)})
     joined = _join_carry(solved, carry, by)
     total = F.col(out) + F.coalesce(F.col(f"_in_{out}"), F.lit(0))
     return joined.select(*[c for c in df.columns if c != out], total.alias(out))

@@ -3,43 +3,50 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
+from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vejrkraft.operators.cleaning import numeric_columns
-from vejrkraft.operators.ordering import running_total
-from vejrkraft.session import staged
+from vejrkraft.operators.ordering import running_total, with_ranges
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
-def _pearson(a: str, b: str) -> Column:
-    x, y = F.col(a).cast("double"), F.col(b).cast("double")
-    if a == b:
-        return F.when(F.stddev_pop(x) > 0, F.lit(1.0))
-    # The built-in correlation fails on a column that does not vary; its moments are exactly 0.
-    x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
-    spread = F.stddev_pop(x) * F.stddev_pop(y)
-    return F.when(spread > 0, F.covar_pop(x, y) / spread)
-
 
 def corr_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of every pair of numeric columns, over the rows where both are known.
 
     Long form ``(col_a, col_b, r)``, both directions and the diagonal; null where a column does not
-    vary. One pass, partially aggregated; no shuffle beyond one row per task.
+    vary. One scan: each row is dealt to the pairs and added up before the shuffle, so the
+    aggregation code stays small however many columns there are.
     """
     cols = list(cols or numeric_columns(df))
-    pairs = [(a, a) for a in cols] + list(combinations(cols, 2))
-    stats = df.agg(*[_pearson(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    cells = []
-    for i, (a, b) in enumerate(pairs):
-        for left, right in {(a, b), (b, a)}:
-            cells.append(
-                F.struct(F.lit(left).alias("col_a"), F.lit(right).alias("col_b"), F.col(f"r{i}").alias("r"))
-            )
-    return stats.select(F.inline(F.array(*cells)))
+    pairs = list(combinations_with_replacement(cols, 2))
+    dealt = [
+        F.struct(F.lit(i).alias("pair"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
+        for i, (a, b) in enumerate(pairs)
+    ]
+    x, y = F.col("x"), F.col("y")
+    # The built-in correlation fails on a column that does not vary; its deviation is exactly 0.
+    spread = F.stddev_pop(x) * F.stddev_pop(y)
+    r = F.when(spread > 0, F.covar_pop(x, y) / spread)
+    found = (
+        df.select(F.inline(F.array(*dealt)))
+        .where(x.isNotNull() & y.isNotNull())
+        .groupBy("pair")
+        .agg(r.alias("r"))
+    )
+    cells = [
+        F.struct(F.lit(i).alias("pair"), F.lit(left).alias("col_a"), F.lit(right).alias("col_b"))
+        for i, pair in enumerate(pairs)
+        for left, right in sorted({pair, pair[::-1]})
+    ]
+    names = df.sparkSession.range(1).select(F.inline(F.array(*cells)))
+    same = F.col("col_a") == F.col("col_b")
+    exact = F.when(same & F.col("r").isNotNull(), F.lit(1.0)).otherwise(F.col("r"))
+    # One row per pair of columns.
+    return names.join(F.broadcast(found), "pair", "left").select("col_a", "col_b", exact.alias("r"))
 
 
 def box_stats(
@@ -49,17 +56,18 @@ def box_stats(
 
     Quartiles interpolate linearly. Whiskers are the most extreme values within ``whisker``
     inter-quartile ranges of the box. The values are counted per distinct value and ranked with a
-    range-wise running total, so no task has to hold a column. The counts are staged: ranking, totals
-    and fences all read them.
+    range-wise running total, so no task has to hold a column. The counts are staged in ranges:
+    ranking, totals and fences all read them.
     """
     cols = list(cols or numeric_columns(df))
     cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols]
-    counts = staged(
+    counts = (
         df.select(F.inline(F.array(*cells)))
         .where(F.col("value").isNotNull())
         .groupBy("column", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    counts = with_ranges(counts, ["column", "value"])
     ranked = running_total(counts, "n", ["value"], by=["column"], out="upto")
     # One row per column of the table: always small.
     totals = counts.groupBy("column").agg(F.sum("n").alias("total"))
