@@ -31,7 +31,8 @@ def json_array_pieces(
     the first and last position per key are aggregated, so a document may be of any size: no task
     holds more than one record.
     """
-    place = F.struct(*order)
+    # A single number is compared in place; several columns need a struct.
+    place = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     ends = df.groupBy(*keys).agg(F.min(place).alias("_first"), F.max(place).alias("_last"))
     ends = ends.withColumnsRenamed({k: f"_e_{k}" for k in keys})
     match = F.lit(True)

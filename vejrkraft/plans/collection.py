@@ -9,8 +9,12 @@ from vejrkraft import fixed_values as fv
 from vejrkraft.functions.times import iso_time
 from vejrkraft.operators import profiles
 from vejrkraft.operators.cleaning import clean_observations
+from vejrkraft.operators.grids import month_calendar, month_coverage
 from vejrkraft.operators.ordering import nulls_last
+from vejrkraft.operators.summaries import observation_summary
+from vejrkraft.sinks.files import write_by_month, write_by_year
 from vejrkraft.sources import pages
+from vejrkraft.sources.pages import read_record_pages
 from vejrkraft.sources.stations import station_dimension
 
 
@@ -37,6 +41,26 @@ def collect_observations(obs: DataFrame, stations: DataFrame, parameter: str) ->
     )
 
 
+def collect_year(
+    obs: DataFrame, parameter: str, folder: str, overwrite: bool = False
+) -> DataFrame | None:
+    """Write the collected observations by year; their summary, or None if there was nothing."""
+    data = collect_observations(obs, stations_for(obs.sparkSession, parameter), parameter)
+    if not write_by_year(data, folder, overwrite=overwrite):
+        return None
+    return observation_summary(data, "timeObserved", parameter, "stationId")
+
+
+def collect_consumption(
+    spark: SparkSession, page_folder: str, folder: str, overwrite: bool = False
+) -> DataFrame | None:
+    """Write the consumption records by month; their coverage of the calendar, or None."""
+    records = read_record_pages(spark, page_folder).drop("ord")
+    if not write_by_month(records, folder, overwrite=overwrite):
+        return None
+    return month_coverage(records, F.col("TimeUTC").cast("timestamp"), month_calendar(spark))
+
+
 def profile_stations(spark: SparkSession, kind: str, page_folder: str, detail_folder: str) -> DataFrame:
     """Sorted station profile of one kind ('wind', 'precipitation', 'sunlight') from landed pages."""
     landed = pages.read_observation_pages(spark, page_folder)

@@ -11,6 +11,7 @@ from vejrkraft.operators import cleaning, profiles, summaries
 from vejrkraft.operators.grids import month_calendar, month_coverage, month_grid
 from vejrkraft.operators.locations import centroid, location_counts, location_rollup
 from vejrkraft.operators.ordering import row_index
+from vejrkraft.plans.reports import profile_summary, station_check
 from vejrkraft.registry.tables import (
     DETAILS_SQL,
     WEATHER,
@@ -20,6 +21,7 @@ from vejrkraft.registry.tables import (
     observations_sql,
     table,
 )
+from vejrkraft.session import staged
 
 _ISO = "'%Y-%m-%dT%H:%M:%SZ'"
 _SPAN = profiles._ARRIVAL_SPAN
@@ -482,8 +484,7 @@ MONTH_GRID_SQL = f"""with m as (
 
 def month_window_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Events of January 2024 by Danish wall-clock time."""
-    events = table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    rows = month_window(events, "ts", "2024-01-01", zone=fv.DANISH_ZONE)
+    rows = month_window(table(spark, folder, "events"), "ts", "2024-01-01", zone=fv.DANISH_ZONE)
     return rows.select("event_id", iso_text("ts").alias("ts"))
 
 
@@ -491,6 +492,65 @@ MONTH_WINDOW_SQL = f"""select event_id, strftime(ts, {_ISO}) as ts from events
     where ts >= timestamp '2023-12-31 23:00:00' and ts < timestamp '2024-01-31 23:00:00'"""
 
 
+def profile_report(spark: SparkSession, folder: str) -> DataFrame:
+    profile = staged(profiles.wind_profile(observations(spark, folder, WIND), details(spark, folder)))
+    return profile_summary(
+        profile,
+        "total_wind_observations",
+        "first_wind_date",
+        "last_wind_date",
+        {p: f"measures_{p}" for p in fv.WIND_PARAMETERS},
+        "max_wind_speed_recorded_ms",
+        "min_wind_speed_recorded_ms",
+    )
+
+
+PROFILE_REPORT_SQL = f"""with {observations_sql(WIND)},
+    {DETAILS_SQL},
+    p as (select station_id, count(*) as n, count(distinct parameter) as k,
+                 min(observed_from) as a, max(observed_from) as b,
+                 max(value) filter (contains(parameter, 'speed')) as hi,
+                 min(value) filter (contains(parameter, 'speed')) as lo from obs group by station_id),
+    e as (select p.*, case when d.station_id is not null then coalesce(d.name, 'Unknown') end as name,
+                 case when d.station_id is not null then coalesce(d.country, 'Unknown') end as country,
+                 case when d.station_id is not null then coalesce(d.status, 'Unknown') end as status
+          from p left join latest d using (station_id)),
+    top as (select station_id, n from e order by n desc, station_id limit 5),
+    hi as (select hi as v, coalesce(name, station_id) as place from e where hi is not null order by hi desc, station_id limit 1),
+    lo as (select lo as v, coalesce(name, station_id) as place from e where lo is not null order by lo, station_id limit 1)
+    select 'total' as section, 'stations' as item, format('{{:,}}', count(*)) as value from e
+    union all select 'total', 'observations', format('{{:,}}', sum(n)::bigint) from e
+    union all select 'status', status, format('{{:,}}', count(*)) from e where status is not null group by status
+    union all select 'country', country, format('{{:,}}', count(*)) from e where country is not null group by country
+    union all select 'coverage', parameter, format('{{:,}}', count(distinct station_id)) from obs group by parameter
+    union all select 'coverage', 'all parameters', format('{{:,}}', count(*) filter (k = 5)) from e
+    union all select 'range', 'dates', strftime(min(a), '%Y-%m-%d') || ' to ' || strftime(max(b), '%Y-%m-%d') from e
+    union all select 'top', station_id, format('{{:,}}', n) from top
+    union all select 'extreme', 'highest', printf('%.1f', floor(v * 10 + 0.5) / 10) || ' at ' || place from hi
+    union all select 'extreme', 'lowest', printf('%.1f', floor(v * 10 + 0.5) / 10) || ' at ' || place from lo"""
+
+
+def check_report(spark: SparkSession, folder: str) -> DataFrame:
+    obs = observations(spark, folder, WEATHER)
+    return station_check(obs, details(spark, folder), "observed_from", F.lit("2024-01-30").cast("date"))
+
+
+CHECK_REPORT_SQL = f"""with {observations_sql(WEATHER)},
+    {DETAILS_SQL},
+    r as (select count(distinct station_id) as s, count(*) as n from obs
+          where observed_from >= date '2024-01-30' - 30 and observed_from <= date '2024-01-30'),
+    u as (select count(distinct station_id) as n from obs)
+    select 'stations' as section, parameter as item, count(distinct station_id)::varchar as value
+    from obs group by parameter
+    union all select 'stations', 'together', n::varchar from u
+    union all select distinct 'country', coalesce(country, 'Unknown'), 'present' from details
+    union all select 'details', 'stations', count(*)::varchar from details
+    union all select 'details', 'active', (count(*) filter (status = 'Active'))::varchar from details
+    union all select 'recent', 'stations', s::varchar from r
+    union all select 'recent', 'observations', n::varchar from r
+    union all select 'verdict', n::varchar, case when n > 35 then 'more' when n = 35 then 'equal' else 'fewer' end from u"""
+
+
 # Places ----------------------------------------------------------------------------------------
 
 
@@ -625,6 +685,8 @@ CHECKS = {
     "station_coverage": (station_coverage, COVERAGE_SQL),
     "clean_observations": (clean_observations, CLEAN_SQL),
     "null_rows_removed": (null_rows_removed, NULL_ROWS_SQL),
+    "profile_report": (profile_report, PROFILE_REPORT_SQL),
+    "check_report": (check_report, CHECK_REPORT_SQL),
     "month_coverage": (month_coverage_report, MONTH_COVERAGE_SQL),
     "month_grid": (month_grid_plan, MONTH_GRID_SQL),
     "month_window": (month_window_rows, MONTH_WINDOW_SQL),

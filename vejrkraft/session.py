@@ -67,4 +67,5 @@ def staged(df: DataFrame) -> DataFrame:
 
 
 def parallelism(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """Ranges to cut a table in: the configured shuffle partitions, but no fewer than the cores."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
