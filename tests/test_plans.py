@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vejrkraft.operators.align import outer_align
 from vejrkraft.operators.nearest import nearest_point
-from vejrkraft.operators.ordering import ffill
+from vejrkraft.operators.ordering import ffill, row_index
 from vejrkraft.operators.profiles import wind_profile
 from vejrkraft.operators.stats import corr_matrix
 from vejrkraft.plans.panel import consumption_hourly
@@ -21,6 +21,13 @@ def plan(df, mode="simple"):
     return text.split("== Physical Plan ==")[-1]
 
 
+def row_shuffles(text):
+    """Shuffles that are not fed by a partial aggregate."""
+    lines = text.splitlines()
+    fed = [below for line, below in zip(lines, lines[1:]) if "Exchange hashpartitioning" in line]
+    return sum("Aggregate(" not in below for below in fed)
+
+
 @pytest.mark.parametrize("name", [n for n in checks() if not n.startswith("stream_")])
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(checks()[name][0](spark, FOLDER))
@@ -32,11 +39,14 @@ def test_windows_without_a_key_only_see_one_row_per_range(spark):
     df = spark.range(10_000).select(F.lit("hot").alias("k"), "id", F.when(F.col("id") % 7 == 0, 1.0).alias("v"))
     for by in ([], ["k"]):
         text = plan(ffill(df, ["id"], by=by, cols=["v"]))
-        # The row-level window is partitioned by range; the one over ranges sits above an aggregate.
-        rows = [w for w in text.splitlines() if "Window [last(v" in w and "_o0" in w]
-        assert rows and all("windowspecdefinition(_bucket" in w for w in rows)
-        single = text.split("Exchange SinglePartition")
-        assert all(after.split("FileScan")[0].count("SortAggregate") >= 1 for after in single[1:])
+        # The row-level window is partitioned by range; those over ranges sit above an aggregate.
+        windows = [w for w in text.splitlines() if "Window [" in w and "_row" in w]
+        assert windows and all("windowspecdefinition(_bucket" in w for w in windows)
+        for below in text.split("Exchange SinglePartition")[1:]:
+            assert "HashAggregate" in below.split("FileScan")[0]
+        assert row_shuffles(text) == 1
+    # Numbering needs no shuffle of the sorted rows at all.
+    assert row_shuffles(plan(row_index(df, ["id"]))) == 0
 
 
 def test_alignment_shuffles_each_input_once(spark):

@@ -6,8 +6,8 @@ ranges of about equal row count by Spark's own range partitioning. Each range is
 and one small row per range carries the state over to the next one. The cut looks at all order
 columns, so a hot key or a hot hour is cut as well; no row is dropped.
 
-The ranges are staged as a table: the number of its range is then a fixed property of each row, and
-the input is computed once, however often the ranges are read.
+The sorted ranges are staged as a table, with the number of the range and of the row as columns:
+later steps compare one number instead of several columns, and the input is computed once.
 """
 
 from __future__ import annotations
@@ -20,66 +20,76 @@ from pyspark.sql import functions as F
 from vejrkraft.session import parallelism, staged
 
 _BUCKET = "_bucket"
+_ROW = "_row"
+# Spark numbers rows as partition * 2^33 + position in the partition.
+_ROWS_PER_RANGE = 1 << 33
 
 Order = Sequence[str | Column]
 
 
-def _columns(order: Order) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in order]
-
-
-def order_key(order: Order) -> Column:
-    """One comparable value for several order columns, ascending, nulls last."""
-    parts: list[Column] = []
-    for i, c in enumerate(_columns(order)):
-        parts += [c.isNull().alias(f"z{i}"), c.alias(f"v{i}")]
-    return F.struct(*parts)
-
-
 def nulls_last(order: Order) -> list[Column]:
-    return [c.asc_nulls_last() for c in _columns(order)]
+    """Ascending sort columns, nulls last."""
+    return [(F.col(c) if isinstance(c, str) else c).asc_nulls_last() for c in order]
 
 
 def with_ranges(df: DataFrame, order: Order, buckets: int | None = None) -> DataFrame:
-    """Staged copy of ``df`` with ``_bucket``: the range of the total order the row falls in."""
+    """Staged copy of ``df``, sorted into ranges, with ``_bucket`` (number of the range) and
+    ``_row`` (a number that grows along ``order``)."""
     buckets = max(2, buckets or parallelism(df.sparkSession))
-    ranged = df.repartitionByRange(buckets, *nulls_last(order))
-    return staged(ranged.withColumn(_BUCKET, F.spark_partition_id()))
+    keys = nulls_last(order)
+    ranged = df.repartitionByRange(buckets, *keys).sortWithinPartitions(*keys)
+    return staged(
+        ranged.withColumns({_ROW: F.monotonically_increasing_id(), _BUCKET: F.spark_partition_id()})
+    )
 
 
-def _ordered_ranges(
-    df: DataFrame, by: Sequence[str], order: Order, buckets: int | None
-) -> tuple[DataFrame, list[str]]:
-    """Ranges of ``df`` with the order as columns of its own, readable while others are filled."""
-    ranged = df if _BUCKET in df.columns else with_ranges(df, [*by, *order], buckets)
-    named = {f"_o{i}": c for i, c in enumerate(_columns(order))}
-    return ranged.withColumns(named), list(named)
+def _ranges_of(df: DataFrame, by: Sequence[str], order: Order, buckets: int | None) -> DataFrame:
+    """Ranges of ``df``; a table that is already cut is used as it is."""
+    return df if _BUCKET in df.columns else with_ranges(df, [*by, *order], buckets)
+
+
+def _same(by: Sequence[str]) -> Column:
+    match = F.lit(True)
+    for c in by:
+        match = match & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
+    return match
 
 
-def _carry(solved: DataFrame, by: Sequence[str], order: Order, state: dict[str, Column]) -> DataFrame:
-    """State that enters each range: at most one row per range.
+def _carry(
+    ranged: DataFrame, by: Sequence[str], tails: dict[str, Column], merges: dict[str, Column]
+) -> DataFrame:
+    """State that enters each range, ``_in_<name>`` per name: at most one row per range.
 
-    ``state`` maps a name to an aggregate over a window of ranges. Only the last key of a range can
-    continue in the next one, so only its state is kept.
+    ``tails`` aggregates the rows of a range, ``merges`` those results over the ranges so far. Only
+    the last key of a range can continue in the next one, so only its rows count. Every
+    broadcast here holds one row per range, a number fixed by the session and not by the data.
     """
-    last_key = F.max_by(F.struct(*by, *state), order_key([*by, *order])).alias("t")
-    tails = solved.groupBy(_BUCKET).agg(last_key).select(_BUCKET, "t.*")
-    same_key = Window.partitionBy(*by).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, 0)
-    ranges = Window.orderBy(_BUCKET)
-    following = tails.select(
-        F.lead(_BUCKET).over(ranges).alias("_to"),
-        *[F.col(c).alias(f"_k_{c}") for c in by],
-        *[agg.over(same_key).alias(f"_in_{name}") for name, agg in state.items()],
+    rows, keys = ranged, [f"_k_{c}" for c in by]
+    if by:
+        ends = ranged.groupBy(F.col(_BUCKET).alias("_b")).agg(F.max(_ROW).alias("_end"))
+        last = ranged.join(F.broadcast(ends), F.col(_ROW) == F.col("_end")).select(
+            F.col(_BUCKET).alias("_b"), *[F.col(c).alias(f"_k_{c}") for c in by]
+        )
+        rows = ranged.join(F.broadcast(last), (F.col(_BUCKET) == F.col("_b")) & _same(by))
+    per_range = rows.groupBy(_BUCKET, *keys).agg(*[agg.alias(n) for n, agg in tails.items()])
+    so_far = Window.partitionBy(*keys).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, 0)
+    following = per_range.select(
+        F.lead(_BUCKET).over(Window.orderBy(_BUCKET)).alias("_to"),
+        *keys,
+        *[agg.over(so_far).alias(f"_in_{n}") for n, agg in merges.items()],
     )
     return following.where(F.col("_to").isNotNull())
 
 
 def _join_carry(solved: DataFrame, carry: DataFrame, by: Sequence[str]) -> DataFrame:
-    match = F.col(_BUCKET) == F.col("_to")
-    for c in by:
-        match = match & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
-    # One row per range: the number of ranges is fixed by the session, not by the data.
-    return solved.join(F.broadcast(carry), match, "left").drop("_to", *[f"_k_{c}" for c in by])
+    match = (F.col(_BUCKET) == F.col("_to")) & _same(by)
+    return solved.join(F.broadcast(carry), match, "left")
+
+
+def _so_far(by: Sequence[str]) -> Window:
+    return (
+        Window.partitionBy(_BUCKET, *by).orderBy(_ROW).rowsBetween(Window.unboundedPreceding, 0)
+    )
 
 
 def ffill(
@@ -97,17 +107,19 @@ def ffill(
     """
     by = list(by)
     cols = [c for c in (cols or df.columns) if c not in by]
-    ranged, ords = _ordered_ranges(df, by, order, buckets)
-    here = (
-        Window.partitionBy(_BUCKET, *by)
-        .orderBy(*nulls_last(ords))
-        .rowsBetween(Window.unboundedPreceding, 0)
+    ranged = _ranges_of(df, by, order, buckets)
+    known_at = lambda c: F.when(F.col(c).isNotNull(), F.col(_ROW))
+    carry = _carry(
+        ranged,
+        by,
+        {c: F.max_by(c, known_at(c)) for c in cols},
+        {c: F.last(c, ignorenulls=True) for c in cols},
     )
+    here = _so_far(by)
     solved = ranged.select(
         *[c for c in ranged.columns if c not in cols],
         *[F.last(c, ignorenulls=True).over(here).alias(c) for c in cols],
     )
-    carry = _carry(solved, by, ords, {c: F.last(c, ignorenulls=True) for c in cols})
     joined = _join_carry(solved, carry, by)
     return joined.select(
         *[F.coalesce(c, f"_in_{c}").alias(c) if c in cols else F.col(c) for c in df.columns]
@@ -127,16 +139,12 @@ def running_total(
     A table already cut by ``with_ranges`` in this order is used as it is.
     """
     by = list(by)
-    ranged, ords = _ordered_ranges(df, by, order, buckets)
-    here = (
-        Window.partitionBy(_BUCKET, *by)
-        .orderBy(*nulls_last(ords))
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    solved = ranged.withColumn(out, F.sum(F.coalesce(F.col(value), F.lit(0))).over(here))
-    carry = _carry(solved, by, ords, {out: F.sum(out)})
-    joined = _join_carry(solved, carry, by)
+    amount = F.sum(F.coalesce(F.col(value), F.lit(0)))
+    ranged = _ranges_of(df, by, order, buckets)
+    carry = _carry(ranged, by, {out: amount}, {out: F.sum(out)})
+    solved = ranged.withColumn(out, amount.over(_so_far(by)))
     total = F.col(out) + F.coalesce(F.col(f"_in_{out}"), F.lit(0))
+    joined = _join_carry(solved, carry, by)
     return joined.select(*[c for c in df.columns if c != out], total.alias(out))
 
 
@@ -148,5 +156,14 @@ def row_index(
     buckets: int | None = None,
 ) -> DataFrame:
     """Position of each row in ``order``, from 1, per ``by`` if given."""
-    one = df.withColumn("_one", F.lit(1).cast("long"))
-    return running_total(one, "_one", order, by, out, buckets).drop("_one")
+    if by:
+        one = df.withColumn("_one", F.lit(1).cast("long"))
+        return running_total(one, "_one", order, by, out, buckets).drop("_one")
+    # The rows of a range are numbered already: only the rows before the range are missing.
+    ranged = _ranges_of(df, by, order, buckets)
+    one = F.count(F.lit(1))
+    carry = _carry(ranged, [], {"n": one}, {"n": F.sum("n")})
+    place = F.col(_ROW) - F.col(_BUCKET).cast("long") * _ROWS_PER_RANGE + 1
+    position = place + F.coalesce(F.col("_in_n"), F.lit(0))
+    joined = _join_carry(ranged, carry, [])
+    return joined.select(*[c for c in df.columns if c != out], position.alias(out))
