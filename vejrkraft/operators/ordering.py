@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vejrkraft.session import parallelism, staged
+from vejrkraft.session import least_parallelism, staged
 
 _BUCKET = "_bucket"
 _ROW = "_row"
@@ -34,10 +34,15 @@ def nulls_last(order: Order) -> list[Column]:
 
 def with_ranges(df: DataFrame, order: Order, buckets: int | None = None) -> DataFrame:
     """Staged copy of ``df``, sorted into ranges, with ``_bucket`` (number of the range) and
-    ``_row`` (a number that grows along ``order``)."""
-    buckets = max(2, buckets or parallelism(df.sparkSession))
+    ``_row`` (a number that grows along ``order``).
+
+    The number of ranges is that of the shuffle partitions, fewer where adaptive execution finds the
+    data small, and at least the cores of a cluster whose setting was left too low.
+    """
     keys = nulls_last(order)
-    ranged = df.repartitionByRange(buckets, *keys).sortWithinPartitions(*keys)
+    buckets = buckets or least_parallelism(df.sparkSession)
+    ranged = df.repartitionByRange(buckets, *keys) if buckets else df.repartitionByRange(*keys)
+    ranged = ranged.sortWithinPartitions(*keys)
     return staged(
         ranged.withColumns({_ROW: F.monotonically_increasing_id(), _BUCKET: F.spark_partition_id()})
     )

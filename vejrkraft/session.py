@@ -66,6 +66,7 @@ def staged(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def parallelism(spark: SparkSession) -> int:
-    """Ranges to cut a table in: the configured shuffle partitions, but no fewer than the cores."""
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+def least_parallelism(spark: SparkSession) -> int | None:
+    """The cores of the cluster if the shuffle partitions are set below them, else None."""
+    cores = spark.sparkContext.defaultParallelism
+    return cores if int(spark.conf.get("spark.sql.shuffle.partitions")) < cores else None
