@@ -36,7 +36,7 @@ def nearest_point(
 
     Ties go to the point with the smallest ``order``. Missing coordinates give null. Each distinct
     coordinate is searched once. A small set of points (looked at first, up to the limit only)
-    travels with the tasks, which compare whole Arrow batches with it: more than 100 times
+    travels with the tasks, which compare whole Arrow batches with it: on a trial 40 times
     faster than an array expression per row. A larger set is searched through a pyramid of cells.
     """
     pts = points.select(
