@@ -4,7 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vejrkraft.llm import chat, quality_rules, url_rules
+import corpus_pipeline
+from vejrkraft.llm import (
+    chat,
+    decontaminate,
+    html_text,
+    importance,
+    jaccard_tree,
+    mixing,
+    passages,
+    quality_rules,
+    toxicity,
+    url_rules,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -99,8 +111,83 @@ select conv_id, perspective, turn, speaker, case when own then 'assistant' else
 from b
 """
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained_items(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+OP1_SQL = r"""
+with t as (
+  select 0 kind, item_id id, row_number() over () r, coalesce(text, '') txt from benchmark where item_id is not null
+  union all select 1, doc_id, row_number() over (), coalesce(text, '') from documents),
+w as (select kind, id, r, regexp_extract_all(translate(txt, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') ws from t),
+widths as (select distinct least(len(ws), 5) width from w where kind = 0 and len(ws) > 0),
+i as (select distinct id, r, width, array_to_string(ws[p:p + width - 1], ' ') g
+  from (select id, r, ws, least(len(ws), 5) width, unnest(range(1, len(ws) - least(len(ws), 5) + 2)) p from w where kind = 0 and len(ws) > 0)),
+d as (select distinct id, r, width, array_to_string(ws[p:p + width - 1], ' ') g
+  from (select id, r, ws, width, unnest(range(1, len(ws) - width + 2)) p from w, widths where kind = 1 and len(ws) >= width)),
+n as (select r, count(*) n from i group by r)
+select d.id doc_id, i.id item_id, any_value(n.n)::int item_shingles, count(*)::int shared
+from d join i using (width, g) join n on n.r = i.r group by d.id, d.r, i.id, i.r
+having 100 * count(*) >= 80 * any_value(n.n)
+"""
+
+
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix_sources(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", "size", "source_size", "target", "shard", "passes", "taken")
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = jaccard_tree.jaccard_classes(table(spark, sf_dir, "documents"))
+    return classes.select("doc_id", "n_shingles", "component_id")
+
+
+OP6_SQL = r"""
+with recursive w as (select row_number() over () r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') ws from documents),
+s as (select distinct r, array_to_string(ws[p:p + 4], ' ') g
+  from (select r, ws, unnest(range(1, greatest(len(ws) - 3, 2))) p from w where len(ws) > 0)),
+n as (select r, count(*) n from s group by r),
+links as (select a.r x, b.r y from s a join s b using (g) join n na on na.r = a.r join n nb on nb.r = b.r
+  where a.r <> b.r group by a.r, b.r
+  having 100 * count(*) >= 80 * (any_value(na.n) + any_value(nb.n) - count(*))),
+reach(r, o) as (select r, r from w union select reach.r, y from reach join links on o = x),
+c as (select reach.r, min(w.doc_id) component_id from reach join w on w.r = o group by reach.r)
+select doc_id, coalesce(n.n, 0)::bigint n_shingles, component_id from w join c using (r) left join n using (r)
+"""
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.importance_resample(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
 CHECKS = {
+    "op1_decontamination": (op1_decontamination, OP1_SQL),
+    "op2_mix_sources": (op2_mix_sources, None),
+    "op3_substring_dedup": (op3_substring_dedup, None),
+    "op4_html_extraction": (op4_html_extraction, None),
     "op5_quality_rules": (op5_quality_rules, OP5_SQL),
+    "op6_jaccard_join": (op6_jaccard_join, OP6_SQL),
+    "op7_toxicity": (op7_toxicity, None),
     "op8_url_filters": (op8_url_filters, OP8_SQL),
     "op9_chat_formatting": (op9_chat_formatting, OP9_SQL),
+    "op10_quality_classifier": (op10_quality_classifier, None),
+    "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }

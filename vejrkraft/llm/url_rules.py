@@ -44,7 +44,7 @@ def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come by range and key; the stack holds the rules whose prefix covers the current key."""
     at, stack = None, []
     for batch in batches:
-        found = {"host": [], "path": [], "rule": [], "verdict": []}
+        found = {"host": [], "path": [], "rule": [], "rule_host": [], "verdict": []}
         columns = [batch.column(c).to_pylist() for c in ("_bucket", "key", "is_rule", "host", "path", "verdict")]
         for bucket, key, is_rule, host, path, verdict in zip(*columns):
             if bucket != at:
@@ -53,14 +53,22 @@ def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 stack.pop()
             if is_rule:
                 if not stack or stack[-1][0] != key:
-                    stack.append((key, host + path, verdict))
+                    stack.append((key, host + path, len(host), verdict))
             elif stack:
                 for name, value in zip(found, (host, path, *stack[-1][1:])):
                     found[name].append(value)
         yield pa.RecordBatch.from_pydict(found, schema=_FOUND)
 
 
-_FOUND = pa.schema([(c, pa.string()) for c in ("host", "path", "rule", "verdict")])
+_FOUND = pa.schema(
+    [
+        ("host", pa.string()),
+        ("path", pa.string()),
+        ("rule", pa.string()),
+        ("rule_host", pa.int32()),
+        ("verdict", pa.string()),
+    ]
+)
 
 
 def judge_urls(
@@ -134,13 +142,13 @@ def judge_urls(
         .repartition("_bucket")
         .sortWithinPartitions("_bucket", "_row")
         .select("_bucket", "key", "is_rule", "host", "path", "verdict")
-        .mapInArrow(_sweep, "host string, path string, rule string, verdict string")
+        .mapInArrow(_sweep, "host string, path string, rule string, rule_host int, verdict string")
     )
     # A host suffix gave each row; the longest rule decides.
     won = swept.groupBy("host", "path").agg(
         F.max_by(
             F.struct("rule", "verdict"),
-            F.struct(F.length("rule"), F.instr("rule", "/")),
+            F.struct(F.length("rule"), "rule_host"),
         ).alias("won")
     )
     return judged.join(won, ["host", "path"], "left").select(

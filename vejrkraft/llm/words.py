@@ -119,7 +119,7 @@ def words_of(column: pa.Array, kind: np.ndarray = SPACED, lower: bool = True) ->
 def shingles(words: Words, k: int = SHINGLE, short: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of ``k`` words, and the number of shingles per row.
 
-    With ``short``, a row of 1 to k - 1 words has one shingle, made of all its words.
+    With ``short``, a row of n = 1 to k - 1 words has one shingle, made of all its words: the one it has for k = n.
     """
     h, n = words.hash, len(words.hash)
     counts = words.counts
@@ -129,7 +129,7 @@ def shingles(words: Words, k: int = SHINGLE, short: bool = True) -> tuple[np.nda
             runs += h[j : n - k + 1 + j] * _PLACE_CODES[j]
         rows = words.rows
         whole = rows[: n - k + 1] == rows[k - 1 :]
-        runs = mixed(runs[whole])
+        runs = mixed(runs[whole] + np.uint64(k))
     else:
         runs = np.zeros(0, dtype=np.uint64)
     each = np.maximum(counts - k + 1, 0)
