@@ -1,4 +1,5 @@
 import json
+import os
 import zipfile
 from pathlib import Path
 
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vejrkraft import fixed_values as fv
 from vejrkraft import schemas
+from vejrkraft.operators.profiles import latest_details
 from vejrkraft.plans.collection import collect_observations, profile_stations, stations_for
 from vejrkraft.sources import files, pages, requests, stations
 
@@ -87,32 +89,51 @@ def test_observation_pages_and_quarantine(spark, folder):
     ]
 
 
-def test_paging_rules(spark, folder):
-    one = [feature("06001", "t", 1)]
+def test_every_landed_page_is_read(spark, folder):
     layout = {
-        "a": {0: 2, 2: 2, 4: 1, 6: 2},  # ends at the short page
+        "a": {0: 2, 2: 2, 4: 1, 6: 2},  # a short page in the middle
         "b": {0: 2, 4: 2},  # a page is missing
-        "c": {0: 0, 2: 2},  # empty at once
-        "d": {0: 2, 2: 2, 4: 2, 6: 2, 8: 2},  # stopped by the offset limit
+        "c": {0: 0, 2: 2},  # empty at first
+        "d": {0: 2, 1_000_000: 2, 1_000_002: 2},  # far beyond a gap
     }
     for parameter, counts in layout.items():
         for offset, n in counts.items():
-            land(folder, parameter, offset, one * n)
+            land(folder, parameter, offset, [feature(f"{parameter}{offset}", "t", 1)] * n)
+    # One page was landed before with less in it.
+    old = Path(f"{folder}/parameter=a/offset=2/old.json")
+    old.write_text(json.dumps({"features": [feature("gone", "t", 1)]}))
+    os.utime(old, (1, 1))
     landed = pages.read_observation_pages(spark, folder)
-    kept = pages.downloaded_pages(landed, limit=2, offset_end=8).select("parameter", "offset")
-    assert rows(kept) == [("a", 0), ("a", 2), ("a", 4), ("b", 0), ("d", 0), ("d", 2), ("d", 4), ("d", 6)]
-    probe = pages.probed_pages(landed, [0, 2, 4]).select("parameter", "offset")
-    assert rows(probe) == [("a", 0), ("a", 2), ("a", 4), ("b", 0), ("b", 4), ("d", 0), ("d", 2), ("d", 4)]
-    assert pages.first_page(landed).count() == 4
-
-
-def test_record_pages(spark, folder, monkeypatch):
-    monkeypatch.setattr(fv, "CONSUMPTION_PAGE_ROWS", 2)
-    for offset, codes in {0: [101, 147], 2: [201]}.items():
+    good, _ = pages.observations(pages.last_landings(landed))
+    want = [(p, f"{p}{o}", o + i) for p, counts in layout.items() for o, n in counts.items() for i in range(n)]
+    assert rows(good.select("parameter", "station_id", "arrival")) == sorted(want, key=repr)
+    ledger = pages.page_ledger(landed, limit=2)
+    assert rows(ledger) == sorted(
+        [
+            ("a", 0, 1, 2, True, False, False), ("a", 2, 2, 2, True, False, False), ("a", 4, 1, 1, False, False, False),
+            ("a", 6, 1, 2, True, False, True), ("b", 0, 1, 2, True, False, True), ("b", 4, 1, 2, True, True, True),
+            ("c", 0, 1, 0, False, False, False), ("c", 2, 1, 2, True, False, True), ("d", 0, 1, 2, True, False, True),
+            ("d", 1_000_000, 1, 2, True, True, False), ("d", 1_000_002, 1, 2, True, False, True),
+        ],
+        key=repr,
+    )
+
+
+def test_record_pages(spark, folder):
+    for offset, codes in {0: [101, 147], 2: [201], 40_000: [301]}.items():
         records = [{"TimeUTC": "2024-01-01T00:00:00", "MunicipalityCode": c, "ConsumptionkWh": 1.5} for c in codes]
         write(f"{folder}/offset={offset}/page.json", json.dumps({"total": 3, "records": records}))
     got = pages.read_record_pages(spark, folder).select("MunicipalityCode", "ConsumptionkWh", "ord")
-    assert rows(got) == [(101, 1.5, 0), (147, 1.5, 1), (201, 1.5, 2)]
+    assert rows(got) == [(101, 1.5, 0), (147, 1.5, 1), (201, 1.5, 2), (301, 1.5, 40_000)]
+
+
+def test_details_over_several_pages(spark, folder):
+    one = lambda s, n: {"properties": {"stationId": s, "name": n}}
+    write(f"{folder}/offset=10/p.json", json.dumps({"features": [one("a", "new"), one(None, "lost")]}))
+    write(f"{folder}/offset=0/p.json", json.dumps({"features": [one("b", "B"), one("c", "C"), one("a", "old")]}))
+    good, bad = pages.station_details(pages.last_landings(pages.read_detail_pages(spark, folder), by=()))
+    assert rows(latest_details(good).select("station_id", "name")) == [("a", "new"), ("b", "B"), ("c", "C")]
+    assert rows(bad.select("name", "reason")) == [("lost", "no station")]
 
 
 def test_profile_and_collection_from_pages(spark, folder):
@@ -128,13 +149,14 @@ def test_profile_and_collection_from_pages(spark, folder):
         {"properties": {"stationId": "00000", "name": "Elsewhere"}},
     ]
     write(f"{folder}/details/page.json", json.dumps({"features": details}))
-    got = profile_stations(spark, "wind", f"{folder}/obs", f"{folder}/details")
+    got = profile_stations(spark, "wind", f"{folder}/obs", f"{folder}/details", f"{folder}/rejects")
     keep = ["station_id", "name", "country", "status", "wind_parameters_measured", "parameter_count",
             "total_wind_observations", "max_wind_speed_recorded_ms", "latitude"]
     assert [tuple(r) for r in got.select(keep).collect()] == [
         ("06154", "Brandelev", "DNK", "Unknown", "mean_wind_dir, mean_wind_speed", 2, 4, 4.5, 55.0),
         ("99999", None, None, None, "mean_wind_speed", 1, 1, 7.0, None),
     ]
+    assert spark.read.parquet(f"{folder}/rejects/observations").count() == 0
     obs, _ = pages.observations(pages.read_observation_pages(spark, f"{folder}/obs"))
     out = collect_observations(obs, stations_for(spark, fv.MEAN_WIND_SPEED), fv.MEAN_WIND_SPEED)
     out = out.withColumn("timeObserved", F.col("timeObserved").cast("string"))
@@ -160,12 +182,27 @@ def test_load_stations_is_tolerant(spark, folder):
         stations.load_stations(spark, {"wind": f"{folder}/none.csv"})
 
 
+def test_collection_keeps_the_first_of_one_instant(spark):
+    t = ["2024-01-01T01:00:00+01:00", "2024-01-01T00:00:00Z", "2024-01-01T00:00:00+01:00", "no time"]
+    given = [(2, t[0], 2.0), (1, t[1], 1.0), (3, t[2], 3.0), (5, t[3], 5.0), (4, t[3], 4.0), (6, t[1], None)]
+    data = [(fv.MEAN_WIND_SPEED, "06154", time, value, at) for at, time, value in given]
+    obs = spark.createDataFrame(data, "parameter string, station_id string, observed_from string, value double, arrival long")
+    out = collect_observations(obs, stations_for(spark, fv.MEAN_WIND_SPEED), fv.MEAN_WIND_SPEED)
+    assert sorted(r[fv.MEAN_WIND_SPEED] for r in out.collect()) == [1.0, 3.0, 4.0]
+
+
 def test_paged_requests(spark):
     requests.register(spark)
     read = spark.read.format("paged_requests").option("fetch", "local_service:page")
     read = read.options(parameters="bright_sunshine, mean_radiation, broken", limit="2", offset_end="8")
+    requested = read.load()
     page = F.from_json("document", "features array<struct<properties: struct<stationId: string>>>")
-    landed = read.load().select("parameter", "offset", page["features"].alias("features"))
-    kept = pages.downloaded_pages(landed, limit=2, offset_end=8)
-    got = kept.groupBy("parameter").agg(F.sum(F.size("features")))
-    assert rows(got) == [("bright_sunshine", 5), ("broken", 2), ("mean_radiation", 4)]
+    got = requested.groupBy("parameter").agg(
+        F.sum(F.coalesce(F.size(page["features"]), F.lit(0))), F.count("error")
+    )
+    assert {r[0]: r[2] > 0 for r in got.collect()} == {"bright_sunshine": False, "mean_radiation": False, "broken": True}
+    assert requests.answered(requested.where("parameter <> 'broken'")).count() > 0
+    with pytest.raises(Exception, match="request failed: broken"):
+        requests.answered(requested).collect()
+    with pytest.raises(Exception, match="offset_end"):
+        spark.read.format("paged_requests").option("fetch", "local_service:page").options(parameters="a").load().count()

@@ -24,26 +24,20 @@ DANISH_ZONE = "Europe/Copenhagen"
 
 # Page sizes and limits of the data services.
 OBSERVATION_PAGE_ROWS = 300_000
-OBSERVATION_OFFSET_END = 1_000_000
-PROBE_OFFSETS = [0, 300_000, 600_000]
 CONSUMPTION_PAGE_ROWS = 20_000
-STATION_MONTH_ROWS = 1_000
 RECENT_DAYS = 30
-RECENT_ROWS = 50_000
 ASSUMED_RECORD_BYTES = 200
 EXPECTED_SUNLIGHT_STATIONS = 35
 
 # Calendar of the consumption download.
 CONSUMPTION_FIRST_MONTH = "2022-09-01"
 CONSUMPTION_LAST_MONTH = "2025-12-01"
-COLLECTION_YEAR = 2020
 
 # Placeholders and labels.
 UNKNOWN = "Unknown"
 ACTIVE = "Active"
 
 # Marker colour and icon per station type, and for places with several types.
-STATION_TYPES = ["wind", "precipitation", "sunlight"]
 COLOURS = {"wind": "red", "precipitation": "blue", "sunlight": "orange"}
 ICONS = {"wind": "leaf", "precipitation": "tint", "sunlight": "sun"}
 MULTI_CLASS, MULTI_COLOUR, MULTI_ICON = "multi", "purple", "star"

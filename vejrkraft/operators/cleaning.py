@@ -98,10 +98,22 @@ def standard_stations(df: DataFrame, station_type: str, id_col: str = "station_i
     return df.withColumn("station_type", F.lit(station_type))
 
 
-def clean_observations(df: DataFrame, value: str = "value", key: Sequence[str] = ()) -> DataFrame:
-    """Observations that carry a value; with ``key``, one row for each key."""
+def clean_observations(
+    df: DataFrame,
+    value: str = "value",
+    key: Sequence[str | Column] = (),
+    order: Sequence[str | Column] = (),
+) -> DataFrame:
+    """Observations that carry a value; with ``key``, the first row in ``order`` for each key.
+
+    ``order`` defaults to all columns, so that the row kept does not follow the placing of rows.
+    """
     kept = df.where(F.col(value).isNotNull())
-    return kept.dropDuplicates(list(key)) if key else kept
+    if not key:
+        return kept
+    first = F.min_by(F.struct(*df.columns), F.struct(*(order or df.columns)))
+    keys = [(F.col(k) if isinstance(k, str) else k).alias(f"_k{i}") for i, k in enumerate(key)]
+    return kept.groupBy(*keys).agg(first.alias("_first")).select("_first.*")
 
 
 def sorted_columns(df: DataFrame) -> DataFrame:

@@ -14,11 +14,6 @@ CONSUMPTION_COLUMNS = [
 CONSUMPTION_TYPES = {"MunicipalityCode": "int", "ConsumptionkWh": "double"}
 SUNLIGHT_TYPES = {"latitude": "double", "longitude": "double", "sunshine_minutes": "double"}
 WIND_TYPES = {"latitude": "double", "longitude": "double", "value": "double"}
-COLLECTED_TYPES = {
-    "timeObserved": "timestamp",
-    "mean_wind_speed": "double",
-    "bright_sunshine": "double",
-}
 PROFILE_TYPES = {
     "latitude": "double",
     "longitude": "double",
@@ -46,6 +41,6 @@ OBSERVATION_PAGE = (
 )
 DETAIL_PAGE = (
     f"features array<struct<{_GEOMETRY}, properties: struct<stationId: string, name: string, "
-    "country: string, status: string, validFrom: string, validTo: string>>>"
+    "country: string, status: string, validFrom: string, validTo: string>>>, offset bigint"
 )
 CONSUMPTION_RECORD = ", ".join(f"{c}: {CONSUMPTION_TYPES.get(c, 'string')}" for c in CONSUMPTION_COLUMNS)

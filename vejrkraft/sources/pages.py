@@ -1,14 +1,14 @@
-"""Landed service pages: ``parameter=…/offset=…/*.json`` for observations, one folder else.
+"""Landed service pages: ``parameter=…/offset=…/*.json`` for observations, ``offset=…`` or one folder else.
 
-A page is one JSON document of a limited number of rows. The paging rules are applied to the landed
-pages: which of them a sequential download would have kept.
+A page is one JSON document of a limited number of rows. Every landed page is read. What a set of pages
+lacks or holds twice is told by ``page_ledger``; it never decides which rows are used.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vejrkraft import fixed_values as fv
@@ -18,53 +18,87 @@ from vejrkraft.operators.cleaning import split_rejects
 from vejrkraft.schemas import CONSUMPTION_RECORD, DETAIL_PAGE, OBSERVATION_PAGE
 
 
+def _read(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    """Pages with when and from where they were landed."""
+    pages = spark.read.schema(schema).option("multiLine", True).json(folder)
+    return pages.withColumns(
+        {
+            "landed_at": F.col("_metadata.file_modification_time"),
+            "file": F.col("_metadata.file_path"),
+        }
+    )
+
+
 def read_observation_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """``parameter, offset, features``: one row per page."""
-    return spark.read.schema(OBSERVATION_PAGE).option("multiLine", True).json(folder)
+    """``parameter, offset, features, landed_at, file``: one row per landing of a page."""
+    return _read(spark, folder, OBSERVATION_PAGE)
 
 
-def downloaded_pages(
+def read_detail_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """``offset, features, landed_at, file``; the offset is null in a folder that is not cut by it."""
+    return _read(spark, folder, DETAIL_PAGE)
+
+
+def read_record_documents(
+    spark: SparkSession, folder: str, record: str = CONSUMPTION_RECORD
+) -> DataFrame:
+    """``offset, records, landed_at, file`` of ``{"records": [...]}`` pages; record fields as ``name: type, …``."""
+    return _read(spark, folder, f"records array<struct<{record}>>, offset bigint")
+
+
+def last_landings(pages: DataFrame, by: Sequence[str] = ("parameter",)) -> DataFrame:
+    """Each page once, by its last landing. Pages without an offset are told apart by their file."""
+    place = [*by, "offset", F.when(F.col("offset").isNull(), F.col("file")).alias("_file")]
+    last = pages.groupBy(*place).agg(F.max(F.struct("landed_at", "file")).alias("_last"))
+    kept = last.select(F.col("_last.file").alias("file"))
+    return pages.join(kept, "file", "left_semi")
+
+
+def page_ledger(
     pages: DataFrame,
     limit: int = fv.OBSERVATION_PAGE_ROWS,
-    offset_end: int | None = fv.OBSERVATION_OFFSET_END,
     items: str = "features",
     by: Sequence[str] = ("parameter",),
 ) -> DataFrame:
-    """The pages a download would keep: up to the first short, empty or absent one.
+    """One row per page: ``offset, landings, rows`` (of the last landing), ``full`` (more rows may follow), ``gap_before``
+    (the page before was not landed) and ``last`` (the page after was not landed).
 
-    ``offset_end`` bounds the offsets; None for none.
+    A page tells its neighbours by two more rows, so no task walks over all pages.
     """
-    rows = F.coalesce(F.size(items), F.lit(0))
-    if offset_end is not None:
-        pages = pages.where(F.col("offset") < offset_end)
-    # Only the page numbers and sizes take part; a parameter has few pages.
-    sizes = pages.select(*by, "offset", rows.alias("_rows"))
-    in_order = Window.partitionBy(*by).orderBy("offset")
-    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    full_before = F.coalesce(F.min("_rows").over(earlier) >= limit, F.lit(True))
-    no_gap = F.col("offset") == (F.row_number().over(in_order) - 1) * limit
-    kept = (
-        sizes.withColumns({"_full": full_before, "_near": no_gap})
-        .where(F.col("_full") & F.col("_near") & (F.col("_rows") > 0))
-        .select(*by, "offset")
+    sizes = pages.select(
+        *by, "offset", "landed_at", "file", F.coalesce(F.size(items), F.lit(0)).alias("rows")
     )
-    return pages.join(kept, [*by, "offset"], "left_semi")
-
-
-def probed_pages(pages: DataFrame, offsets: Sequence[int] = tuple(fv.PROBE_OFFSETS)) -> DataFrame:
-    """The pages of a fixed probe: the given offsets, up to the first empty one."""
-    probe = pages.where(F.col("offset").isin(list(offsets)))
-    empty = F.coalesce(F.size("features"), F.lit(0)) == 0
-    stop = probe.groupBy("parameter").agg(F.min(F.when(empty, F.col("offset"))).alias("_stop"))
-    kept = probe.join(stop, "parameter").where(
-        F.col("_stop").isNull() | (F.col("offset") < F.col("_stop"))
+    told = sizes.withColumn(
+        "told",
+        F.explode(
+            F.array(
+                F.struct(F.col("offset").alias("place"), F.lit(0).alias("step")),
+                F.struct((F.col("offset") + limit).alias("place"), F.lit(1).alias("step")),
+                F.struct((F.col("offset") - limit).alias("place"), F.lit(-1).alias("step")),
+            )
+        ),
+    ).select(*by, "told.*", "landed_at", "file", "rows")
+    step = F.col("step")
+    here = step == 0
+    return (
+        told.groupBy(*by, F.col("place").alias("offset"))
+        .agg(
+            F.count_if(here).alias("landings"),
+            F.max_by("rows", F.when(here, F.struct("landed_at", "file"))).alias("rows"),
+            F.count_if(step == 1).alias("_before"),
+            F.count_if(step == -1).alias("_after"),
+        )
+        .where("landings > 0")
+        .select(
+            *by,
+            "offset",
+            "landings",
+            "rows",
+            (F.col("rows") >= limit).alias("full"),
+            ((F.col("offset") > 0) & (F.col("_before") == 0)).alias("gap_before"),
+            (F.col("_after") == 0).alias("last"),
+        )
     )
-    return kept.drop("_stop")
-
-
-def first_page(pages: DataFrame) -> DataFrame:
-    """The single page of a download without paging."""
-    return pages.where(F.col("offset") == 0)
 
 
 def _features(pages: DataFrame, *keep: str) -> DataFrame:
@@ -100,32 +134,32 @@ def observations(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good.drop("value_text"), bad
 
 
-def read_details(spark: SparkSession, folder: str) -> DataFrame:
-    """Station details in the order they arrived, within one page."""
-    pages = spark.read.schema(DETAIL_PAGE).option("multiLine", True).json(folder)
+def station_details(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Station details of the pages, and the features without a station with the reason.
+
+    ``arrival`` orders them over all pages: by offset, then file, then position.
+    """
     p = "feature.properties"
-    return (
-        _features(pages)
-        .select(
-            F.col(f"{p}.stationId").alias("station_id"),
-            F.col(f"{p}.name").alias("name"),
-            F.col(f"{p}.country").alias("country"),
-            F.col(f"{p}.status").alias("status"),
-            F.col(f"{p}.validFrom").alias("valid_from"),
-            F.col(f"{p}.validTo").alias("valid_to"),
-            F.col("pos").cast("long").alias("arrival"),
-        )
-        .where(F.col("station_id").isNotNull())
+    rows = _features(pages, "offset", "file").select(
+        F.col(f"{p}.stationId").alias("station_id"),
+        F.col(f"{p}.name").alias("name"),
+        F.col(f"{p}.country").alias("country"),
+        F.col(f"{p}.status").alias("status"),
+        F.col(f"{p}.validFrom").alias("valid_from"),
+        F.col(f"{p}.validTo").alias("valid_to"),
+        F.struct("offset", "file", F.col("pos").cast("long").alias("pos")).alias("arrival"),
     )
+    return split_rejects(rows, {"no station": F.col("station_id").isNotNull()})
+
+
+def page_records(pages: DataFrame) -> DataFrame:
+    """The records of all pages, with ``ord`` = offset + position in the page."""
+    rows = pages.select("offset", F.posexplode("records").alias("pos", "record"))
+    return rows.select("record.*", (F.col("offset") + F.col("pos")).alias("ord"))
 
 
 def read_record_pages(
     spark: SparkSession, folder: str, record: str = CONSUMPTION_RECORD
 ) -> DataFrame:
-    """Records (fields given as ``name: type, …``) of ``{"records": [...]}`` pages under
-    ``offset=…``, with ``ord``."""
-    schema = f"records array<struct<{record}>>, offset bigint"
-    pages = spark.read.schema(schema).option("multiLine", True).json(folder)
-    kept = downloaded_pages(pages, fv.CONSUMPTION_PAGE_ROWS, None, "records", by=())
-    rows = kept.select("offset", F.posexplode("records").alias("pos", "record"))
-    return rows.select("record.*", (F.col("offset") + F.col("pos")).alias("ord"))
+    """Records of every page under ``offset=…``, each page once."""
+    return page_records(last_landings(read_record_documents(spark, folder, record), by=()))

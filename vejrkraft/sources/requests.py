@@ -10,7 +10,8 @@ import importlib
 import json
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceReader,
@@ -36,7 +37,9 @@ class _PageReader(DataSourceReader):
         self.fetch = options["fetch"]
         self.parameters = [p.strip() for p in options["parameters"].split(",")]
         self.limit = int(options.get("limit", fv.OBSERVATION_PAGE_ROWS))
-        self.end = int(options.get("offset_end", fv.OBSERVATION_OFFSET_END))
+        if "offset_end" not in options:
+            raise ValueError("offset_end: how many rows to ask for, in steps of limit")
+        self.end = int(options["offset_end"])
 
     def partitions(self):
         return [
@@ -50,17 +53,18 @@ class _PageReader(DataSourceReader):
         fetch = _function(self.fetch)
         try:
             page = fetch(parameter, offset, limit)
-        except Exception:  # noqa: BLE001  a failed request ends the paging there
+        except Exception as e:  # noqa: BLE001  told as a row
+            yield parameter, offset, None, f"{type(e).__name__}: {e}"
             return
         if page is not None:
-            yield parameter, offset, page if isinstance(page, str) else json.dumps(page)
+            yield parameter, offset, page if isinstance(page, str) else json.dumps(page), None
 
 
 class PagedRequests(DataSource):
-    """``parameter, offset, document``: one task per (parameter, offset).
+    """``parameter, offset, document, error``: one task per (parameter, offset) below ``offset_end``.
 
-    ``fetch(parameter, offset, limit)`` returns the page as JSON text or as an object. A
-    failed request gives no row, so that ``pages.downloaded_pages`` stops there.
+    ``fetch(parameter, offset, limit)`` returns the page as JSON text or as an object, None where there is
+    none. A failed request gives a row with its error and no document; see ``answered``.
     """
 
     @classmethod
@@ -68,12 +72,19 @@ class PagedRequests(DataSource):
         return "paged_requests"
 
     def schema(self) -> str:
-        return "parameter string, offset long, document string"
+        return "parameter string, offset long, document string, error string"
 
     def reader(self, schema) -> DataSourceReader:
         return _PageReader(self.options)
 
 
+def answered(requested: DataFrame) -> DataFrame:
+    """The documents of all requests; the query fails if one of them failed."""
+    failed = F.concat(F.lit("request failed: "), "parameter", F.lit(" at "), F.col("offset"), F.lit(": "), "error")
+    document = F.when(F.col("error").isNotNull(), F.raise_error(failed)).otherwise(F.col("document"))
+    return requested.select("parameter", "offset", document.alias("document"))
+
+
 class _Poller(SimpleDataSourceStreamReader):
     def __init__(self, options):
         self.fetch = options["fetch"]
@@ -97,14 +108,15 @@ class _Poller(SimpleDataSourceStreamReader):
         fetch = _function(self.fetch)
         try:
             document = fetch()
-        except Exception:  # noqa: BLE001  a failed poll is skipped
+        except Exception as e:  # noqa: BLE001  told as a row
+            yield number, None, f"{type(e).__name__}: {e}"
             return
         if document is not None:
-            yield number, document if isinstance(document, str) else json.dumps(document)
+            yield number, document if isinstance(document, str) else json.dumps(document), None
 
 
 class PolledDocument(DataSource):
-    """A stream of ``poll, document``: one ``fetch()`` per micro-batch, failures skipped.
+    """A stream of ``poll, document, error``: one ``fetch()`` per micro-batch; a failed one has its error.
 
     The poll interval is the trigger of the query.
     """
@@ -114,7 +126,7 @@ class PolledDocument(DataSource):
         return "polled_document"
 
     def schema(self) -> str:
-        return "poll long, document string"
+        return "poll long, document string, error string"
 
     def simpleStreamReader(self, schema) -> SimpleDataSourceStreamReader:
         return _Poller(self.options)
