@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -8,7 +9,7 @@ POINTS = "code int, latitude double, longitude double, ord int"
 
 
 def brute(points, la, lo):
-    if la is None or lo is None or la != la or lo != lo:
+    if la is None or lo is None or not math.isfinite(la) or not math.isfinite(lo):
         return None
     return min(points, key=lambda p: ((la - p[1]) ** 2 + (lo - p[2]) ** 2, p[3]))[0]
 
@@ -23,6 +24,7 @@ def test_equals_brute_force(spark, limit):
     asks = [(i, rnd.uniform(53, 59), rnd.uniform(7, 14)) for i in range(200)]
     asks += [(200 + i, rnd.gauss(55, 0.002), rnd.gauss(9, 0.002)) for i in range(100)]
     asks += [(300, None, 9.0), (301, 55.0, None), (302, float("nan"), 9.0), (303, 55.0, 9.0), (304, 55.0, 9.0)]
+    asks += [(305, float("inf"), 9.0), (306, 55.0, float("-inf"))]
     df = spark.createDataFrame(asks, "id int, latitude double, longitude double")
     got = nearest_point(df, spark.createDataFrame(points, POINTS), max_array_points=limit)
     assert {r["id"]: r["municipality_code"] for r in got.collect()} == {
@@ -41,6 +43,7 @@ def test_tie_goes_to_the_first_point(spark, limit):
 @pytest.mark.parametrize("limit", [4096, 1])
 def test_points_without_coordinates_are_ignored(spark, limit):
     points = [(1, None, 2.0, 0), (2, float("nan"), 1.0, 1), (3, 9.0, 9.0, 2), (4, 20.0, 9.0, 3)]
+    points += [(5, 0.0, float("inf"), 4), (6, float("-inf"), 1.0, 5)]
     df = spark.createDataFrame([(0.0, 1.0)], "latitude double, longitude double")
     got = nearest_point(df, spark.createDataFrame(points, POINTS), max_array_points=limit).first()
     assert got["municipality_code"] == 3

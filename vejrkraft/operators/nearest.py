@@ -17,7 +17,7 @@ _BLOCK_ROWS = 1024
 # Cell search: every level cuts a cell in 4 x 4, and a leaf should hold at most this many points.
 _FAN = 4
 _LEAF_POINTS = 64
-_MAX_LEVEL = 13
+_MAX_LEVEL = 15
 # The tables of the upper levels have at most 16**level rows; only those are broadcast.
 _BROADCAST_LEVELS = 3
 
@@ -34,7 +34,8 @@ def nearest_point(
 ) -> DataFrame:
     """Add ``out``: the ``code`` of the point nearest to (``lat``, ``lon``).
 
-    Ties go to the point with the smallest ``order``. Missing coordinates give null. Each distinct
+    Ties go to the point with the smallest ``order``. Missing and infinite coordinates give null, and such points are
+    never nearest. Each distinct
     coordinate is searched once. A small set of points (looked at first, up to the limit only)
     travels with the tasks, which compare whole Arrow batches with it: on a trial 40 times
     faster than an array expression per row. A larger set is searched through a pyramid of cells.
@@ -60,8 +61,9 @@ def nearest_point(
 
 
 def _usable(lat: str, lon: str) -> Column:
-    present = F.col(lat).isNotNull() & F.col(lon).isNotNull()
-    return present & ~F.isnan(lat) & ~F.isnan(lon)
+    """Both numbers are known and finite. NaN counts as larger than infinity."""
+    infinite = float("inf")
+    return (F.abs(lat) < infinite) & (F.abs(lon) < infinite)
 
 
 def _candidate(lat: Column, lon: Column, order: Column, code: Column) -> Column:
