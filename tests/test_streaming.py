@@ -63,6 +63,29 @@ def test_landing_equals_batch(spark, folder):
     assert spark.read.parquet(f"{folder}/out").count() == 6
 
 
+def test_batch_clean_up_runs_on_a_stream(spark, folder):
+    drop_files(f"{folder}/in", [message(i, 1) for i in range(4)], [message(9, 2, None), message(5, 3)], [message(6, 3)])
+    points = spark.createDataFrame([(1, 55.0, 9.0, 0), (2, 60.0, 14.0, 1)], "code int, latitude double, longitude double, ord int")
+    stream = ingest.stream_files(spark, f"{folder}/in", MESSAGE, maxFilesPerTrigger="1")
+    ingest.clean_batches(stream, lambda b: cleaned(b, points), f"{folder}/out", f"{folder}/state").awaitTermination()
+    batch = cleaned(spark.read.schema(MESSAGE).json(f"{folder}/in"), points)
+    out = spark.read.parquet(f"{folder}/out")
+    assert rows(out.select(batch.columns)) == rows(batch) and out.select("batch").distinct().count() == 3
+
+
+def test_open_and_changed_hours_are_closed_by_a_batch(spark, folder):
+    drop_files(f"{folder}/in", [message(i, h, 101 + i % 2) for h in range(6) for i in range(5)])
+    stream = ingest.stream_files(spark, f"{folder}/in", MESSAGE)
+    ingest.land(ingest.hourly_consumption(stream, "1 hour"), f"{folder}/out", f"{folder}/state").awaitTermination()
+    landed = spark.read.schema(MESSAGE).json(f"{folder}/in")
+    emitted = spark.read.parquet(f"{folder}/out")
+    rest = ingest.open_hours(landed, emitted)
+    whole = ingest.hourly_consumption(landed, "1 hour")
+    assert rest.count() > 0 and rows(emitted.unionByName(rest)) == rows(whole)
+    late = landed.limit(1).unionByName(landed)
+    assert ingest.open_hours(late, whole).count() == 1
+
+
 def test_hourly_sum_equals_batch_up_to_the_watermark(spark, folder):
     drop_files(f"{folder}/in", [message(i, h, 101 + i % 2) for h in range(6) for i in range(5)])
     stream = ingest.stream_files(spark, f"{folder}/in", MESSAGE)
@@ -91,7 +114,10 @@ def test_decode_and_route(spark):
     got = ingest.decode(routed, "id int, kind string")
     assert rows(got) == [("price", 2, "b"), ("weather", 1, "a")]
     bad = spark.createDataFrame([("weather", "{oops")], "topic string, value string")
-    assert rows(ingest.decode(bad, "id int")) == [("weather", None)]
+    assert rows(ingest.decode(bad, "id int")) == []
+    assert rows(ingest.undecoded(bad, "id int")) == [("weather", "{oops")]
+    assert rows(ingest.undecoded(routed, "id int, kind string")) == []
+    assert rows(ingest.unrouted(df, "kind", {"a": "weather", "b": "price"})) == [(3, "z")]
     with pytest.raises(ValueError):
         ingest.decode(bad, "id int", fmt="xml")
 

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
@@ -14,6 +14,9 @@ from vejrkraft import fixed_values as fv
 from vejrkraft.functions.documents import encode_json
 
 
+_BAD = "_corrupt_record"
+
+
 def settings(env: Mapping[str, str] = os.environ) -> dict[str, object]:
     """Source, topic, servers and poll interval from the environment."""
     topic = env.get("TOPIC", "weather")
@@ -26,12 +29,19 @@ def settings(env: Mapping[str, str] = os.environ) -> dict[str, object]:
 
 
 def route_topics(df: DataFrame, col: str, topics: Mapping[str, str]) -> DataFrame:
-    """``topic`` by the value of ``col`` and the row as JSON ``value``; other rows have no topic
-    and are not sent."""
-    topic = F.coalesce(*[F.when(F.col(col) == k, F.lit(t)) for k, t in topics.items()])
-    cols = df.columns
-    routed = df.withColumn("topic", topic).where(F.col("topic").isNotNull())
-    return encode_json(routed, cols).select("topic", "value")
+    """``topic`` by the value of ``col`` and the row as JSON ``value``. Rows without a topic are those of
+    ``unrouted``."""
+    routed = df.withColumn("topic", _topic(col, topics)).where(F.col("topic").isNotNull())
+    return encode_json(routed, df.columns).select("topic", "value")
+
+
+def _topic(col: str, topics: Mapping[str, str]) -> Column:
+    return F.coalesce(*[F.when(F.col(col) == k, F.lit(t)) for k, t in topics.items()])
+
+
+def unrouted(df: DataFrame, col: str, topics: Mapping[str, str]) -> DataFrame:
+    """The rows that ``route_topics`` sends nowhere."""
+    return df.where(_topic(col, topics).isNull())
 
 
 def stream_files(
@@ -53,22 +63,46 @@ def stream_topic(spark: SparkSession, servers: Sequence[str], topic: str, **opti
     )
 
 
+def _payload(schema: StructType | str, fmt: str) -> Column:
+    if fmt == "json":
+        return F.from_json(F.col("value").cast("string"), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD})
+    if fmt == "avro":
+        from pyspark.sql.avro.functions import from_avro
+
+        return from_avro("value", schema, {"mode": "PERMISSIVE"})
+    raise ValueError(f"unknown payload format {fmt!r}")
+
+
+def _meta(messages: DataFrame) -> list[str]:
+    return [c for c in messages.columns if c in ("topic", "partition", "offset", "timestamp")]
+
+
+def _parsed(messages: DataFrame, schema: StructType | str, fmt: str) -> DataFrame:
+    """``_payload``, and ``_bad``: the payload is no document of the schema's form."""
+    if fmt == "json":
+        text = schema if isinstance(schema, str) else ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        schema = f"{text}, {_BAD} string"
+    parsed = messages.withColumn("_payload", _payload(schema, fmt))
+    bad = F.col("_payload").isNull()
+    if fmt == "json":
+        bad = bad | F.col(f"_payload.{_BAD}").isNotNull()
+    return parsed.withColumn("_bad", bad)
+
+
 def decode(messages: DataFrame, schema: StructType | str, fmt: str = "json") -> DataFrame:
     """Message payloads as columns, next to topic, partition, offset and timestamp if present.
 
-    Payloads that do not parse come out with null fields. ``fmt="avro"`` takes an Avro schema text
+    Payloads that do not parse are those of ``undecoded``. ``fmt="avro"`` takes an Avro schema text
     and needs the Avro package on the cluster.
     """
-    if fmt == "json":
-        payload = F.from_json(F.col("value").cast("string"), schema)
-    elif fmt == "avro":
-        from pyspark.sql.avro.functions import from_avro
+    good = _parsed(messages, schema, fmt).where(~F.col("_bad"))
+    out = good.select(*_meta(messages), "_payload.*")
+    return out.drop(_BAD) if fmt == "json" else out
 
-        payload = from_avro("value", schema, {"mode": "PERMISSIVE"})
-    else:
-        raise ValueError(f"unknown payload format {fmt!r}")
-    meta = [c for c in messages.columns if c in ("topic", "partition", "offset", "timestamp")]
-    return messages.select(*meta, payload.alias("payload")).select(*meta, "payload.*")
+
+def undecoded(messages: DataFrame, schema: StructType | str, fmt: str = "json") -> DataFrame:
+    """The messages that ``decode`` leaves out, as they came."""
+    return _parsed(messages, schema, fmt).where("_bad").drop("_payload", "_bad")
 
 
 def once_per_document(stream: DataFrame, key: Sequence[str], time: str, delay: str) -> DataFrame:
@@ -96,6 +130,45 @@ def hourly_consumption(
     )
 
 
+def open_hours(
+    landed: DataFrame,
+    emitted: DataFrame,
+    time: str = "datetime",
+    key: str = "municipality_code",
+    value: str = "ConsumptionkWh",
+) -> DataFrame:
+    """Hours and keys of the landed rows that the stream has not emitted, or emitted without late rows.
+
+    A batch pass over what has been landed: the last open hours, and hours whose sum has changed since.
+    """
+    whole = hourly_consumption(landed, "0 seconds", time, key, value)
+    same = emitted.select(
+        F.col(time).alias("_time"), F.col(key).alias("_key"), F.col(value).alias("_value")
+    )
+    match = (F.col(time) == F.col("_time")) & (F.col(key) == F.col("_key"))
+    close = F.abs(F.col(value) - F.col("_value")) <= 1e-9 * F.greatest(F.abs(F.col(value)), F.lit(1.0))
+    return whole.join(same, match & close, "left_anti")
+
+
+def clean_batches(
+    stream: DataFrame,
+    clean: Callable[[DataFrame], DataFrame],
+    folder: str,
+    checkpoint: str,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Run a batch clean-up, whatever its joins and distinct steps, on every micro-batch of a stream.
+
+    Each batch has its own folder, ``batch=<number>``, which a repeated batch overwrites.
+    """
+
+    def land_batch(batch: DataFrame, number: int) -> None:
+        clean(batch).write.mode("overwrite").parquet(f"{folder.rstrip('/')}/batch={number}")
+
+    writer = stream.writeStream.foreachBatch(land_batch).option("checkpointLocation", checkpoint)
+    return _trigger(writer, every).start()
+
+
 def _trigger(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
     return writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
 
