@@ -103,7 +103,7 @@ def test_sunlight_profile(spark):
         OBS,
     )
     details = spark.createDataFrame([("a", None, "DNK", None, "v", None, 0)], DETAILS)
-    got = profiles.sunlight_profile(obs, details)
+    got = profiles.sunlight_profile(obs, details, as_timestamp=False)
     keep = ["station_id", "name", "country", "status", "latitude", "sunshine_observations", "radiation_observations",
             "first_sunshine_date", "measurement_types"]
     assert rows(got.select(keep)) == [
@@ -125,7 +125,7 @@ def test_precipitation_mean_counts_valueless_rows(spark):
     assert rows(got) == [("a", 3, 1.0, 1.12, 3.35), ("b", 2, 0.0, None, None), ("c", 1, None, None, None)]
 
 
-def test_wind_text_times_compare_as_text_unless_asked(spark):
+def test_wind_text_times_compare_as_text_only_if_asked(spark):
     obs = spark.createDataFrame(
         [
             ("a", "mean_wind_speed", "2024-01-01T00:30:00+02:00", 5.0, None, None, 0),
@@ -133,10 +133,10 @@ def test_wind_text_times_compare_as_text_unless_asked(spark):
         ],
         OBS,
     )
-    got = profiles.wind_profile(obs).first()
+    got = profiles.wind_profile(obs, as_timestamp=False).first()
     assert got["first_wind_date"] == "2024-01-01T00:00:00+00:00" and got["max_wind_speed_recorded_ms"] == 5.0
     assert (got["latitude"], got["longitude"]) == (1.0, 2.0)
-    timed = profiles.wind_profile(obs, as_timestamp=True).select(times.iso_text("first_wind_date"))
+    timed = profiles.wind_profile(obs).select(times.iso_text("first_wind_date"))
     assert values(timed) == ["2023-12-31T22:30:00Z"]
 
 

@@ -80,12 +80,13 @@ def _span(prefix: str, time: Column) -> list[Column]:
 
 
 def _times(obs: DataFrame, as_timestamp: bool) -> DataFrame:
-    # Text times compare as text unless asked otherwise. Timestamps are cheaper to aggregate.
-    return obs.withColumn("observed_from", F.col("observed_from").cast("timestamp")) if as_timestamp else obs
+    # Instants are hash-aggregated; text would be compared as text, whatever its offset, and sorted. A text that
+    # is no time counts as an observation without a time.
+    return obs.withColumn("observed_from", F.col("observed_from").try_cast("timestamp")) if as_timestamp else obs
 
 
 def sunlight_profile(
-    obs: DataFrame, details: DataFrame | None = None, as_timestamp: bool = False
+    obs: DataFrame, details: DataFrame | None = None, as_timestamp: bool = True
 ) -> DataFrame:
     """Stations with sunshine or radiation observations.
 
@@ -127,7 +128,7 @@ def wind_profile(
     obs: DataFrame,
     details: DataFrame | None = None,
     parameters: Sequence[str] = tuple(fv.WIND_PARAMETERS),
-    as_timestamp: bool = False,
+    as_timestamp: bool = True,
 ) -> DataFrame:
     """Stations with wind observations: counts per parameter, time range and speed extremes.
 
@@ -136,7 +137,10 @@ def wind_profile(
     param = F.col("parameter")
     speed = F.when(param.contains(fv.SPEED_MARK), F.col("value"))
     rank = F.coalesce(*[F.when(param == p, F.lit(i)) for i, p in enumerate(parameters)])
-    at = rank.cast("long") * _ARRIVAL_SPAN + F.col("arrival")
+    arrival = F.col("arrival")
+    too_large = F.raise_error(F.concat(F.lit("arrival out of range: "), arrival.cast("string")))
+    arrival = F.when(arrival.between(0, _ARRIVAL_SPAN - 1), arrival).when(arrival.isNotNull(), too_large)
+    at = rank.cast("long") * _ARRIVAL_SPAN + arrival
     located = F.col("latitude").isNotNull()
     profile = (
         _times(obs, as_timestamp)
@@ -182,7 +186,7 @@ def precipitation_amounts(value: Column) -> dict[str, Column]:
 
 
 def precipitation_profile(
-    obs: DataFrame, details: DataFrame | None = None, as_timestamp: bool = False, digits: int = 2
+    obs: DataFrame, details: DataFrame | None = None, as_timestamp: bool = True, digits: int = 2
 ) -> DataFrame:
     """Stations with precipitation observations: counts, time range and amounts."""
     amounts = precipitation_amounts(F.col("value"))

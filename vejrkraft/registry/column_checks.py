@@ -229,7 +229,9 @@ def reject_split(spark: SparkSession, folder: str) -> DataFrame:
         F.col("doc_id").alias("id"), "text", F.when(F.col("lang") != "de", F.col("lang")).alias("lang")
     )
     p = table(spark, folder, "pages").select(
-        F.col("page_id").alias("id"), F.col("html").alias("text"), F.lit("html").alias("lang")
+        F.col("page_id").alias("id"),
+        F.when(F.col("page_id") % 7 != 0, F.col("html")).alias("text"),
+        F.lit("html").alias("lang"),
     )
     rules = {
         "no language": F.col("lang").isNotNull(),
@@ -243,7 +245,7 @@ def reject_split(spark: SparkSession, folder: str) -> DataFrame:
 
 REJECT_SQL = """with r as (
       select text, case when lang <> 'de' then lang end as lang from documents
-      union all select html, 'html' from pages)
+      union all select case when page_id % 7 <> 0 then html end, 'html' from pages)
     select case when lang is null then 'no language' when coalesce(length(text), 0) = 0 then 'no text'
                 when not contains(text, '. ') then 'no sentence' else 'good' end as reason,
            count(*) as n, cast(sum(length(text)) as bigint) as chars from r group by 1"""

@@ -8,14 +8,33 @@ from __future__ import annotations
 
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vejrkraft.functions.areas import price_area
 from vejrkraft.functions.times import iso_text
 from vejrkraft.operators.cleaning import clean_observations
+from vejrkraft.operators.nearest import nearest_point
+from vejrkraft.operators.profiles import latest_details
 from vejrkraft.operators.summaries import page_accounting
-from vejrkraft.registry.tables import WIND, case, case_sql, details, table
+from vejrkraft.plans.collection import profile_stations
+from vejrkraft.registry.station_checks import (
+    PRECIPITATION_PROFILE_SQL,
+    SUNLIGHT_PROFILE_SQL,
+    WIND_PROFILE_SQL,
+)
+from vejrkraft.registry.tables import (
+    DETAILS_SQL,
+    STATIONS_SQL,
+    WEATHER,
+    WIND,
+    case,
+    case_sql,
+    details,
+    offset_text,
+    reference_points,
+    table,
+)
 from vejrkraft.schemas import WIND_TYPES
 from vejrkraft.session import checkpoint_dir
 from vejrkraft.sinks import files as sinks
@@ -97,8 +116,7 @@ def _land_pages(spark: SparkSession, folder: str) -> str:
 
 def landed_observations(spark: SparkSession, folder: str) -> DataFrame:
     landed = pages.read_observation_pages(spark, _land_pages(spark, folder))
-    kept = pages.downloaded_pages(landed, limit=_PAGE_ROWS, offset_end=None)
-    good, bad = pages.observations(kept)
+    good, bad = pages.observations(pages.last_landings(landed))
     out = good.withColumn("reason", F.lit("good")).unionByName(bad.drop("value_text"))
     return out.select(
         "arrival", "page", "station_id", "observed_from", "value", "reason",
@@ -133,6 +151,142 @@ LANDED_ACCOUNTING_SQL = """with g as (
     from g left join f using (page) group by g.page"""
 
 
+# A table is cut into this many pages per parameter; one of them is landed twice, one offset is left out, and the last pages lie
+# beyond the offsets that the service's own clients ask for.
+_PAGES = 20
+_STEP = 100_000
+_FAR = 2_000_000
+_PAGE_NO = f"cast(least({{id}} * {_PAGES} div (1 + max_id), {_PAGES - 1}) as bigint)"
+
+
+def _offset(page: Column, step: int) -> Column:
+    far = F.when(page >= 3 * _PAGES // 4, _FAR).otherwise(0)
+    return (page + (page >= 5).cast("long")) * step + far
+
+
+def _offset_sql(page: str, step: int) -> str:
+    return f"({page} + ({page} >= 5)::bigint) * {step} + case when {page} >= {3 * _PAGES // 4} then {_FAR} else 0 end"
+
+
+def _land_twice(
+    spark: SparkSession, rows: DataFrame, id_col: str, by: list[str], feature: Column, items: str, step: int
+) -> str:
+    """``rows`` as pages of a service, a JSON document each, in order of ``id_col``."""
+    out = _folder(spark, "pages")
+    last = rows.agg(F.max(id_col).alias("max_id"))
+    page = F.expr(_PAGE_NO.format(id=id_col))
+    documents = (
+        rows.crossJoin(F.broadcast(last))  # one number
+        .groupBy(*by, page.alias("page"))
+        .agg(F.transform(F.array_sort(F.collect_list(F.struct(id_col, feature.alias("item")))), lambda x: x["item"]).alias(items))
+    )
+    placed = documents.withColumn("offset", _offset(F.col("page"), step))
+    # An earlier landing of one page held half of its rows.
+    half = placed.where("page = 1").withColumn(items, F.slice(items, 1, F.size(items).cast("int") / 2))
+    for landing in (half, placed):
+        text = landing.select(*by, "offset", F.to_json(F.struct(items)).alias("value"))
+        text.write.mode("append").partitionBy(*by, "offset").text(out)
+    return out
+
+
+# Added to amounts that are rounded to two digits, so that no mean lies half-way.
+_SHIFT = 0.00137
+
+
+def _land_parameters(
+    spark: SparkSession, folder: str, parameters: dict[str, str], step: int = _STEP, shift: float = 0.0
+) -> str:
+    """Events as observation pages. Every 97th has lost its station."""
+    e = table(spark, folder, "events").withColumn("parameter", case("event_type", parameters))
+    value = F.col("value")
+    properties = F.struct(
+        F.when(F.col("event_id") % 97 != 0, F.col("user_id").cast("string")).alias("stationId"),
+        offset_text(F.col("ts"), F.col("event_id") % 2 == 1).alias("from"),
+        F.when(value >= 15, (value + shift).cast("string")).alias("value"),
+    )
+    place = F.struct(F.array(9 + value / 50, 55 + value / 100).alias("coordinates"))
+    feature = F.struct(F.when(value < 60, place).alias("geometry"), properties.alias("properties"))
+    return _land_twice(spark, e, "event_id", ["parameter"], feature, "features", step)
+
+
+def _land_details(spark: SparkSession, folder: str) -> str:
+    d = details(spark, folder)
+    properties = F.struct(
+        F.col("station_id").alias("stationId"), "name", "country", "status",
+        F.col("valid_from").alias("validFrom"), F.col("valid_to").alias("validTo"),
+    )
+    feature = F.struct(F.lit(None).cast("string").alias("geometry"), properties.alias("properties"))
+    return _land_twice(spark, d, "arrival", [], feature, "features", _STEP)
+
+
+def _profile_from_pages(kind: str, parameters: dict[str, str], shift: float = 0.0):
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        obs = _land_parameters(spark, folder, parameters, shift=shift)
+        det = _land_details(spark, folder)
+        out = profile_stations(spark, kind, obs, det, _folder(spark, "rejects"))
+        times = [c for c, t in out.dtypes if t.startswith("timestamp")]
+        out = out.withColumns({c: iso_text(c) for c in times})
+        return out.withColumns({c: F.round(c, 6) for c in ("latitude", "longitude")})
+
+    return query
+
+
+def _with_stations(sql: str) -> str:
+    return sql.replace("from events)", "from events where event_id % 97 <> 0)")
+
+
+def page_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """What the profile leaves out is written, with the reason."""
+    out = _folder(spark, "rejects")
+    profile_stations(spark, "wind", _land_parameters(spark, folder, WIND), _land_details(spark, folder), out)
+    bad = files.read_parquet(spark, f"{out}/observations")
+    return bad.groupBy("parameter", "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+PAGE_REJECTS_SQL = f"""select {case_sql("event_type", WIND)} as parameter, 'no station' as reason, count(*) as n
+    from events where event_id % 97 = 0 group by 1"""
+
+
+def page_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    landed = pages.read_observation_pages(spark, _land_parameters(spark, folder, WIND, step=100))
+    return pages.page_ledger(landed, limit=100).withColumn("rows", F.col("rows").cast("long"))
+
+
+PAGE_LEDGER_SQL = f"""with p as (
+      select {case_sql("event_type", WIND)} as parameter,
+        least(event_id * {_PAGES} // (1 + (select max(event_id) from events)), {_PAGES - 1}) as page from events),
+    n as (select parameter, page, {_offset_sql("page", 100)} as "offset", count(*) as rows from p group by all)
+    select parameter, "offset"::bigint as "offset", case page when 1 then 2 else 1 end::bigint as landings, rows,
+      rows >= 100 as "full",
+      "offset" > 0 and not exists (select 1 from n b where b.parameter = n.parameter and b."offset" = n."offset" - 100) as gap_before,
+      not exists (select 1 from n b where b.parameter = n.parameter and b."offset" = n."offset" + 100) as "last"
+    from n"""
+
+
+def details_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """The last details of every station over all pages."""
+    landed = pages.last_landings(pages.read_detail_pages(spark, _land_details(spark, folder)), by=())
+    good, _ = pages.station_details(landed)
+    return latest_details(good)
+
+
+def record_pages(spark: SparkSession, folder: str) -> DataFrame:
+    o = table(spark, folder, "orders")
+    record = F.struct(
+        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("TimeUTC"),
+        F.col("o_custkey").cast("int").alias("MunicipalityCode"),
+        F.col("o_orderstatus").alias("RegionName"),
+        F.col("o_totalprice").alias("ConsumptionkWh"),
+    )
+    landed = _land_twice(spark, o, "o_orderkey", [], record, "records", _STEP)
+    return pages.read_record_pages(spark, landed).drop("ord")
+
+
+RECORD_PAGES_SQL = """select strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') as "TimeUTC", null::varchar as "TimeDK",
+      o_custkey::int as "MunicipalityCode", null::varchar as "Municipality", o_orderstatus as "RegionName",
+      o_totalprice as "ConsumptionkWh" from orders"""
+
+
 def station_tables(spark: SparkSession, folder: str) -> DataFrame:
     """Three station tables of different shape as CSV, one of them missing, loaded together."""
     wind, sun = _folder(spark, "wind"), _folder(spark, "sun")
@@ -202,7 +356,8 @@ def stream_landing(spark: SparkSession, folder: str) -> DataFrame:
     shape = "event_id long, datetime timestamp, user_id long, event_type string, value double"
     names = table(spark, folder, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("name"))
     good = clean_observations(ingest.decode(sent, shape)).join(names, "user_id")
-    good = good.withColumn("area", price_area("user_id", "municipality"))
+    code = (F.col("event_id") % 800).cast("int")
+    good = good.withColumn("code", code).withColumn("area", price_area("code", "municipality"))
     out = _folder(spark, "landing")
     ingest.land(good, out, f"{out}-state", partition_by=["topic"]).awaitTermination()
     back = files.read_parquet(spark, out)
@@ -211,7 +366,7 @@ def stream_landing(spark: SparkSession, folder: str) -> DataFrame:
 
 STREAM_LANDING_SQL = f"""select case event_type when 'error' then 'price' when 'purchase' then 'consumption'
         else 'weather' end as topic, event_id, strftime(ts, {_ISO}) as datetime, c_name as name,
-      case when user_id > 400 then '1' else '2' end as area, value
+      case when event_id % 800 > 400 then '1' else '2' end as area, value
     from events join customer on c_custkey = user_id
     where event_type <> 'signup' and value >= 15"""
 
@@ -232,6 +387,78 @@ STREAM_HOURLY_SQL = f"""with p as (select * from events where event_type = 'purc
     group by date_trunc('hour', ts), user_id"""
 
 
+def _event_files(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The events in several files, and as a stream that takes one file at a time; the files are not in order of
+    time, so that many rows come late."""
+    out = _folder(spark, "files")
+    e = table(spark, folder, "events").withColumn("datetime", F.col("ts").cast("timestamp"))
+    e = e.withColumn("late", F.col("event_id") % 5)
+    e.repartition(5, "late").write.parquet(out)
+    landed = files.read_parquet(spark, out)
+    return landed, ingest.stream_files(spark, out, landed.schema, "parquet", maxFilesPerTrigger="1")
+
+
+def stream_closed(spark: SparkSession, folder: str) -> DataFrame:
+    """Hourly sums of a stream with late rows, closed by a batch pass over what has been landed."""
+    landed, stream = _event_files(spark, folder)
+    bought = F.col("event_type") == "purchase"
+    out = _folder(spark, "hourly")
+    hourly = ingest.hourly_consumption(stream.where(bought), "10 minutes", key="user_id", value="value")
+    ingest.land(hourly, out, f"{out}-state").awaitTermination()
+    emitted = files.read_parquet(spark, out)
+    rest = ingest.open_hours(landed.where(bought), emitted, key="user_id", value="value")
+    keys = ["datetime", "user_id"]
+    whole = emitted.join(rest, keys, "left_anti").select(*keys, "value").unionByName(rest)
+    return whole.select(iso_text("datetime").alias("hour"), "user_id", F.round("value", 6).alias("value"))
+
+
+STREAM_CLOSED_SQL = f"""select strftime(date_trunc('hour', ts), {_ISO}) as hour, user_id, round(sum(value), 6) as value
+    from events where event_type = 'purchase' group by date_trunc('hour', ts), user_id"""
+
+
+def stream_clean(spark: SparkSession, folder: str) -> DataFrame:
+    """The batch clean-up, nearest point included, on a stream of several files."""
+    _, stream = _event_files(spark, folder)
+    points = reference_points(spark, folder)
+
+    def clean(batch: DataFrame) -> DataFrame:
+        placed = batch.withColumns({"latitude": F.col("value") / 100 - 0.5, "longitude": F.col("user_id") / 150 - 0.5})
+        return nearest_point(clean_observations(placed), points)
+
+    out = _folder(spark, "clean")
+    ingest.clean_batches(stream, clean, out, f"{out}-state").awaitTermination()
+    back = files.read_parquet(spark, out)
+    return back.select("event_id", F.col("municipality_code").cast("int").alias("municipality_code"))
+
+
+STREAM_CLEAN_SQL = f"""with {STATIONS_SQL},
+    e as (select event_id, value / 100 - 0.5 as latitude, user_id / 150 - 0.5 as longitude from events where value is not null)
+    select event_id, cast(p.code as integer) as municipality_code from e, points p
+    qualify row_number() over (partition by event_id order by (e.latitude - p.latitude) * (e.latitude - p.latitude)
+      + (e.longitude - p.longitude) * (e.longitude - p.longitude), p.ord) = 1"""
+
+
+def stream_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages that cannot be read and rows without a topic, each landed in a table of its own."""
+    _, stream = _event_files(spark, folder)
+    topics = {"view": "weather", "click": "weather", "error": "price"}
+    broken = F.when(F.col("event_id") % 10 == 0, F.lit("{oops")).otherwise(F.col("value"))
+    sent = ingest.route_topics(stream.select("event_id", "event_type"), "event_type", topics)
+    sent = sent.withColumn("event_id", F.get_json_object("value", "$.event_id").cast("long"))
+    bad = ingest.undecoded(sent.withColumn("value", broken), "event_id long, event_type string").select("event_id")
+    lost = ingest.unrouted(stream.select("event_id", "event_type"), "event_type", topics).select("event_id")
+    found = []
+    for reason, rows in (("unreadable", bad), ("no topic", lost)):
+        out = _folder(spark, "rejects")
+        ingest.land(rows, out, f"{out}-state").awaitTermination()
+        found.append(files.read_parquet(spark, out).withColumn("reason", F.lit(reason)))
+    return found[0].unionByName(found[1])
+
+
+STREAM_REJECTS_SQL = """select event_id, 'no topic' as reason from events where event_type in ('purchase', 'signup')
+    union all select event_id, 'unreadable' from events where event_type in ('view', 'click', 'error') and event_id % 10 = 0"""
+
+
 def stream_once(spark: SparkSession, folder: str) -> DataFrame:
     """Repeats of a polled document dropped: events repeat by user and hour."""
     stream = _event_stream(spark, folder).withColumn("hour", F.date_trunc("hour", "datetime"))
@@ -249,6 +476,26 @@ def analytics_area(spark: SparkSession, folder: str) -> DataFrame:
 
 
 CHECKS = {
+    "profile_from_pages_wind": (_profile_from_pages("wind", WIND), _with_stations(WIND_PROFILE_SQL)),
+    "profile_from_pages_sunlight": (
+        _profile_from_pages("sunlight", WEATHER),
+        _with_stations(SUNLIGHT_PROFILE_SQL),
+    ),
+    "profile_from_pages_precipitation": (
+        _profile_from_pages("precipitation", WEATHER, _SHIFT),
+        # The profile rounds amounts to two digits unless told otherwise.
+        _with_stations(PRECIPITATION_PROFILE_SQL)
+        .replace("then value end as value", f"then value + {_SHIFT} end as value")
+        .replace("/ count(*), 6)", "/ count(*), 2)")
+        .replace("round(sum(value), 6)", "round(sum(value), 2)"),
+    ),
+    "page_rejects": (page_rejects, PAGE_REJECTS_SQL),
+    "page_ledger": (page_ledger, PAGE_LEDGER_SQL),
+    "details_pages": (
+        details_pages,
+        f"with {DETAILS_SQL} select station_id, name, country, status, valid_from, valid_to from latest",
+    ),
+    "record_pages": (record_pages, RECORD_PAGES_SQL),
     "csv_source": (csv_source, CSV_SQL),
     "ndjson_source": (ndjson_source, "select * from conversations"),
     "ndjson_variant": (ndjson_variant, "select event_id, event_type, value from events"),
@@ -268,6 +515,9 @@ CHECKS = {
     ),
     "stream_landing": (stream_landing, STREAM_LANDING_SQL),
     "stream_hourly": (stream_hourly, STREAM_HOURLY_SQL),
+    "stream_closed": (stream_closed, STREAM_CLOSED_SQL),
+    "stream_clean": (stream_clean, STREAM_CLEAN_SQL),
+    "stream_rejects": (stream_rejects, STREAM_REJECTS_SQL),
     "stream_once": (
         stream_once,
         f"select distinct user_id, strftime(date_trunc('hour', ts), {_ISO}) as hour from events",

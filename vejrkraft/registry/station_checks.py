@@ -19,12 +19,12 @@ from vejrkraft.registry.tables import (
     details,
     observations,
     observations_sql,
+    offset_text,
     table,
 )
 from vejrkraft.session import staged
 
 _ISO = "'%Y-%m-%dT%H:%M:%SZ'"
-_SPAN = profiles._ARRIVAL_SPAN
 _DETAIL_COLUMNS = ", ".join(profiles.DETAIL_COLUMNS)
 
 
@@ -37,11 +37,16 @@ def _round(df: DataFrame, *cols: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in cols})
 
 
+def _mixed_offsets(obs: DataFrame) -> DataFrame:
+    """Times as the service sends them: text, with one of two offsets."""
+    return obs.withColumn("observed_from", offset_text(F.col("observed_from"), F.col("arrival") % 2 == 1))
+
+
 # Profiles --------------------------------------------------------------------------------------
 
 
 def wind_profile(spark: SparkSession, folder: str) -> DataFrame:
-    out = profiles.wind_profile(observations(spark, folder, WIND), details(spark, folder))
+    out = profiles.wind_profile(_mixed_offsets(observations(spark, folder, WIND)), details(spark, folder))
     return _round(_text_times(out), "latitude", "longitude")
 
 
@@ -61,11 +66,11 @@ _ENRICHED = """case when d.station_id is not null then coalesce(d.name, 'Unknown
 
 WIND_PROFILE_SQL = f"""with {observations_sql(WIND)},
     {DETAILS_SQL},
-    o as (select *, (case parameter {_RANK} end)::bigint * {_SPAN} + arrival as seq from obs),
+    o as (select *, case parameter {_RANK} end as rank from obs),
     p as (
       select station_id,
-        round(arg_min(latitude, seq) filter (latitude is not null), 6) as latitude,
-        round(arg_min(longitude, seq) filter (latitude is not null), 6) as longitude,
+        round(first(latitude order by rank, arrival) filter (latitude is not null), 6) as latitude,
+        round(first(longitude order by rank, arrival) filter (latitude is not null), 6) as longitude,
         count(*) as total_wind_observations,
         string_agg(distinct parameter, ', ' order by parameter) as wind_parameters_measured,
         cast(count(distinct parameter) as integer) as parameter_count,
@@ -79,7 +84,7 @@ WIND_PROFILE_SQL = f"""with {observations_sql(WIND)},
 
 
 def sunlight_profile(spark: SparkSession, folder: str) -> DataFrame:
-    out = profiles.sunlight_profile(observations(spark, folder, WEATHER), details(spark, folder))
+    out = profiles.sunlight_profile(_mixed_offsets(observations(spark, folder, WEATHER)), details(spark, folder))
     return _round(_text_times(out), "latitude", "longitude")
 
 
@@ -115,7 +120,7 @@ SUNLIGHT_PROFILE_SQL = f"""with {observations_sql(WEATHER)},
 
 
 def precipitation_profile(spark: SparkSession, folder: str) -> DataFrame:
-    obs = observations(spark, folder, WEATHER)
+    obs = _mixed_offsets(observations(spark, folder, WEATHER))
     out = profiles.precipitation_profile(obs, details(spark, folder), digits=6)
     return _round(_text_times(out), "latitude", "longitude")
 
@@ -296,7 +301,7 @@ def time_range(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def extreme_rows(spark: SparkSession, folder: str) -> DataFrame:
-    profile = profiles.wind_profile(observations(spark, folder, WIND), details(spark, folder))
+    profile = profiles.wind_profile(_mixed_offsets(observations(spark, folder, WIND)), details(spark, folder))
     high, low = "max_wind_speed_recorded_ms", "min_wind_speed_recorded_ms"
     return summaries.extreme_rows(profile, high, low, ["station_id", "name"], "station_id")
 
@@ -429,10 +434,17 @@ COVERAGE_SQL = f"""with {observations_sql(WIND)}
 
 
 def clean_observations(spark: SparkSession, folder: str) -> DataFrame:
-    """Observations with a value, one per (station, parameter, time), with their place in the order."""
+    """Observations with a value, the first of each (station, parameter, hour), with their place in the order.
+
+    The rows of an hour differ in value, and their times are text with one of two offsets.
+    """
     obs = observations(spark, folder, WIND)
-    twice = cleaning.union_all([obs, obs])
-    kept = cleaning.clean_observations(twice, key=["station_id", "parameter", "observed_from"])
+    timed = obs.withColumn("hour", F.date_trunc("hour", "observed_from")).withColumn(
+        "text", offset_text(F.col("hour"), F.col("arrival") % 2 == 1)
+    )
+    twice = cleaning.union_all([timed, timed])
+    instant = F.col("text").cast("timestamp")
+    kept = cleaning.clean_observations(twice, key=["station_id", "parameter", instant], order=["arrival"])
     out = row_index(kept, ["station_id", "observed_from", "parameter"])
     return out.select("arrival", "station_id", "value", "position")
 
@@ -440,8 +452,8 @@ def clean_observations(spark: SparkSession, folder: str) -> DataFrame:
 CLEAN_SQL = f"""with {observations_sql(WIND)}
     select arrival, station_id, value,
       row_number() over (order by station_id, observed_from, parameter) as position
-    from obs where value is not null
-    qualify row_number() over (partition by station_id, parameter, observed_from order by arrival) = 1"""
+    from (select * from obs where value is not null
+      qualify row_number() over (partition by station_id, parameter, date_trunc('hour', observed_from) order by arrival) = 1)"""
 
 
 def null_rows_removed(spark: SparkSession, folder: str) -> DataFrame:
@@ -483,17 +495,18 @@ MONTH_GRID_SQL = f"""with m as (
 
 
 def month_window_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Events of January 2024 by Danish wall-clock time."""
-    rows = month_window(table(spark, folder, "events"), "ts", "2024-01-01", zone=fv.DANISH_ZONE)
-    return rows.select("event_id", iso_text("ts").alias("ts"))
+    """Orders of January 1997 by Danish wall-clock time."""
+    orders = table(spark, folder, "orders")
+    rows = month_window(orders, "o_orderdate", "1997-01-01", zone=fv.DANISH_ZONE)
+    return rows.select("o_orderkey", iso_text("o_orderdate").alias("ts"))
 
 
-MONTH_WINDOW_SQL = f"""select event_id, strftime(ts, {_ISO}) as ts from events
-    where ts >= timestamp '2023-12-31 23:00:00' and ts < timestamp '2024-01-31 23:00:00'"""
+MONTH_WINDOW_SQL = f"""select o_orderkey, strftime(o_orderdate, {_ISO}) as ts from orders
+    where o_orderdate >= timestamp '1996-12-31 23:00:00' and o_orderdate < timestamp '1997-01-31 23:00:00'"""
 
 
 def profile_report(spark: SparkSession, folder: str) -> DataFrame:
-    profile = staged(profiles.wind_profile(observations(spark, folder, WIND), details(spark, folder)))
+    profile = staged(profiles.wind_profile(_mixed_offsets(observations(spark, folder, WIND)), details(spark, folder)))
     return profile_summary(
         profile,
         "total_wind_observations",

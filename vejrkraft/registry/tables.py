@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vejrkraft import fixed_values as fv
 from vejrkraft.functions.areas import price_area
 from vejrkraft.operators.nearest import nearest_point
 from vejrkraft.session import prepare
@@ -30,22 +31,22 @@ def case_sql(col: str, table: dict[str, str]) -> str:
 
 
 # Event types as the parameters of the three station profiles.
-WIND = {
-    "click": "mean_wind_speed",
-    "purchase": "max_wind_speed_3sec",
-    "view": "max_wind_speed_10min",
-    "signup": "mean_wind_dir",
-    "error": "mean_wind_dir_min0",
-}
+WIND = dict(zip(("click", "purchase", "view", "signup", "error"), fv.WIND_PARAMETERS))
 WEATHER = {
-    "view": "bright_sunshine",
-    "click": "mean_radiation",
-    "purchase": "acc_precip",
-    "signup": "mean_wind_speed",
-    "error": "mean_wind_dir",
+    "view": fv.SUNSHINE,
+    "click": fv.RADIATION,
+    "purchase": fv.PRECIPITATION,
+    "signup": fv.WIND_PARAMETERS[0],
+    "error": fv.WIND_PARAMETERS[3],
 }
 
 
+def offset_text(time: Column, odd: Column) -> Column:
+    """A UTC time as ISO text, where ``odd`` with the offset of Danish winter time."""
+    shifted = F.date_format(time + F.expr("interval 1 hour"), "yyyy-MM-dd'T'HH:mm:ss'+01:00'")
+    return F.when(odd, shifted).otherwise(F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+
+
 def observations(spark: SparkSession, folder: str, parameters: dict[str, str]) -> DataFrame:
     """Events as observations: small values are missing, and so are the places of large ones."""
     e = table(spark, folder, "events")
