@@ -71,3 +71,10 @@ def test_analytics_area(spark, folder):
     path = files.write_analytics(spark.range(3), folder, "corr")
     path = files.write_analytics(spark.range(2), folder, "corr")
     assert path == f"{folder}/analytics/corr" and spark.read.parquet(path).count() == 2
+
+
+def test_json_array_with_a_null_place(spark):
+    df = spark.createDataFrame([("a", 1), ("a", None), ("b", None)], "k string, n int")
+    got = documents.json_array_pieces(df, ["n"], ["k"]).orderBy("k", F.col("n").asc_nulls_last()).collect()
+    assert "".join(r["piece"] for r in got if r["k"] == "a") == '[{"k":"a","n":1}, {"k":"a","n":null}]'
+    assert [r["piece"] for r in got if r["k"] == "b"] == ['[{"k":"b","n":null}]']

@@ -26,6 +26,7 @@ DANISH_ZONE = "Europe/Copenhagen"
 OBSERVATION_PAGE_ROWS = 300_000
 CONSUMPTION_PAGE_ROWS = 20_000
 RECENT_DAYS = 30
+SAMPLE_STATIONS = 5
 ASSUMED_RECORD_BYTES = 200
 EXPECTED_SUNLIGHT_STATIONS = 35
 

@@ -27,13 +27,15 @@ def json_array_pieces(
 ) -> DataFrame:
     """Each row's share of one JSON array document per ``keys``.
 
-    The pieces of a key, taken in ``order`` (unique within the key), concatenate to the array. Only
+    The pieces of a key, taken in ``order`` (unique within the key, nulls last), concatenate to the array. Only
     the first and last position per key are aggregated, so a document may be of any size: no task
     holds more than one record.
     """
-    # A single number is compared in place; several columns need a struct.
-    place = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    ends = df.groupBy(*keys).agg(F.min(place).alias("_first"), F.max(place).alias("_last"))
+    # A single number is compared in place; several columns need a struct. A null comes last.
+    place = F.col(order[0]) if len(order) == 1 else F.struct(*[F.struct(F.col(c).isNull(), F.col(c)) for c in order])
+    ends = df.groupBy(*keys).agg(
+        F.min(place).alias("_first"), F.max(place).alias("_last"), F.count_if(place.isNull()).alias("_nulls")
+    )
     ends = ends.withColumnsRenamed({k: f"_e_{k}" for k in keys})
     match = F.lit(True)
     for k in keys:
@@ -41,9 +43,10 @@ def json_array_pieces(
     # Without keys there is exactly one row of ends.
     joined = df.join(ends if keys else F.broadcast(ends), match)
     record = F.to_json(F.struct(*(cols or df.columns)), {"ignoreNullFields": "false"})
+    last = F.when(F.col("_nulls") > 0, place.isNull()).otherwise(place == F.col("_last"))
     piece = F.concat(
-        F.when(place == F.col("_first"), "[").otherwise(""),
+        F.when(place.eqNullSafe(F.col("_first")), "[").otherwise(""),
         record,
-        F.when(place == F.col("_last"), "]").otherwise(", "),
+        F.when(last, "]").otherwise(", "),
     )
     return joined.select(*keys, *[c for c in order if c not in keys], piece.alias("piece"))

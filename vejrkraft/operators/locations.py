@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vejrkraft import fixed_values as fv
 from vejrkraft.functions.texts import place_label
+from vejrkraft.operators.ordering import row_index
 
 PLACE_DIGITS = 6
 
@@ -62,6 +63,19 @@ def location_rollup(df: DataFrame, order: str = "ord") -> DataFrame:
     )
 
 
+def place_names(df: DataFrame, order: str = "ord") -> DataFrame:
+    """The distinct names of every place in order of appearance: ``lat_rounded, lng_rounded, position`` (from 1)
+    ``, name``.
+
+    A long table, numbered range by range, so a place may have any number of names.
+    """
+    lat, lng = F.bround("latitude", PLACE_DIGITS), F.bround("longitude", PLACE_DIGITS)
+    place = ["lat_rounded", "lng_rounded"]
+    rows = df.where(F.col("name").isNotNull()).withColumns({"lat_rounded": lat, "lng_rounded": lng})
+    first = rows.groupBy(*place, "name").agg(F.min(order).alias("_at"))
+    return row_index(first, ["_at", "name"], by=place).select(*place, "position", "name")
+
+
 def location_counts(places: DataFrame) -> DataFrame:
     """Places, places with a single type and places with several."""
     multi = F.col("place_class") == fv.MULTI_CLASS

@@ -192,6 +192,18 @@ def recent_stations(
     )
 
 
+def recent_sample(
+    obs: DataFrame,
+    time: str,
+    reference: Column,
+    days: int = fv.RECENT_DAYS,
+    n: int = fv.SAMPLE_STATIONS,
+    key: str = "station_id",
+) -> DataFrame:
+    """The first ``n`` station ids of the recent window."""
+    return recent_rows(obs, time, reference, days).select(key).distinct().orderBy(key).limit(n)
+
+
 def observation_summary(obs: DataFrame, time: str, value: str, key: str = "station_id") -> DataFrame:
     return obs.agg(
         F.count(F.lit(1)).alias("rows"),

@@ -9,7 +9,7 @@ from vejrkraft import fixed_values as fv
 from vejrkraft.functions.times import iso_text, month_window
 from vejrkraft.operators import cleaning, profiles, summaries
 from vejrkraft.operators.grids import month_calendar, month_coverage, month_grid
-from vejrkraft.operators.locations import centroid, location_counts, location_rollup
+from vejrkraft.operators.locations import centroid, location_counts, location_rollup, place_names
 from vejrkraft.operators.ordering import row_index
 from vejrkraft.plans.reports import profile_summary, station_check
 from vejrkraft.registry.tables import (
@@ -411,6 +411,15 @@ RECENT_SQL = f"""with {observations_sql(WIND)}
     where observed_from >= date '2024-01-30' - 7 and observed_from <= date '2024-01-30'"""
 
 
+def recent_sample(spark: SparkSession, folder: str) -> DataFrame:
+    reference = F.lit("2024-01-30").cast("date")
+    return summaries.recent_sample(observations(spark, folder, WIND), "observed_from", reference, days=7)
+
+
+def place_names_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return place_names(_placed(spark, folder)).withColumnsRenamed({"lat_rounded": "lat", "lng_rounded": "lng"})
+
+
 def observation_summary(spark: SparkSession, folder: str) -> DataFrame:
     obs = cleaning.clean_observations(observations(spark, folder, WIND))
     return _round(_text_times(summaries.observation_summary(obs, "observed_from", "value")), "mean_value")
@@ -694,6 +703,16 @@ CHECKS = {
                 then 'equal' else 'fewer' end as verdict from events""",
     ),
     "recent_distinct": (recent_distinct, RECENT_SQL),
+    "recent_sample": (
+        recent_sample,
+        f"""with {observations_sql(WIND)} select distinct station_id from obs
+            where observed_from >= date '2024-01-30' - 7 and observed_from <= date '2024-01-30' order by 1 limit 5""",
+    ),
+    "place_names": (
+        place_names_rows,
+        f"""with {_PLACED_SQL}, f as (select lat, lng, name, min(ord) as first_ord from keyed group by lat, lng, name)
+            select lat, lng, row_number() over (partition by lat, lng order by first_ord, name) as position, name from f""",
+    ),
     "observation_summary": (observation_summary, SUMMARY_SQL),
     "station_coverage": (station_coverage, COVERAGE_SQL),
     "clean_observations": (clean_observations, CLEAN_SQL),
