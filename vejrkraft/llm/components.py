@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vejrkraft.llm.steps import step
+from vejrkraft.llm.steps import Steps
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, steps: Steps | None = None) -> DataFrame:
     """``id`` and ``label`` (the smallest id of its component) of every id in ``links`` (a, b).
 
     Alternates two steps that keep components whole: every node's larger neighbours are linked to its
@@ -16,7 +16,8 @@ def components(links: DataFrame) -> DataFrame:
     neighbour is found by partial aggregation, so a node with very many links is no single task.
     """
     forward = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    edges = step(forward.distinct())
+    steps = steps or Steps(links.sparkSession)
+    edges = steps.write(forward.distinct())
     seen = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -25,7 +26,7 @@ def components(links: DataFrame) -> DataFrame:
         large = large.distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = step(small.where("a <> b").unionByName(least.select("a", F.col("m").alias("b"))).distinct())
+        edges = steps.write(small.where("a <> b").unionByName(least.select("a", F.col("m").alias("b"))).distinct())
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b") % 1_000_003)).first()
         if now == seen:
             break

@@ -24,14 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vejrkraft.llm.components import components
-from vejrkraft.llm.steps import step
-from vejrkraft.llm.words import SHINGLE, chunks, list_column, shingle_sets, words_of
+from vejrkraft.llm.steps import Steps
+from vejrkraft.llm.words import SHINGLE, chunks, list_column, runs_of, shingle_sets, words_of
 
 PERCENT = 80
-BITS = 2048
 LEAF = 64
 COMMON_LIMIT = 1 << 16
-_COMMON_IN_TASK = 8
+COMMON_IN_TASK = 8
 
 
 def _set_id(own: np.ndarray) -> int:
@@ -39,8 +38,24 @@ def _set_id(own: np.ndarray) -> int:
     return digest - (1 << 64) if digest >> 63 else digest
 
 
-def _survey(k: int):
-    """Per document its set's id and size; and shingles that stand in several sets of the task."""
+def bitmap(own: np.ndarray) -> bytes:
+    """A token bitmap with at least two bits per shingle; its halves folded by OR are the bitmap of half the width."""
+    width = max(256, 1 << int(2 * len(own) - 1).bit_length())
+    bits = np.zeros(width, dtype=bool)
+    bits[(own >> np.uint64(20)) % np.uint64(width)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def folded(bits: np.ndarray, size: int) -> np.ndarray:
+    """A bitmap (or rows of them) brought down to ``size`` bytes."""
+    while bits.shape[-1] > size:
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] | bits[..., half:]
+    return bits
+
+
+def _survey(k: int, common: int):
+    """Per document its set's id, size and bitmap; and shingles that stand in several sets of the task."""
 
     def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         low = []
@@ -52,13 +67,14 @@ def _survey(k: int):
                     "text_hash": part.column("text_hash"),
                     "set_id": pa.array([_set_id(s) for s in sets], pa.int64()),
                     "n": pa.array([len(s) for s in sets], pa.int64()),
+                    "bitmap": pa.array([bitmap(s) for s in sets], pa.binary()),
                     "common": pa.nulls(len(sets), pa.int64()),
                 }
             )
             # Any shingle may come first in a set's order, but only small hashes do in most sets.
             low.append(np.concatenate([s[: len(s) // 4 + 1] for s in sets]) if sets else np.zeros(0, np.uint64))
         seen, times = np.unique(np.concatenate(low) if low else np.zeros(0, np.uint64), return_counts=True)
-        seen, times = seen[times >= _COMMON_IN_TASK], times[times >= _COMMON_IN_TASK]
+        seen, times = seen[times >= common], times[times >= common]
         nothing = pa.nulls(len(seen), pa.int64())
         yield pa.RecordBatch.from_pydict(
             {
@@ -66,6 +82,7 @@ def _survey(k: int):
                 "text_hash": nothing,
                 "set_id": nothing,
                 "n": pa.array(times, pa.int64()),
+                "bitmap": pa.nulls(len(seen), pa.binary()),
                 "common": pa.array(seen.astype(np.int64), pa.int64()),
             }
         )
@@ -165,23 +182,55 @@ def _full_sets(k: int):
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, "text"):
             sets = list(shingle_sets(words_of(part.column("text")), k))
-            bitmaps = []
-            for own in sets:
-                bits = np.zeros(BITS, dtype=bool)
-                bits[(own >> np.uint64(20)) % np.uint64(BITS)] = True
-                bitmaps.append(np.packbits(bits).tobytes())
             yield pa.RecordBatch.from_pydict(
                 {
                     "set_id": pa.array([_set_id(s) for s in sets], pa.int64()),
                     "n": pa.array([len(s) for s in sets], pa.int32()),
                     "shingles": list_column(sets, pa.int64()),
-                    "bitmap": pa.array(bitmaps, pa.binary()),
                 }
             )
 
     return full
 
 
+def _prints(k: int):
+    """The first 16 bits of each shingle's hash, sorted: a quarter of the set, and nearly as sharp."""
+
+    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in chunks(batches, "text"):
+            sets = list(shingle_sets(words_of(part.column("text")), k))
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "set_id": pa.array([_set_id(s) for s in sets], pa.int64()),
+                    "prints": pa.array([(s >> np.uint64(48)).astype(np.uint16).tobytes() for s in sets], pa.binary()),
+                }
+            )
+
+    return prints
+
+
+def _narrow(percent: int):
+    """Pairs whose prints agree often enough; shingles that are shared have equal prints."""
+
+    def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for one, two in zip(batch.column("prints_a").to_pylist(), batch.column("prints_b").to_pylist()):
+                x, y = np.frombuffer(one, np.uint16), np.frombuffer(two, np.uint16)
+                # The i-th of equal prints can only meet the i-th: both texts' are numbered and compared.
+                most = len(np.intersect1d(_numbered(x), _numbered(y), assume_unique=True))
+                keep.append((100 + percent) * most >= percent * (len(x) + len(y)))
+            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
+
+    return narrow
+
+
+def _numbered(sorted_prints: np.ndarray) -> np.ndarray:
+    edges = runs_of(sorted_prints)
+    place = np.arange(len(sorted_prints)) - np.repeat(edges[:-1], np.diff(edges))
+    return sorted_prints.astype(np.int64) << 32 | place
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets reach the similarity."""
     side = lambda c: sets.select(
@@ -193,61 +242,80 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(enough).select("a", "b")
 
 
-def _grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Leaves and their parents from rows sorted by block: a leaf is up to LEAF rows of a block that
-    follow each other, a parent up to LEAF leaves."""
-    open_rows, leaves, key, leaf_no = [], [], None, 0
-    out = {c: [] for c in _NODES.names}
-
-    def node(level: int, number: int, rows: list, members: list | None) -> tuple:
-        bits = np.bitwise_or.reduce([r["bits"] for r in rows])
-        made = {
-            "key": key,
-            "level": level,
-            "no": number,
-            "parent": number // LEAF,
-            "bitmap": bits.tobytes(),
-            "n_min": min(r["n_min"] for r in rows),
-            "n_max": max(r["n_max"] for r in rows),
-            "slack": max(r["slack"] for r in rows),
-            "members": members,
-        }
-        for c in out:
-            out[c].append(made[c])
-        return {**made, "bits": bits}
-
-    def close_leaf() -> None:
-        nonlocal leaf_no
-        if open_rows:
-            members = [{c: r[c] for c in ("set_id", "n", "label", "bitmap")} for r in open_rows]
-            leaves.append(node(0, leaf_no, open_rows, members))
-            leaf_no += 1
-            open_rows.clear()
-        if len(leaves) == LEAF:
-            close_parent()
+def _grow(percent: int):
+    def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Trees from rows sorted by block: a leaf is up to LEAF rows of a block that follow each other, a
+        parent up to LEAF leaves. A block of one leaf is compared at once and gives pairs; of others the nodes go on."""
+        open_rows, leaves, key = [], [], None
+        out = {c: [] for c in _NODES.names}
+
+        def put(row: dict) -> None:
+            for c in out:
+                out[c].append(row.get(c))
+
+        def node(level: int, number: int, of: list[dict], members: list | None) -> dict:
+            size = min(len(r["bits"]) for r in of)
+            bits = np.bitwise_or.reduce([folded(r["bits"], size) for r in of])
+            # Folding makes tokens share bits: the slack is that of the node's own width.
+            slack = max(r["n_max"] - int(np.bitwise_count(folded(r["bits"], size)).sum()) for r in of) if level == 0 else None
+            if level:
+                slack = max(r["slack"] for r in of) + (0 if all(len(r["bits"]) == size for r in of) else 1 << 30)
+            made = {
+                "key": key,
+                "level": level,
+                "no": number,
+                "parent": number // LEAF,
+                "bitmap": bits.tobytes(),
+                "n_min": min(r["n_min"] for r in of),
+                "n_max": max(r["n_max"] for r in of),
+                "slack": slack,
+                "members": members,
+            }
+            return {**made, "bits": bits}
 
-    def close_parent() -> None:
-        if leaves:
-            node(1, leaves[0]["no"] // LEAF, leaves, None)
-            leaves.clear()
+        def members() -> list[dict]:
+            return [{c: r[c] for c in ("set_id", "n", "label", "bitmap")} for r in open_rows]
 
-    for batch in batches:
-        for row in batch.to_pylist():
-            if row["key"] != key:
-                close_leaf()
+        def close_leaf() -> None:
+            nonlocal leaf_no
+            put(leaf := node(0, leaf_no, open_rows, members()))
+            leaves.append(leaf)
+            leaf_no += 1
+            open_rows.clear()
+            if len(leaves) == LEAF:
                 close_parent()
-                key, leaf_no = row["key"], 0
-            elif len(open_rows) == LEAF:
+
+        def close_parent() -> None:
+            if leaves:
+                put(node(1, leaves[0]["no"] // LEAF, leaves, None))
+                leaves.clear()
+
+        def close_block() -> None:
+            if open_rows and not leaf_no:
+                for a, b in _leaf_pairs(members(), None, percent):
+                    put({"a": a, "b": b})
+                open_rows.clear()
+            elif open_rows:
                 close_leaf()
-            bits = np.frombuffer(row["bitmap"], dtype=np.uint8)
-            slack = row["n"] - int(np.bitwise_count(bits).sum())
-            open_rows.append({**row, "bits": bits, "n_min": row["n"], "n_max": row["n"], "slack": slack})
-        if len(out["key"]) >= 256:
-            yield pa.RecordBatch.from_pydict(out, schema=_NODES)
-            out.update({c: [] for c in out})
-    close_leaf()
-    close_parent()
-    yield pa.RecordBatch.from_pydict(out, schema=_NODES)
+            close_parent()
+
+        leaf_no = 0
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["key"] != key:
+                    close_block()
+                    key, leaf_no = row["key"], 0
+                elif len(open_rows) == LEAF:
+                    close_leaf()
+                bits = np.frombuffer(row["bitmap"], dtype=np.uint8)
+                open_rows.append({**row, "bits": bits, "n_min": row["n"], "n_max": row["n"]})
+                if len(out["key"]) >= 4096:
+                    yield pa.RecordBatch.from_pydict(out, schema=_NODES)
+                    out = {c: [] for c in out}
+        close_block()
+        yield pa.RecordBatch.from_pydict(out, schema=_NODES)
+
+    return grow
 
 
 _MEMBER = pa.struct(
@@ -264,70 +332,98 @@ _NODES = pa.schema(
         ("n_max", pa.int32()),
         ("slack", pa.int32()),
         ("members", pa.list_(_MEMBER)),
+        ("a", pa.int64()),
+        ("b", pa.int64()),
     ]
 )
 _NODE_SCHEMA = (
     "key long, level int, no long, parent long, bitmap binary, n_min int, n_max int, slack int, "
-    "members array<struct<set_id: long, n: int, label: long, bitmap: binary>>"
+    "members array<struct<set_id: long, n: int, label: long, bitmap: binary>>, a long, b long"
 )
 
 
-def _bits(column: pa.Array) -> np.ndarray:
-    flat = np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint64)
-    return flat.reshape(len(column), -1)
+def _count(bits: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(bits).sum(axis=-1, dtype=np.int64)
+
+
+def _most_shared(one: bytes, two: bytes, slack_one: int, slack_two: int) -> int:
+    """Shingles that two nodes can share: common bits, and tokens that may hide behind a bit of either."""
+    x, y = np.frombuffer(one, np.uint8), np.frombuffer(two, np.uint8)
+    size = min(len(x), len(y))
+    # The slack of a node holds at its own width only.
+    slack = [s for s, b in ((slack_one, x), (slack_two, y)) if len(b) == size]
+    return int(_count(folded(x, size) & folded(y, size))) + min(slack)
 
 
 def _possible(percent: int):
     """Pairs of nodes whose largest possible overlap is enough for their smallest sizes."""
 
     def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ("bitmap_a", "bitmap_b", "slack_a", "slack_b", "n_min_a", "n_min_b", "n_max_a", "n_max_b")
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            one, two = _bits(batch.column("bitmap_a")), _bits(batch.column("bitmap_b"))
-            col = lambda c: batch.column(c).to_numpy().astype(np.int64)
-            most = np.bitwise_count(one & two).sum(axis=1, dtype=np.int64)
-            most += np.minimum(col("slack_a"), col("slack_b"))
-            most = np.minimum(most, np.minimum(col("n_max_a"), col("n_max_b")))
-            least = percent * (col("n_min_a") + col("n_min_b"))
-            keep = batch.filter(pa.array((100 + percent) * most >= least))
-            yield keep.select(["key", "no_a", "no_b"])
+            keep = []
+            for one, two, sa, sb, low_a, low_b, high_a, high_b in zip(*(batch.column(c).to_pylist() for c in names)):
+                most = min(_most_shared(one, two, sa, sb), high_a, high_b)
+                keep.append((100 + percent) * most >= percent * (low_a + low_b))
+            kept = batch.filter(pa.array(keep, pa.bool_()))
+            yield kept.select([c for c in kept.schema.names if c in ("key", "no_a", "no_b", "a", "b")])
 
     return possible
 
 
+def _leaf_pairs(one: list[dict], two: list[dict] | None, percent: int) -> Iterator[tuple[int, int]]:
+    """Sets of two leaves (of one, without ``two``) that may reach the similarity and differ in label."""
+    other = one if two is None else two
+    size = min(len(m["bitmap"]) for m in (*one, *other))
+    side = lambda ms: (
+        np.stack([folded(np.frombuffer(m["bitmap"], np.uint8), size) for m in ms]),
+        *(np.array([m[c] for m in ms], dtype=np.int64) for c in ("n", "label", "set_id")),
+    )
+    x, n_x, label_x, id_x = side(one)
+    y, n_y, label_y, id_y = (x, n_x, label_x, id_x) if two is None else side(other)
+    hidden_x, hidden_y = n_x - _count(x), n_y - _count(y)
+    for i in range(len(one)):
+        most = _count(x[i] & y) + np.minimum(hidden_x[i], hidden_y)
+        most = np.minimum(most, np.minimum(n_x[i], n_y))
+        good = ((100 + percent) * most >= percent * (n_x[i] + n_y)) & (label_x[i] != label_y)
+        if two is None:
+            good[: i + 1] = False
+        for j in np.flatnonzero(good):
+            yield int(id_x[i]), int(id_y[j])
+
+
+def _plausible(percent: int):
+    """Pairs of sets whose bitmaps allow the similarity."""
+
+    def plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for one, two, n_a, n_b in zip(*(batch.column(c).to_pylist() for c in ("bitmap_a", "bitmap_b", "n_a", "n_b"))):
+                x, y = np.frombuffer(one, np.uint8), np.frombuffer(two, np.uint8)
+                size = min(len(x), len(y))
+                x, y = folded(x, size), folded(y, size)
+                most = int(_count(x & y)) + min(n_a - int(_count(x)), n_b - int(_count(y)))
+                keep.append((100 + percent) * min(most, n_a, n_b) >= percent * (n_a + n_b))
+            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
+
+    return plausible
+
+
 def _compare(percent: int):
-    """Pairs of sets from pairs of leaves, by their own bitmaps and sizes; one component is skipped."""
+    """Pairs of sets from pairs of leaves."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = [], []
+            pairs = []
             for one, two, same in zip(*(batch.column(c).to_pylist() for c in ("members_a", "members_b", "same"))):
-                x, y = (
-                    {c: np.array([m[c] for m in side]) for c in ("set_id", "n", "label")} for side in (one, two)
-                )
-                x_bits, y_bits = (
-                    np.frombuffer(b"".join(m["bitmap"] for m in side), np.uint64).reshape(len(side), -1)
-                    for side in (one, two)
-                )
-                y_slack = y["n"] - np.bitwise_count(y_bits).sum(axis=1, dtype=np.int64)
-                for i in range(len(one)):
-                    most = np.bitwise_count(x_bits[i] & y_bits).sum(axis=1, dtype=np.int64) + np.minimum(
-                        y_slack, x["n"][i] - int(np.bitwise_count(x_bits[i]).sum())
-                    )
-                    most = np.minimum(most, np.minimum(x["n"][i], y["n"]))
-                    good = ((100 + percent) * most >= percent * (x["n"][i] + y["n"])) & (x["label"][i] != y["label"])
-                    if same:
-                        good[: i + 1] = False
-                    hit = np.flatnonzero(good)
-                    a.extend([int(x["set_id"][i])] * len(hit))
-                    b.extend(y["set_id"][hit].tolist())
+                pairs += _leaf_pairs(one, None if same else two, percent)
+            a, b = zip(*pairs) if pairs else ((), ())
             yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return compare
 
 
-def tree_candidates(rows: DataFrame, percent: int) -> DataFrame:
+def tree_candidates(rows: DataFrame, percent: int, steps: Steps) -> DataFrame:
     """Pairs of sets (a < b) of different labels that meet in a block and may reach the similarity.
 
     ``rows``: key (the block), set_id, n, label, linked, bitmap.
@@ -336,7 +432,11 @@ def tree_candidates(rows: DataFrame, percent: int) -> DataFrame:
     ordered = rows.repartition("key").sortWithinPartitions(
         F.col("key"), grouped.asc_nulls_last(), F.col("n"), F.col("set_id")
     )
-    nodes = step(ordered.select("key", "set_id", "n", "label", "bitmap").mapInArrow(_grow, _NODE_SCHEMA))
+    grown = steps.write(
+        ordered.select("key", "set_id", "n", "label", "bitmap").mapInArrow(_grow(percent), _NODE_SCHEMA),
+        release=True,
+    )
+    nodes = grown.where("level is not null")
 
     def side(of: DataFrame, end: str, *kept: str) -> DataFrame:
         return of.select("key", *[F.col(c).alias(f"{c}_{end}") for c in kept])
@@ -367,6 +467,7 @@ def tree_candidates(rows: DataFrame, percent: int) -> DataFrame:
         .select("members_a", "members_b", (F.col("no_a") == F.col("no_b")).alias("same"))
     )
     found = opened.mapInArrow(_compare(percent), "a long, b long")
+    found = found.unionByName(grown.where("a is not null").select("a", "b"))
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -376,6 +477,7 @@ def jaccard_classes(
     text_col: str = "text",
     percent: int = PERCENT,
     k: int = SHINGLE,
+    common_in_task: int = COMMON_IN_TASK,
 ) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id, text_hash, label (one per component).
 
@@ -383,16 +485,20 @@ def jaccard_classes(
     smallest doc_id that links reach. Shingles are runs of ``k`` words, A-Z lower-cased; a shorter text is one
     shingle. Null, empty and blank texts have no shingles and link with nothing: their component is their own
     doc_id. Repeated rows are in one component; null ids take part, but are no component's smallest id unless all
-    are null. Other columns are not read; an empty table gives no rows.
+    are null. Other columns are not read; an empty table gives no rows. Shingles of ``common_in_task`` sets of one task come last in
+    the order of shingles: this changes the work, not the result.
     """
     spark = docs.sparkSession
+    steps = Steps(spark)
     texts = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
         F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"),
     )
-    surveyed = step(
-        texts.mapInArrow(_survey(k), "doc_id long, text_hash long, set_id long, n long, common long")
+    surveyed = steps.write(
+        texts.mapInArrow(
+            _survey(k, common_in_task), "doc_id long, text_hash long, set_id long, n long, bitmap binary, common long"
+        )
     )
     members = surveyed.where("common is null").drop("common")
     # Only the order of shingles depends on this list, so its bound cannot lose a link.
@@ -407,7 +513,7 @@ def jaccard_classes(
     late = np.sort(often.column("common").to_numpy().astype(np.int64).view(np.uint64))
     shared = spark.sparkContext.broadcast(late)
     first = texts.select("text").mapInArrow(_prefixes(k, percent, shared), "key long, set_id long, n int")
-    met = step(
+    met = steps.write(
         first.repartition("key")
         .sortWithinPartitions("key", "n", "set_id")
         .mapInArrow(_meetings(percent), "key long, set_id long, n int, partner long"),
@@ -415,36 +521,68 @@ def jaccard_classes(
     )
 
     wanted = met.select("set_id").distinct()
-    one_text = members.join(wanted, "set_id", "left_semi").groupBy("set_id").agg(F.min("text_hash").alias("text_hash"))
-    sets = step(
-        texts.select("text", "text_hash")
-        .join(one_text.select("text_hash"), "text_hash", "left_semi")
-        .dropDuplicates(["text_hash"])
-        .select("text")
-        .mapInArrow(_full_sets(k), "set_id long, n int, shingles array<bigint>, bitmap binary"),
+    bitmaps = steps.write(
+        members.join(wanted, "set_id", "left_semi")
+        .groupBy("set_id")
+        .agg(
+            F.min("text_hash").alias("text_hash"),
+            F.any_value("bitmap").alias("bitmap"),
+            F.any_value("n").alias("n"),
+        ),
         release=True,
     )
 
+    def of_sets(pairs: DataFrame, mapper, schema: str) -> DataFrame:
+        """What ``mapper`` makes of the sets that stand in the pairs, from one text each."""
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
+        hashes = bitmaps.join(ids, "set_id", "left_semi").select("text_hash")
+        chosen = texts.select("text", "text_hash").join(hashes, "text_hash", "left_semi")
+        found = chosen.dropDuplicates(["text_hash"]).select("text")
+        return steps.write(found.mapInArrow(mapper, schema), release=True)
+
+    def whole_sets(pairs: DataFrame) -> DataFrame:
+        return of_sets(pairs, _full_sets(k), "set_id long, n int, shingles array<bigint>")
+
+    def narrowed(pairs: DataFrame) -> DataFrame:
+        prints = of_sets(pairs, _prints(k), "set_id long, prints binary")
+        side = lambda c: prints.select(F.col("set_id").alias(c), F.col("prints").alias(f"prints_{c}"))
+        both = pairs.join(side("a"), "a").join(side("b"), "b")
+        out = steps.write(both.mapInArrow(_narrow(percent), "a long, b long"), release=True)
+        steps.forget(prints)
+        return out
+
     times = met.where("partner is not null").groupBy("set_id", "partner").agg(F.count(F.lit(1)).alias("times"))
     best = times.groupBy("set_id").agg(F.max_by("partner", F.struct("times", "partner")).alias("partner"))
     pairs = best.select(F.least("set_id", "partner").alias("a"), F.greatest("set_id", "partner").alias("b"))
-    links = step(verified(pairs.distinct(), sets, percent), release=True)
-    labels = components(links)
+    side = lambda c: bitmaps.select(
+        F.col("set_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("bitmap").alias(f"bitmap_{c}")
+    )
+    both = pairs.distinct().join(side("a"), "a").join(side("b"), "b")
+    # The bitmaps rule most pairs out; whole sets are fetched for the others only.
+    pairs = steps.write(both.mapInArrow(_plausible(percent), "a long, b long"), release=True)
+    sets = whole_sets(pairs)
+    links = steps.write(verified(pairs, sets, percent), release=True)
+    steps.forget(sets)
+    labels = components(links, steps)
 
     labelled = met.join(labels.withColumnRenamed("id", "set_id"), "set_id", "left").select(
         "key", "set_id", "n", F.coalesce("label", "set_id").alias("label"), F.col("label").isNotNull().alias("linked")
     )
-    labelled = step(labelled)
+    labelled = steps.write(labelled, release=True)
     mixed_blocks = (
         labelled.groupBy("key")
         .agg(F.min("label").alias("low"), F.max("label").alias("high"))
         .where("low <> high")
         .select("key")
     )
-    open_rows = labelled.join(mixed_blocks, "key", "left_semi").join(sets.select("set_id", "bitmap"), "set_id")
-    more = step(verified(tree_candidates(open_rows, percent), sets, percent), release=True)
+    open_rows = labelled.join(mixed_blocks, "key", "left_semi").join(
+        bitmaps.select("set_id", "bitmap"), "set_id"
+    )
+    more = steps.write(tree_candidates(open_rows, percent, steps), release=True)
     if more.head(1):
-        labels = components(links.unionByName(more))
+        more = narrowed(more)
+        found = steps.write(verified(more, whole_sets(more), percent), release=True)
+        labels = components(links.unionByName(found), steps)
 
     classed = members.join(labels.withColumnRenamed("id", "set_id"), "set_id", "left").withColumn(
         "label", F.coalesce("label", "set_id")
@@ -452,8 +590,10 @@ def jaccard_classes(
     smallest = classed.where("n > 0").groupBy("label").agg(F.min("doc_id").alias("least"))
     linked = classed.where("n > 0").join(smallest, "label")
     alone = classed.where("n = 0").withColumn("least", F.col("doc_id"))
-    return linked.unionByName(alone, allowMissingColumns=True).select(
-        "doc_id", F.col("n").alias("n_shingles"), F.col("least").alias("component_id"), "text_hash", "label"
+    return steps.result(
+        linked.unionByName(alone, allowMissingColumns=True).select(
+            "doc_id", F.col("n").alias("n_shingles"), F.col("least").alias("component_id"), "text_hash", "label"
+        )
     )
 
 

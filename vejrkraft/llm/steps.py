@@ -3,21 +3,59 @@
 from __future__ import annotations
 
 import gc
+from uuid import uuid4
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-from vejrkraft.session import staged
+from vejrkraft.session import checkpoint_dir
 
 
-def step(df: DataFrame, release: bool = False) -> DataFrame:
-    """``df`` as a table in the shared folder.
+def drop_shuffles(spark: SparkSession) -> None:
+    """Drop shuffle files of finished steps now, not at the driver's next garbage collection, so that the
+    disk holds one step's files and not all."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+class Steps:
+    """Tables in the shared folder that one operator writes for itself.
 
-    With ``release``, shuffle files of steps that nothing refers to are dropped now, not at the
-    driver's next garbage collection, so that the disk holds one step's files and not all.
+    ``result`` writes the operator's result and deletes the other tables: nothing refers to them any more.
     """
-    out = staged(df)
-    if release:
-        del df
-        gc.collect()
-        out.sparkSession._jvm.System.gc()
-    return out
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.folders: list[str] = []
+
+    def write(self, df: DataFrame, release: bool = False) -> DataFrame:
+        folder = f"{checkpoint_dir(self.spark).rstrip('/')}/step-{uuid4().hex}"
+        df.write.parquet(folder)
+        self.folders.append(folder)
+        out = self.spark.read.schema(df.schema).parquet(folder)
+        if release:
+            del df
+            drop_shuffles(self.spark)
+        return out
+
+    def forget(self, *tables: DataFrame) -> None:
+        """Delete tables that no later step reads."""
+        gone = {f.rsplit("/", 1)[0].rsplit("/", 1)[-1] for t in tables for f in t.inputFiles()}
+        for folder in [f for f in self.folders if f.rsplit("/", 1)[-1] in gone]:
+            self._delete(folder)
+
+    def result(self, df: DataFrame) -> DataFrame:
+        out = self.write(df)
+        for folder in self.folders[:-1]:
+            self._delete(folder)
+        drop_shuffles(self.spark)
+        return out
+
+    def _delete(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        self.folders.remove(folder)
+
+
+def step(df: DataFrame, release: bool = False) -> DataFrame:
+    """``df`` as a table in the shared folder that outlives its operator."""
+    return Steps(df.sparkSession).write(df, release)
