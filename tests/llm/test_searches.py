@@ -9,6 +9,7 @@ from fixture_texts import edited, text, words
 
 from vejrkraft.llm import components as comp
 from vejrkraft.llm import decontaminate, jaccard_tree, passages
+from vejrkraft.llm.steps import Steps
 
 CLASH = "doc_id long, text string, key int, node string, n string, label string"
 
@@ -110,12 +111,11 @@ def _families(seed, n=25):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_classes_equal_all_pairs(spark, seed, monkeypatch):
-    if seed == 2:  # every shingle that stands twice comes late, nodes are small
-        monkeypatch.setattr(jaccard_tree, "_COMMON_IN_TASK", 2)
+def test_classes_equal_all_pairs(spark, seed):
+    common = 2 if seed == 2 else jaccard_tree.COMMON_IN_TASK  # at 2, shingles that stand twice come late
     docs = list(enumerate(_families(seed), 10))
     docs += [(1, None), (2, ""), (3, " \n"), (4, "A b"), (5, "a  B\n"), (None, docs[0][1]), docs[3], docs[3], (6, docs[5][1].upper())]
-    got = jaccard_tree.jaccard_classes(_df(spark, docs)).select("doc_id", "n_shingles", "component_id")
+    got = jaccard_tree.jaccard_classes(_df(spark, docs), common_in_task=common).select("doc_id", "n_shingles", "component_id")
     assert sorted((tuple(r) for r in got.collect()), key=repr) == _classes(docs)
 
 
@@ -140,16 +140,15 @@ def test_tree_finds_what_all_pairs_find(spark):
     rng = np.random.default_rng(3)
     rows, sets = [], {}
     for i in range(400):
-        base = np.random.default_rng(i // 4).integers(0, 1 << 63, 60, dtype=np.uint64)
-        own = np.unique(np.where(rng.random(60) < 0.05, rng.integers(0, 1 << 63, 60, dtype=np.uint64), base))
-        own = own[: int(rng.integers(30, 61))]
-        bits = np.zeros(jaccard_tree.BITS, bool)
-        bits[(own >> np.uint64(20)) % np.uint64(jaccard_tree.BITS)] = True
+        size = 400 if i < 40 else 140  # bitmaps of several widths
+        base = np.random.default_rng(i // 4).integers(0, 1 << 63, size, dtype=np.uint64)
+        own = np.unique(np.where(rng.random(size) < 0.05, rng.integers(0, 1 << 63, size, dtype=np.uint64), base))
+        own = own[: int(rng.integers(size * 3 // 4, size + 1))]
         sets[i] = set(own.tolist())
         label = i // 2 if i % 8 < 2 else i
-        rows.append((i % 2, i, len(own), label, i % 8 < 2, bytearray(np.packbits(bits).tobytes())))
+        rows.append((i % 2, i, len(own), label, i % 8 < 2, bytearray(jaccard_tree.bitmap(own))))
     df = spark.createDataFrame(rows, "key long, set_id long, n int, label long, linked boolean, bitmap binary")
-    got = {(r["a"], r["b"]) for r in jaccard_tree.tree_candidates(df, 80).collect()}
+    got = {(r["a"], r["b"]) for r in jaccard_tree.tree_candidates(df, 80, Steps(spark)).collect()}
     for i in range(400):
         for j in range(i):
             o = len(sets[i] & sets[j])
@@ -193,7 +192,9 @@ def test_fenwick_chain_equals_a_plain_one():
         assert sum(len(c) for c in passages.chain(runs)) == len(runs)
 
 
-def test_planted_passages_are_found(spark):
+@pytest.mark.parametrize("common", [16, 2])
+def test_planted_passages_are_found(spark, common):
+    """With ``common`` at 2, seeds are matched within the tasks first."""
     rng = random.Random(11)
     planted = {p: words(rng.randrange(60, 120), 5000 + p, 10**6) for p in range(6)}
     docs, holds = [], {}
@@ -206,7 +207,7 @@ def test_planted_passages_are_found(spark):
             holds[i] = p
         docs.append((i, " ".join(body)))
     docs += [(90, docs[7][1]), (91, docs[7][1]), (92, None), (93, ""), (None, docs[8][1]), (94, "short text")]
-    got = passages.repeated_passages(_df(spark, docs)).collect()
+    got = passages.repeated_passages(_df(spark, docs), common=common).collect()
     for p in planted:
         group = {i for i, q in holds.items() if q == p}
         found = [r for r in got if r["doc_id"] in group]
