@@ -238,3 +238,18 @@ def test_passages_are_cut(spark):
             assert got[i].startswith(" ".join(h)) and got[i].endswith(f"tail{i} é") and len(got[i].split()) <= 36
     assert passages.cut_passages(df.limit(0)).count() == 0
     assert passages.repeated_passages(df.limit(0)).count() == 0
+
+
+def test_a_passage_is_found_beside_texts_that_hold_its_halves(spark):
+    """Texts 0 and 3 hold the first half, 1 and 4 the second, 2 and 5 all: no text before 5 but 2 has the passage."""
+    rows = []
+    for t in range(20):
+        passage = words(64, 9000 + t, 10**6)
+        parts = [passage[:32], passage[32:], passage] * 2
+        for i, part in enumerate(parts):
+            own = words(100, 100 * t + i, 10**6)
+            rows.append((6 * t + i, " ".join(own[:50] + part + own[50:])))
+    texts = spark.createDataFrame(rows, "node long, text string")
+    got = passages.text_passages(texts, 50, 80, passages.K, passages.WINDOW, Steps(spark)).collect()
+    whole = {(r["node"], r["other"]) for r in got if r["start_word"] <= 50 and r["end_word"] >= 114}
+    assert whole == {(6 * t + 5, 6 * t + 2) for t in range(20)} and len(got) == 20
