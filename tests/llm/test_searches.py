@@ -253,3 +253,19 @@ def test_a_passage_is_found_beside_texts_that_hold_its_halves(spark):
     got = passages.text_passages(texts, 50, 80, passages.K, passages.WINDOW, Steps(spark)).collect()
     whole = {(r["node"], r["other"]) for r in got if r["start_word"] <= 50 and r["end_word"] >= 114}
     assert whole == {(6 * t + 5, 6 * t + 2) for t in range(20)} and len(got) == 20
+
+
+def test_passages_with_other_words_between_them_are_parted():
+    """Equally many other words stand between two passages, all on one diagonal."""
+    rng = np.random.default_rng(5)
+    own = lambda n: rng.integers(0, 1 << 60, n)
+    for size, between in ((55, 35), (120, 35), (60, 100)):
+        first, second = own(size), own(size)
+        b, a = (np.concatenate([own(20), first, own(between), second, own(20)]) for _ in range(2))
+        runs = np.array([[20, 20, 2 * size + between]])
+        got = [x[:2] for x in passages.align(b, a, runs, 50, 80)]
+        assert got == [(20, 20 + size), (20 + size + between, 20 + 2 * size + between)]
+    # Neither half is a passage alone: they stay together.
+    first, second = own(45), own(45)
+    b, a = (np.concatenate([first, own(12), second]) for _ in range(2))
+    assert [x[:2] for x in passages.align(b, a, np.array([[0, 0, 102]]), 50, 80)] == [(0, 102)]
