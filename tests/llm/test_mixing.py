@@ -84,3 +84,12 @@ def test_small_sources_stop_at_three_times_their_size(spark):
     small = next(r for r in got if r["source"] == "a")
     assert (small["target"], small["taken"]) == (30.0, 30)
     assert sum(r["taken"] for r in got if r["source"] == "z") == 5010 - 30
+
+
+def test_sources_below_a_block_get_their_target(spark):
+    """128 blocks of 391 words: 30 and 3 words are less than half a block."""
+    rows = [(i, "w " * 1000, "z", 1, "x") for i in range(50)]
+    rows += [(100, "w " * 10, "a", 1, "x"), (101, "w", "b", 1, "x")]
+    got = mixing.mix_sources(spark.createDataFrame(rows, SCHEMA), blocks=1).collect()
+    assert {r["source"]: (r["target"], r["taken"]) for r in got if r["source"] != "z"} == {"a": (30.0, 30), "b": (3.0, 3)}
+    assert sum(r["taken"] for r in got) == 50_011

@@ -1,8 +1,8 @@
 """Mixing sources to target weights by Sainte-Lague apportionment.
 
-The words of the corpus are cut into blocks of equal length. Every source has a target, every shard of a source
-its share of it; the blocks go to the shards with the highest quotients share / (2k - 1), which gives
-each shard an integer quota. A shard fills its quota with whole passes over its documents and, for the
+Every source has a target, every shard of a source its share of it; the words of the mix go to the shards with the
+highest quotients share / (2k - 1), which gives each shard an integer quota of words, however small its share. The words of
+the corpus are cut into blocks of equal length. A shard fills its quota with whole passes over its documents and, for the
 rest, with blocks of words picked in seeded order.
 """
 
@@ -97,7 +97,7 @@ def mix_sources(
     ``size`` counts words (null text: 0), ``target`` is the source's, ``taken`` the words the mix takes
     from the document, repeats counted: whole passes plus the words of its picked blocks, so the first or last
     document of a block may give a part. No document gives more than ``passes`` times its size, and a source's taken words
-    differ from its target by the rounding of its shards' quotas, half a block each. Null sources are one
+    differ from its target by the rounding of its shards' quotas to whole words. Null sources are one
     source. Repeated rows are documents of their own; null ids are allowed; empty texts take 0; an empty table gives
     no rows. ``blocks`` sets the block length (all words / blocks, 1 at least), so the number of blocks
     stays while documents grow. The result depends on rows, parameters and ``seed`` only.
@@ -135,9 +135,10 @@ def mix_sources(
     units = units.withColumn("share", F.col("rate") * F.col("unit_size"))
     words, n_units = units.agg(F.coalesce(F.sum("unit_size"), F.lit(0)), F.count(F.lit(1))).first()
     length = max(1, math.ceil(words / max(blocks, 64 * n_units)))
-    quotas = apportion(units, unit, "share", round(words / length))
+    # Seats are words: a source may be smaller than half a block.
+    quotas = apportion(units, unit, "share", words)
 
-    budget = F.least(F.col("quota") * length, passes * F.col("unit_size"))
+    budget = F.least(F.col("quota"), passes * F.col("unit_size"))
     filled = staged(
         quotas.select(
             *unit,
