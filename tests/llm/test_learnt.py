@@ -155,3 +155,10 @@ def test_templates_of_a_host_are_deleted(spark):
     assert got[200]["text"] == "About this site" and got[201]["text"] == "" and got[None]["text"] == "x"
     assert all(r["n_chars"] == len(r["text"]) for r in got.values())
     assert html_text.main_text(pages.limit(0)).count() == 0
+
+
+def test_a_card_and_a_formula_do_not_hide_text():
+    page = "<main><h1>Title</h1><p>A body of some length.</p><article>card</article></main>"
+    assert html_text._main_blocks(page)[1] == ["Title", "A body of some length.", "card"]
+    formula = "<article><p>So <math><mi>x</mi><annotation>\\x</annotation></math> is it.</p></article>"
+    assert html_text._main_blocks(formula)[1] == ["So x is it."]

@@ -41,7 +41,7 @@ BLOCKS = _set(
 )
 CONTAINERS = _set("aside details div dl figure footer form header menu nav ol section table ul")
 FURNITURE = _set(
-    "aside audio button canvas datalist dialog footer form frame frameset head iframe input label map math menu nav "
+    "annotation annotation-xml aside audio button canvas datalist dialog footer form frame frameset head iframe input label map menu nav "
     "noembed noframes noscript object script search select style svg template textarea title video"
 )
 ROLES = _set(
@@ -240,8 +240,10 @@ def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def _main_blocks(html: str) -> tuple[int, list[str], list[list[int]], list[int]]:
     """Fingerprint of the page's text; texts of its main blocks; the subtrees around each; all subtrees."""
     blocks, marks = parse(html)
-    best = max((rank for _, _, rank in blocks), default=0)
-    kept = [(text, [marks[i] for i in around]) for text, around, rank in blocks if rank == best]
+    # A page's articles, or its main element, count as its main text only if they hold half of what stands around them.
+    size = [sum(len(text) for text, _, rank in blocks if rank >= least) for least in range(3)]
+    best = 2 if size[2] and 2 * size[2] >= size[0] else 1 if size[1] and 2 * size[1] >= size[0] else 0
+    kept = [(text, [marks[i] for i in around]) for text, around, rank in blocks if rank >= best]
     texts = [text for text, _ in kept]
     digest = xxhash.xxh64("\n".join(texts)).intdigest()
     return digest - (1 << 64) if digest >> 63 else digest, texts, [a for _, a in kept], sorted(set(marks))
@@ -257,7 +259,8 @@ def main_text(
 ) -> DataFrame:
     """Per row of ``pages``: page_id, url, text (blocks joined by a blank line, "" if none) and n_chars.
 
-    Blocks come from the page's articles, else its main element, else its body. A subtree recurs if it
+    Blocks come from the page's articles if they hold half of its text, else from its main element if that does, else from its
+    body. A subtree recurs if it
     stands on at least ``min_pages`` pages of its host with different main text, and on at least ``min_share`` of
     them: copies of one page count once. Character references are decoded and white space in a block becomes
     one space. Null html is empty, a null url has the empty host. Repeated rows are extracted each; other
