@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from vejrkraft.llm import (
@@ -13,6 +14,7 @@ from vejrkraft.llm import (
     jaccard_tree,
     mixing,
     passages,
+    periodic,
     quality_rules,
     toxicity,
     url_rules,
@@ -178,6 +180,68 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_texts(docs: DataFrame) -> DataFrame:
+    """doc_id and text of ``documents``; from a place on, a tenth of the texts repeats the words found there (see the SQL)."""
+    known = docs.select(
+        "doc_id",
+        "text",
+        F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"),
+    ).withColumn("g", F.expr("h div 10"))
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+    chosen = known.withColumn("ws", F.when(F.col("h") % 10 == 0, words))
+    cut = chosen.withColumn("a", F.col("g") % F.size("ws"))
+    cut = cut.withColumn("p", F.expr("1 + (size(ws) - a) div (3 + g % 8)"))
+    repeated = F.expr(
+        "array_join(transform(sequence(0, size(ws) - 1), i -> ws[int(if(i < a, i, a + (i - a) % p))]), ' ')"
+    )
+    return cut.select("doc_id", F.when(F.size("ws") > 0, repeated).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(op11_texts(table(spark, sf_dir, "documents")))
+    longest = F.expr("array_max(transform(runs, x -> struct(x.length, -x.start as back, -x.period as short)))")
+    listed = F.expr("array_join(transform(runs, x -> concat(x.start, ',', x.length, ',', x.period, '\n')), '')")
+    best = found.withColumn("best", longest)
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.back")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.short")).alias("period"),
+        F.expr("1000 * best.length div -best.short").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+OP11_SQL = r"""
+with ids as (select row_number() over () r, doc_id, coalesce(text, '') txt from documents),
+crc as (select r, xor(list_reduce(list_concat([4294967295::bigint], flatten(list_transform(string_split(doc_id::varchar, ''),
+  lambda c: [ascii(c)::bigint, 0, 0, 0, 0, 0, 0, 0]))),
+  lambda s, b: case when xor(s, b) & 1 = 1 then xor(xor(s, b) >> 1, 3988292384) else xor(s, b) >> 1 end), 4294967295) h from ids),
+plain as (select ids.r, doc_id, h, h // 10 g, regexp_extract_all(txt, '[^\x20\x09-\x0D]+') ws, len(ws) n
+  from ids left join crc using (r)),
+place as (select *, g % greatest(n, 1) a, 1 + (n - g % greatest(n, 1)) // (3 + g % 8) p, h % 10 = 0 and n > 0 planted from plain),
+t as (select r, doc_id, n, case when planted
+  then list_transform(range(n), lambda i: ws[1 + case when i < a then i else a + (i - a) % p end]) else ws end ws from place),
+five as (select r, i, array_to_string(ws[i + 1:i + 5], ' ') s from (select r, ws, unnest(range(n - 4)) i from t where n >= 6)),
+often as (select * from five qualify count(*) over (partition by r, s) > 1),
+pairs as (select x.r, x.i, y.i - x.i q from often x join often y on x.r = y.r and x.s = y.s and x.i < y.i),
+islands as (select r, q, min(i) "start", count(*) + 4 + q as "length"
+  from (select *, i - row_number() over (partition by r, q order by i) isle from pairs) group by r, q, isle),
+runs as (select * from islands where "length" >= greatest(6, 4 * q)
+  qualify row_number() over (partition by r, "start", "length" order by q) = 1),
+best as (select * from runs qualify row_number() over (partition by r order by "length" desc, "start", q) = 1),
+told as (select r, count(*) n_runs, string_agg("start" || ',' || "length" || ',' || q || chr(10), '' order by "start", q) txt from runs group by r),
+gone as (select distinct r, unnest(range("start" + q, "start" + "length")) i from runs),
+held as (select w.r, string_agg(w, ' ' order by i) txt from (select r, unnest(ws) w, unnest(range(n)) i from t) w
+  anti join gone using (r, i) group by w.r)
+select doc_id, coalesce(n_runs, 0)::bigint n_runs, "start", "length"::bigint "length", q::bigint period,
+  (1000 * "length" // q)::bigint exponent_milli, sha256(coalesce(told.txt, '')) runs_sha256, sha256(coalesce(held.txt, '')) collapsed_sha256
+from t left join best using (r) left join told using (r) left join held using (r)
+"""
+
+
 CHECKS = {
     "op1_decontamination": (op1_decontamination, OP1_SQL),
     "op2_mix_sources": (op2_mix_sources, None),
@@ -189,5 +253,6 @@ CHECKS = {
     "op8_url_filters": (op8_url_filters, OP8_SQL),
     "op9_chat_formatting": (op9_chat_formatting, OP9_SQL),
     "op10_quality_classifier": (op10_quality_classifier, None),
+    "op11_periodic_runs": (op11_periodic_runs, OP11_SQL),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
