@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from vejrkraft.llm import (
+    alignment,
     chat,
     decontaminate,
     html_text,
@@ -242,6 +243,20 @@ from t left join best using (r) left join told using (r) left join held using (r
 """
 
 
+TOKENIZERS = "/opt/tokenizers"
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = lambda groups: F.when(groups == "", "").otherwise(F.sha2(groups, 256))
+    aligned = alignment.align_tokens(
+        table(spark, sf_dir, "documents"),
+        f"{TOKENIZERS}/byte_bpe_50k.json",
+        f"{TOKENIZERS}/piece_bpe_32k.model",
+        keep=digest,
+    )
+    return aligned.withColumnRenamed("groups", "groups_sha256")
+
+
 CHECKS = {
     "op1_decontamination": (op1_decontamination, OP1_SQL),
     "op2_mix_sources": (op2_mix_sources, None),
@@ -254,5 +269,6 @@ CHECKS = {
     "op9_chat_formatting": (op9_chat_formatting, OP9_SQL),
     "op10_quality_classifier": (op10_quality_classifier, None),
     "op11_periodic_runs": (op11_periodic_runs, OP11_SQL),
+    "op12_token_alignment": (op12_token_alignment, None),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
