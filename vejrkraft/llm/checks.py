@@ -17,6 +17,7 @@ from vejrkraft.llm import (
     passages,
     periodic,
     quality_rules,
+    sharding,
     toxicity,
     url_rules,
 )
@@ -257,6 +258,10 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aligned.withColumnRenamed("groups", "groups_sha256")
 
 
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
 CHECKS = {
     "op1_decontamination": (op1_decontamination, OP1_SQL),
     "op2_mix_sources": (op2_mix_sources, None),
@@ -270,5 +275,6 @@ CHECKS = {
     "op10_quality_classifier": (op10_quality_classifier, None),
     "op11_periodic_runs": (op11_periodic_runs, OP11_SQL),
     "op12_token_alignment": (op12_token_alignment, None),
+    "op13_sharding": (op13_sharding, None),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
