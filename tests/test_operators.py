@@ -1,8 +1,11 @@
 """Edge cases of functions, cleaning, profiles, reports, places and statistics."""
 
+import math
 import random
 import statistics
+from fractions import Fraction
 
+import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -192,10 +195,42 @@ def test_correlation_with_gaps_and_constants(spark):
     assert got["a", "b"] == pytest.approx(want) == got["b", "a"]
 
 
-def test_box_stats_against_plain_quantiles(spark):
+@pytest.mark.parametrize("parts", [1, 7])
+def test_correlation_of_large_means_and_odd_values(spark, parts):
+    rnd = random.Random(parts)
+    x = [rnd.gauss(0, 1e-3) for _ in range(400)]
+    data = [(1e9 + v, 2e9 - v, 3.3, float("nan") if i == 7 else v, None) for i, v in enumerate(x)]
+    df = spark.createDataFrame(data, "a double, b double, `k.0` double, o double, empty double").repartition(parts)
+    got = {(r["col_a"], r["col_b"]): r["r"] for r in stats.corr_matrix(df).collect()}
+    a, b = ([Fraction(d[i]) for d in data] for i in (0, 1))
+    da, db = ([v - sum(c) / len(c) for v in c] for c in (a, b))
+    dot = lambda p, q: float(sum(v * w for v, w in zip(p, q)))
+    assert got["a", "b"] == pytest.approx(dot(da, db) / math.sqrt(dot(da, da) * dot(db, db)), abs=1e-7)
+    assert got["k.0", "k.0"] is None and got["a", "k.0"] is None and got["empty", "a"] is None
+    assert math.isnan(got["a", "o"]) and math.isnan(got["o", "o"]) and got["b", "b"] == 1.0
+
+
+def test_gram_blocks_cut_columns(spark, monkeypatch):
+    monkeypatch.setattr(stats, "BLOCK", 2)
+    rnd = random.Random(3)
+    values = np.array([[rnd.gauss(5, 2) for _ in range(50)] for _ in range(5)])
+    sums = stats.GramBlocks(5)
+    for part in np.split(values, 5, axis=1):
+        sums.add(part, np.ones(part.shape, bool))
+    for row in sums.pairs().to_pylist():
+        x, y = values[row["a"]], values[row["b"]]
+        assert row["xy"] == pytest.approx(((x - x.mean()) * (y - y.mean())).sum())
+        assert (row["n"], row["mean_x"]) == (50, pytest.approx(x.mean()))
+
+
+@pytest.mark.parametrize("sketch, most", [(10_000, 1 << 20), (40, 1 << 20), (40, 5), (20, 1)])
+def test_box_stats_against_plain_quantiles(spark, monkeypatch, sketch, most):
+    """Without brackets, with brackets of 4 / 40 of the values, and with brackets narrowed by further scans."""
+    monkeypatch.setattr(stats, "SKETCH", sketch)
     rnd = random.Random(8)
     data = [(rnd.choice([None, rnd.gauss(0, 1), 0.0, 50.0]), rnd.randrange(10)) for _ in range(997)]
-    got = {r["column"]: r for r in stats.box_stats(spark.createDataFrame(data, "x double, n int")).collect()}
+    df = spark.createDataFrame(data, "x double, n int").repartition(3)
+    got = {r["column"]: r for r in stats.box_stats(df, most=most).collect()}
     for i, name in enumerate(["x", "n"]):
         known = sorted(float(r[i]) for r in data if r[i] is not None)
         q1, median, q3 = statistics.quantiles(known, n=4, method="inclusive")
@@ -207,6 +242,15 @@ def test_box_stats_against_plain_quantiles(spark):
         assert row["outliers"] == len(known) - len(inside)
 
 
+def test_box_stats_of_odd_values(spark):
+    rnd = random.Random(1)
+    inf, nan = float("inf"), float("nan")
+    data = [(rnd.choice([-inf, inf, nan, 1.0]), rnd.gauss(0, 1) if i % 50 else nan, None) for i in range(500)]
+    got = {r["column"]: r for r in stats.box_stats(spark.createDataFrame(data, "a double, b double, c double")).collect()}
+    assert set(got) == {"a", "b"} and got["a"]["n"] == got["b"]["n"] == 500 and got["b"]["outliers"] >= 10
+    assert stats.box_stats(spark.createDataFrame([], "a double")).count() == 0
+
+
 def test_box_stats_of_four_values(spark):
     row = stats.box_stats(one(spark, [1.0, 2.0, 4.0, 9.0], "double")).first()
     assert (row["q1"], row["median"], row["q3"]) == (1.75, 3.0, 5.25)

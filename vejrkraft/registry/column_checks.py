@@ -320,6 +320,35 @@ def _corr_sql() -> str:
     return f"with {_NUMBERS_SQL} " + " union all ".join(cells)
 
 
+def _wide(spark: SparkSession, folder: str) -> DataFrame:
+    """Sixty columns over the line items: powers and shifts of four numbers, each with gaps of its own."""
+    li = table(spark, folder, "lineitem")
+    base = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    return li.select(
+        *[
+            F.when((F.col("l_orderkey") + i) % (i + 2) != 0, F.pow(F.col(base[i % 4]), F.lit(1 + i // 4 / 8)) + i * 1000).alias(f"m{i:02d}")
+            for i in range(60)
+        ]
+    )
+
+
+def corr_wide(spark: SparkSession, folder: str) -> DataFrame:
+    out = stats.corr_matrix(_wide(spark, folder))
+    return out.withColumn("r", F.round("r", 6) + F.lit(0.0))
+
+
+def _wide_sql() -> str:
+    base = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    cols = ", ".join(
+        f"case when (l_orderkey + {i}) % {i + 2} <> 0 then pow({base[i % 4]}, {1 + i // 4 / 8}) + {i * 1000} end as m{i:02d}"
+        for i in range(60)
+    )
+    cells = ", ".join(f"corr(m{i:02d}, m{j:02d}) as c_{i:02d}_{j:02d}" for i in range(60) for j in range(60))
+    return f"""with n as (select {cols} from lineitem), c as (select {cells} from n),
+      r as (unpivot c on columns(*) into name pair value r)
+    select 'm' || pair[3:4] as col_a, 'm' || pair[6:7] as col_b, round(r, 6) + 0.0 as r from r"""
+
+
 def box_stats(spark: SparkSession, folder: str) -> DataFrame:
     out = stats.box_stats(_numbers(spark, folder))
     return out.withColumns({c: F.round(c, 6) for c in ("q1", "median", "q3")})
@@ -354,5 +383,6 @@ CHECKS = {
     "union_ragged": (union_ragged, UNION_RAGGED_SQL),
     "sorted_columns": (sorted_columns, SORTED_COLUMNS_SQL),
     "corr_matrix": (corr_matrix, _corr_sql()),
+    "corr_wide": (corr_wide, _wide_sql()),
     "box_stats": (box_stats, BOX_SQL),
 }
