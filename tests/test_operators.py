@@ -195,6 +195,27 @@ def test_correlation_with_gaps_and_constants(spark):
     assert got["a", "b"] == pytest.approx(want) == got["b", "a"]
 
 
+def test_stored_sketches_keep_their_error(spark):
+    """Twelve months of overlapping stations; unions of stored sketches against exact sets."""
+    months = spark.range(12).selectExpr("cast(id as string) page", "id m")
+    obs = months.selectExpr("page", "m", "explode(sequence(m * 9000, m * 9000 + 29999)) s").selectExpr(
+        "case when s % 3 = 0 then 'wind' else 'sun' end parameter", "page", "m", "if(s % 1000 = 7, null, cast(s as string)) station_id"
+    )
+    stored = summaries.station_sketches(obs)
+    error = summaries.sketch_error()
+    assert 0.016 < error < 0.0163
+    for last in (0, 4, 11):
+        part = obs.where(f"m <= {last}")
+        want = {r["parameter"]: r["stations"] for r in summaries.distinct_stations(part).collect()}
+        got = {r["parameter"]: r["stations"] for r in summaries.sketched_stations(stored.where(f"int(page) <= {last}")).collect()}
+        assert set(got) == set(want) == {"wind", "sun", None}
+        assert all(abs(got[p] - n) <= 4 * error * n for p, n in want.items())
+    small = summaries.station_sketches(obs, bits=6)
+    mixed = stored.where("page = '0'").unionByName(small.where("page = '1'"))
+    assert summaries.sketched_stations(mixed).count() == 3
+    assert rows(summaries.merge_sketches(stored, ["parameter"]).select("parameter", "rows")) == [("sun", 240000), ("wind", 120000)]
+
+
 @pytest.mark.parametrize("parts", [1, 7])
 def test_correlation_of_large_means_and_odd_values(spark, parts):
     rnd = random.Random(parts)

@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vejrkraft import fixed_values as fv
 from vejrkraft.functions.texts import date_part
 from vejrkraft.functions.times import days_before
-
-_PAGES_PER_BLOCK = 1000
+from vejrkraft.operators.ordering import running_total
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
@@ -108,6 +107,42 @@ def distinct_stations(obs: DataFrame, key: str = "station_id") -> DataFrame:
     return per.unionByName(union)
 
 
+SKETCH_BITS = 12
+
+
+def sketch_error(bits: int = SKETCH_BITS) -> float:
+    """Relative standard error of counts from merged sketches of 2^bits registers."""
+    return 1.04 / 2 ** (bits / 2)
+
+
+def station_sketches(
+    obs: DataFrame, by: Sequence[str] = ("parameter", "page"), key: str = "station_id", bits: int = SKETCH_BITS
+) -> DataFrame:
+    """Per ``by``: rows, and a sketch of the distinct keys, to be stored next to the observations.
+
+    A sketch holds 2^bits registers at most, whatever the number of keys; null keys do not count. Counts of any union of sketches
+    follow without another look at the observations. An opt-in: ``distinct_stations`` stays exact.
+    """
+    return obs.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("rows"), F.hll_sketch_agg(F.col(key), F.lit(bits)).alias("sketch")
+    )
+
+
+def merge_sketches(sketches: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Stored sketches united to ``by``: a coarser table of the same form. Sketches of different sizes unite to the least one's."""
+    return sketches.groupBy(*by).agg(
+        F.sum("rows").alias("rows"), F.hll_union_agg("sketch", F.lit(True)).alias("sketch")
+    )
+
+
+def sketched_stations(sketches: DataFrame) -> DataFrame:
+    """Distinct stations per parameter, and over all parameters (parameter null), estimated from stored sketches with the error
+    of ``sketch_error``."""
+    per = merge_sketches(sketches, ["parameter"])
+    union = merge_sketches(per).withColumn("parameter", F.lit(None).cast("string"))
+    return per.unionByName(union).select("parameter", F.hll_sketch_estimate("sketch").alias("stations"))
+
+
 def station_union(frames: Sequence[DataFrame], key: str = "station_id") -> DataFrame:
     """The set union of the station ids of several tables."""
     first, *rest = [f.select(key) for f in frames]
@@ -134,23 +169,9 @@ def page_accounting(obs: DataFrame, page: str = "page", key: str = "station_id")
     pages = per_page.join(fresh, ["parameter", page], "left").withColumn(
         "new_stations", F.coalesce("new_stations", F.lit(0).cast("long"))
     )
-    # Running sum in two steps, so that no task walks over all pages of a parameter.
-    block = F.floor(F.col(page) / _PAGES_PER_BLOCK)
-    pages = pages.withColumn("_block", block)
-    blocks = pages.groupBy("parameter", "_block").agg(F.sum("new_stations").alias("_sum"))
-    before = Window.partitionBy("parameter").orderBy("_block")
-    before = before.rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("_before", F.coalesce(F.sum("_sum").over(before), F.lit(0))).drop("_sum")
-    inside = Window.partitionBy("parameter", "_block").orderBy(page)
-    inside = inside.rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        pages.withColumn("_inside", F.sum("new_stations").over(inside))
-        .join(blocks, ["parameter", "_block"])
-        .select(
-            "parameter", page, "rows", "stations", "new_stations",
-            (F.col("_inside") + F.col("_before")).alias("stations_so_far"),
-        )
-    )
+    # Ranges of pages: no task walks over all pages of a parameter.
+    out = running_total(pages, "new_stations", [page], by=["parameter"], out="stations_so_far")
+    return out.select("parameter", page, "rows", "stations", "new_stations", "stations_so_far")
 
 
 def truncated_pages(obs: DataFrame, limit: int, page: str = "page") -> DataFrame:

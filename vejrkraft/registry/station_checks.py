@@ -366,6 +366,27 @@ DISTINCT_SQL = f"""with {_daily_sql(WIND)}
     union all select null, count(distinct station_id) from daily"""
 
 
+def distinct_sketched(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct orders per priority from sketches stored by month, against the exact count: within four standard errors."""
+    o = table(spark, folder, "orders").select(
+        F.col("o_orderpriority").alias("parameter"),
+        F.date_format("o_orderdate", "yyyy-MM").alias("page"),
+        F.col("o_orderkey").cast("string").alias("station_id"),
+    )
+    stored = staged(summaries.station_sketches(o))
+    told = summaries.sketched_stations(stored).withColumnRenamed("stations", "estimate")
+    exact = summaries.distinct_stations(o)
+    same = F.col("parameter").eqNullSafe(F.col("p"))
+    both = exact.join(told.withColumnRenamed("parameter", "p"), same)
+    off = F.abs(F.col("estimate") - F.col("stations"))
+    allowed = F.ceil(F.col("stations") * 4 * summaries.sketch_error())
+    return both.select("parameter", "stations", (off <= allowed).alias("near"))
+
+
+DISTINCT_SKETCHED_SQL = """select o_orderpriority as parameter, count(distinct o_orderkey) as stations, true as near from orders group by 1
+    union all select null, count(distinct o_orderkey), true from orders"""
+
+
 def station_union(spark: SparkSession, folder: str) -> DataFrame:
     obs = _daily_stations(spark, folder, WIND)
     of = lambda p: obs.where(F.col("parameter") == p)
@@ -689,6 +710,7 @@ CHECKS = {
     "topk_station": (topk_station, TOPK_SQL),
     "sorted_profile": (sorted_profile, SORTED_SQL),
     "distinct_sets": (distinct_sets, DISTINCT_SQL),
+    "distinct_sketched": (distinct_sketched, DISTINCT_SKETCHED_SQL),
     "station_union": (station_union, STATION_UNION_SQL),
     "paged_accounting": (paged_accounting, PAGED_SQL),
     "truncated_pages": (
