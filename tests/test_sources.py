@@ -206,3 +206,17 @@ def test_paged_requests(spark):
         requests.answered(requested).collect()
     with pytest.raises(Exception, match="offset_end"):
         spark.read.format("paged_requests").option("fetch", "local_service:page").options(parameters="a").load().count()
+
+
+def test_lines_of_the_wrong_width_are_kept(spark, folder):
+    """Short, long and quoted lines of two files with columns in different order; an empty last field is no gap."""
+    first = 'a,b,c.d\n1,x,\n2,y\n3,"z,z",4\n5,"q""q",6\n7,8,9,10\n'
+    Path(f"{folder}/1.csv").write_text(first)
+    Path(f"{folder}/2.csv").write_text("c.d,a,b\n9,8,7\nalone\n")
+    df = files.read_csv(spark, [f"{folder}/1.csv", f"{folder}/2.csv"], {"a": "int"}, record="line")
+    good, bad = files.split_records(df, "line")
+    assert rows(good) == sorted([(1, "x", None), (3, "z,z", "4"), (5, 'q"q', "6"), (8, "7", "9")], key=repr)
+    assert rows(bad) == sorted([("2,y",), ("7,8,9,10",), ("alone",)], key=repr)
+    assert bad.count() == 3 and good.select("b").count() == 4
+    with pytest.raises(ValueError, match="have a column"):
+        files.read_csv(spark, f"{folder}/1.csv", record="a")

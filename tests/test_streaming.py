@@ -9,7 +9,7 @@ from vejrkraft.functions.areas import price_area
 from vejrkraft.operators.cleaning import split_rejects
 from vejrkraft.operators.nearest import nearest_point
 from vejrkraft.sources import requests
-from vejrkraft.streaming import ingest
+from vejrkraft.streaming import ingest, labels
 
 MESSAGE = "id long, datetime timestamp, municipality_code int, ConsumptionkWh double, latitude double, longitude double"
 
@@ -100,6 +100,44 @@ def test_hourly_sum_equals_batch_up_to_the_watermark(spark, folder):
     assert rows(got) == rows(closed) and got.count() == 12
 
 
+def _labelled(spark, folder, *batches, keep="1 day"):
+    """Emitted rows after each batch of (ord, time, code, kwh, place, count)."""
+    schema = "ord long, datetime timestamp, code int, kwh double, place string, region long, other string"
+    emitted = []
+    for i, batch in enumerate(batches):
+        Path(f"{folder}/in").mkdir(exist_ok=True)
+        names = ("ord", "datetime", "code", "kwh", "place", "region")
+        lines = [json.dumps(dict(zip(names, (r[0], f"2024-01-{r[1]}Z", *r[2:])))) for r in batch]
+        Path(f"{folder}/in/{i}.json").write_text("\n".join(lines))
+        stream = ingest.stream_files(spark, f"{folder}/in", schema)
+        hourly = labels.hourly_with_labels(stream, "1 hour", keep, key="code", value="kwh", labels=["place", "region"])
+        with labels.rocksdb_state(spark):
+            query = ingest.land(hourly, f"{folder}/out", f"{folder}/state")
+        query.awaitTermination()
+        emitted.append(rows(spark.read.parquet(f"{folder}/out").select(F.date_format("datetime", "dd HH"), "code", "kwh", "place", "region", "revision")))
+    return emitted
+
+
+def test_late_rows_correct_the_hour(spark, folder):
+    big = 2**53 + 1
+    first = [(5, "01T10:10:00", 1, 1.5, None, big), (6, "01T10:50:00", 1, None, "b", None), (7, "01T11:59:59", 1, 4.0, "c", 1)]
+    first += [(8, "01T10:00:00", None, 9.0, "x", 1), (9, "01T10:20:00", 2, None, None, None)]
+    on = [(10, "01T12:30:00", 1, 1.0, "d", 2)]  # hour 10 has settled
+    late = [(1, "01T10:59:00", 1, 0.25, "a", None), (11, "01T10:01:00", 1, 1.0, "z", 3)]
+    far = [(12, "03T00:00:00", 1, 1.0, "e", 4)]  # hours of the first day are dropped from now on
+    gone = [(13, "01T10:30:00", 1, 99.0, "y", 5), (14, "03T05:00:00", 2, 2.0, None, None)]
+    got = _labelled(spark, folder, first, on, late, far, gone)
+    hour10 = [("01 10", 1, 1.5, "b", big, 1), ("01 10", 2, 0.0, None, None, 1)]
+    assert got[0] == [] and got[1] == sorted(hour10, key=repr)
+    assert got[2] == sorted([*hour10, ("01 10", 1, 2.75, "a", big, 2)], key=repr)
+    day1 = [*got[2], ("01 11", 1, 4.0, "c", 1, 1), ("01 12", 1, 1.0, "d", 2, 1)]
+    assert got[3] == sorted(day1, key=repr)
+    assert got[4] == sorted([*day1, ("03 00", 1, 1.0, "e", 4, 1)], key=repr)
+    last = labels.last_revisions(spark.read.parquet(f"{folder}/out"), key="code")
+    assert last.count() == 5 and "revision" not in last.columns
+    assert last.where("kwh = 2.75").count() == 1
+
+
 def test_repeated_polls_are_dropped(spark, folder):
     drop_files(f"{folder}/in", [message(1, 1), message(1, 1)], [message(1, 1), message(2, 1)])
     stream = ingest.stream_files(spark, f"{folder}/in", MESSAGE)

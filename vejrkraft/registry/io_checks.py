@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vejrkraft.functions.areas import price_area
@@ -38,8 +38,9 @@ from vejrkraft.registry.tables import (
 from vejrkraft.schemas import WIND_TYPES
 from vejrkraft.session import checkpoint_dir
 from vejrkraft.sinks import files as sinks
+from vejrkraft.sinks import messages
 from vejrkraft.sources import files, pages, stations
-from vejrkraft.streaming import ingest
+from vejrkraft.streaming import ingest, labels
 
 _ISO = "'%Y-%m-%dT%H:%M:%SZ'"
 _PAGE_ROWS = 1000
@@ -71,6 +72,60 @@ CSV_SQL = f"""select event_id, lpad(cast(user_id as varchar), 5, '0') as station
       {case_sql("event_type", WIND)} as parameter, value from events"""
 
 
+def csv_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as lines of text, some short of a field and some with one too many: good rows, and the other lines as they stand."""
+    out = _folder(spark, "csv")
+    e = table(spark, folder, "events")
+    fields = F.concat_ws(";", "event_id", "user_id", "event_type")
+    line = (
+        F.when(F.col("event_id") % 11 == 0, F.concat_ws(";", "event_id", "user_id"))
+        .when(F.col("event_id") % 13 == 0, F.concat(fields, F.lit(";extra")))
+        .otherwise(fields)
+    )
+    header = spark.range(1).select(F.lit("event_id;user_id;event_type").alias("value"))
+    # Each file needs the header as its first line.
+    lines = e.repartition(4, "user_id").select(F.spark_partition_id().alias("part"), F.lit(1).alias("at"), line.alias("value"))
+    parts = lines.select("part").distinct()
+    headed = parts.join(F.broadcast(header)).select("part", F.lit(0).alias("at"), "value").unionByName(lines)
+    headed = headed.repartition(4, "part").sortWithinPartitions("part", "at")
+    headed.select("part", "value").write.partitionBy("part").text(out)
+    back = files.read_csv(spark, f"{out}/*", {"event_id": "bigint", "user_id": "bigint"}, sep=";", record="line")
+    good, bad = files.split_records(back, "line")
+    good = good.select("event_id", "user_id", "event_type", F.lit(None).cast("string").alias("line"))
+    number = F.split("line", ";")[0].cast("long")
+    return good.unionByName(
+        bad.select(number.alias("event_id"), F.lit(None).cast("long").alias("user_id"), F.lit(None).cast("string").alias("event_type"), "line")
+    )
+
+
+CSV_REJECTS_SQL = """with r as (select *, event_id % 11 = 0 as short, event_id % 13 = 0 as long from events)
+    select event_id, case when not (short or long) then user_id end as user_id,
+      case when not (short or long) then event_type end as event_type,
+      case when short then event_id || ';' || user_id when long then event_id || ';' || user_id || ';' || event_type || ';extra' end as line
+    from r"""
+
+
+def message_delivery(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream of several files sent to a receiver that takes messages of 52 bytes at most: what it has, and what it refused."""
+    _, stream = _event_files(spark, folder)
+    sent = ingest.route_topics(
+        stream.select("event_id", "user_id", "event_type"), "event_type", {"view": "weather", "click": "weather", "purchase": "consumption"}
+    )
+    out = _folder(spark, "sent")
+    messages.send_stream(
+        sent, "vejrkraft.sinks.messages:FileSpool", f"{out}/dead", f"{out}/state", spool=f"{out}/spool", max_bytes="52"
+    ).awaitTermination()
+    kept = spark.read.schema("topic string, value string").json(f"{out}/spool").withColumn("outcome", F.lit("sent"))
+    refused = messages.dead_letters(spark, f"{out}/dead").withColumnRenamed("reason", "outcome")
+    number = F.get_json_object("value", "$.event_id").cast("long")
+    return kept.unionByName(refused).select("topic", number.alias("event_id"), "outcome")
+
+
+MESSAGE_DELIVERY_SQL = """select case event_type when 'purchase' then 'consumption' else 'weather' end as topic, event_id,
+      case when 40 + length(event_id::varchar || user_id::varchar || event_type) > 52 then 'message too large' else 'sent' end as outcome
+    from events where event_type in ('view', 'click', 'purchase')"""
+
+
 def ndjson_source(spark: SparkSession, folder: str) -> DataFrame:
     """Conversation turns as one document per line, read back strictly."""
     out = _folder(spark, "ndjson")
@@ -316,6 +371,24 @@ STATION_TABLES_SQL = """select 'wind' as station_type, cast(s_suppkey as varchar
       c_nationkey / 8, c_nationkey / 4, null from customer where c_acctbal > 0"""
 
 
+def json_document(spark: SparkSession, folder: str) -> DataFrame:
+    """All events as one JSON array in parts; each line holds one element. The manifest's offsets follow from one another."""
+    out = _folder(spark, "document")
+    e = table(spark, folder, "events").select("event_id", "user_id", "event_type")
+    parts = sinks.write_json_document(e, out, ["event_id"])
+    after = Window.orderBy("part").rowsBetween(-1, -1)
+    end = F.coalesce(F.sum(F.col("offset") + F.col("bytes")).over(after), F.lit(0))
+    checked = parts.withColumn("follows", F.col("offset") == end).agg(F.bool_and("follows").alias("contiguous"))
+    element = F.from_json(F.regexp_extract("value", r"^\[?(.*?)(, |\])$", 1), "event_id long, user_id long, event_type string")
+    lines = spark.read.text(out).select(element.alias("e"), F.left("value", F.lit(1)).alias("opens"), F.right("value", F.lit(1)).alias("closes"))
+    rows = lines.select("e.*", (F.col("opens") == "[").alias("first"), (F.col("closes") == "]").alias("last"))
+    return rows.join(F.broadcast(checked))  # one row
+
+
+JSON_DOCUMENT_SQL = """select event_id, user_id, event_type, event_id = (select min(event_id) from events) as first,
+      event_id = (select max(event_id) from events) as last, true as contiguous from events"""
+
+
 def yearly_output(spark: SparkSession, folder: str) -> DataFrame:
     """Orders written by year and read back."""
     out = _folder(spark, "years")
@@ -416,6 +489,36 @@ STREAM_CLOSED_SQL = f"""select strftime(date_trunc('hour', ts), {_ISO}) as hour,
     from events where event_type = 'purchase' group by date_trunc('hour', ts), user_id"""
 
 
+def stream_labels(spark: SparkSession, folder: str) -> DataFrame:
+    """First labels per hour on a stream of several files out of order: the last revision of every hour that has settled."""
+    _, stream = _event_files(spark, folder)
+    rows = stream.where(F.col("event_type") == "purchase").select(
+        "datetime",
+        (F.col("user_id") % 10).cast("int").alias("code"),
+        F.when(F.col("value") >= 15, F.col("value")).alias("kwh"),
+        F.when(F.col("event_id") % 3 != 0, F.concat(F.lit("t"), F.col("event_id") % 100)).alias("place"),
+        F.when(F.col("value") > 30, F.col("user_id")).alias("region"),
+        F.col("event_id").alias("ord"),
+    )
+    hourly = labels.hourly_with_labels(
+        rows, settle="2 hours", keep="400 days", key="code", value="kwh", labels=["place", "region"]
+    )
+    out = _folder(spark, "labels")
+    with labels.rocksdb_state(spark):
+        query = ingest.land(hourly, out, f"{out}-state")
+    query.awaitTermination()
+    last = labels.last_revisions(files.read_parquet(spark, out), key="code")
+    return last.select(iso_text("datetime").alias("hour"), "code", F.round("kwh", 6).alias("kwh"), "place", "region")
+
+
+STREAM_LABELS_SQL = f"""with p as (select date_trunc('hour', ts) as h, ts, (user_id % 10)::integer as code, event_id,
+      case when value >= 15 then value end as kwh, case when event_id % 3 <> 0 then 't' || event_id % 100 end as place,
+      case when value > 30 then user_id end as region from events where event_type = 'purchase')
+    select strftime(h, {_ISO}) as hour, code, round(coalesce(sum(kwh), 0), 6) as kwh,
+      arg_min(place, event_id) filter (place is not null) as place, arg_min(region, event_id) filter (region is not null) as region
+    from p where h + interval 3 hour <= (select max(ts) from p) group by h, code"""
+
+
 def stream_clean(spark: SparkSession, folder: str) -> DataFrame:
     """The batch clean-up, nearest point included, on a stream of several files."""
     _, stream = _event_files(spark, folder)
@@ -497,11 +600,14 @@ CHECKS = {
     ),
     "record_pages": (record_pages, RECORD_PAGES_SQL),
     "csv_source": (csv_source, CSV_SQL),
+    "csv_rejects": (csv_rejects, CSV_REJECTS_SQL),
+    "message_delivery": (message_delivery, MESSAGE_DELIVERY_SQL),
     "ndjson_source": (ndjson_source, "select * from conversations"),
     "ndjson_variant": (ndjson_variant, "select event_id, event_type, value from events"),
     "landed_observations": (landed_observations, LANDED_SQL),
     "landed_accounting": (landed_accounting, LANDED_ACCOUNTING_SQL),
     "station_tables": (station_tables, STATION_TABLES_SQL),
+    "json_document": (json_document, JSON_DOCUMENT_SQL),
     "yearly_output": (
         yearly_output,
         """select cast(year(o_orderdate) as integer) as year, count(*) as n,
@@ -516,6 +622,7 @@ CHECKS = {
     "stream_landing": (stream_landing, STREAM_LANDING_SQL),
     "stream_hourly": (stream_hourly, STREAM_HOURLY_SQL),
     "stream_closed": (stream_closed, STREAM_CLOSED_SQL),
+    "stream_labels": (stream_labels, STREAM_LABELS_SQL),
     "stream_clean": (stream_clean, STREAM_CLEAN_SQL),
     "stream_rejects": (stream_rejects, STREAM_REJECTS_SQL),
     "stream_once": (

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vejrkraft.functions.documents import json_array_pieces
 from vejrkraft.operators.cleaning import sorted_columns
 from vejrkraft.operators.ordering import nulls_last
+from vejrkraft.sinks.commit import write_parts
 
 
 def write_csv(df: DataFrame, folder: str, overwrite: bool = False) -> bool:
@@ -21,38 +21,16 @@ def write_csv(df: DataFrame, folder: str, overwrite: bool = False) -> bool:
     return True
 
 
-def _clash(df: DataFrame, folder: str, fmt: str, parts: Sequence[str]) -> list:
-    """Partitions of ``df`` that the folder already has; a handful of years or months."""
-    try:
-        there = df.sparkSession.read.format(fmt).load(folder).select(*parts).distinct()
-    except AnalysisException:
-        return []
-    types = dict(df.dtypes)
-    there = there.select(*[F.col(p).cast(types[p]) for p in parts])
-    return df.select(*parts).distinct().join(there, list(parts), "left_semi").collect()
-
-
 def _write_parts(
     df: DataFrame, folder: str, parts: Sequence[str], order: Sequence[str], fmt: str, overwrite: bool
 ) -> bool:
-    if df.isEmpty():
-        return False
-    if not overwrite:
-        clash = _clash(df, folder, fmt, parts)
-        if clash:
-            raise FileExistsError(f"{folder} already holds {[tuple(r) for r in clash]}")
     keys = [*parts, *order]
     # Ranges over partition and order: sorted files, and a hot year spreads over several tasks.
     laid = df.repartitionByRange(*nulls_last(keys)).sortWithinPartitions(*nulls_last(keys))
     writer = laid.write.partitionBy(*parts).format(fmt)
     if fmt == "csv":
         writer = writer.option("header", True)
-    if overwrite:
-        # Only the partitions at hand are replaced.
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(folder)
-    else:
-        writer.mode("append").save(folder)
-    return True
+    return write_parts(df.sparkSession, writer, folder, len(parts), overwrite)
 
 
 def write_by_year(
@@ -63,8 +41,8 @@ def write_by_year(
     fmt: str = "parquet",
     overwrite: bool = False,
 ) -> bool:
-    """One partition per year, sorted by station and time. A year already there is refused unless
-    ``overwrite``. An empty table writes nothing."""
+    """One partition per year, sorted by station and time, put in place as a whole. A year already there, or in the hands of another
+    writer, is refused; with ``overwrite`` the years at hand are replaced. An empty table writes nothing."""
     return _write_parts(df.withColumn("year", F.year(time)), folder, ["year"], order, fmt, overwrite)
 
 
@@ -76,7 +54,7 @@ def write_by_month(
     overwrite: bool = False,
 ) -> bool:
     """One partition per month, columns in alphabetical order; the folder as a whole is the
-    combined table. A month already there is refused unless ``overwrite``."""
+    combined table. Months are put in place as years are by ``write_by_year``."""
     stamp = F.col(time).cast("timestamp")
     parted = sorted_columns(df).withColumns({"year": F.year(stamp), "month": F.month(stamp)})
     return _write_parts(parted, folder, ["year", "month"], [time], fmt, overwrite)
@@ -97,6 +75,34 @@ def write_json_arrays(
     writer.text(folder)
 
 
+def write_json_document(df: DataFrame, folder: str, order: Sequence[str], overwrite: bool = False) -> DataFrame:
+    """One JSON array of all rows in ``order`` (unique, nulls last), as part files and a manifest, which is returned.
+
+    Every task writes one range of the rows as one file. The manifest, also kept under ``_manifest``, has one row per file:
+    part, path, offset, bytes. The files joined in that order are the document, and ``offset`` is the place of a file in it, so parts
+    can be fetched or put together side by side. An empty table is the document `[]`.
+    """
+    spark = df.sparkSession
+    place = nulls_last(order)
+    pieces = json_array_pieces(df, order, (), df.columns)
+    laid = pieces.repartitionByRange(*place).sortWithinPartitions(*place).select(F.col("piece").alias("value"))
+    if df.isEmpty():
+        laid = spark.range(1).select(F.lit("[]").alias("value"))
+    laid.write.mode("overwrite" if overwrite else "errorifexists").text(folder)
+    # Only names and sizes are read. One row per task of the write.
+    files = spark.read.format("binaryFile").load(folder).select("path", F.col("length").alias("bytes"))
+    files = files.withColumn("part", F.regexp_extract("path", r"part-(\d+)", 1).cast("long"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    manifest = files.withColumn("offset", F.coalesce(F.sum("bytes").over(before), F.lit(0).cast("long")))
+    manifest.select("part", "path", "offset", "bytes").write.mode("overwrite").json(f"{folder.rstrip('/')}/_manifest")
+    return document_parts(spark, folder)
+
+
+def document_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """The manifest of a document written by ``write_json_document``."""
+    return spark.read.schema("part long, path string, offset long, bytes long").json(f"{folder.rstrip('/')}/_manifest")
+
+
 def write_analytics(df: DataFrame, base: str, name: str) -> str:
     """Result table for reports, replaced as a whole."""
     path = f"{base.rstrip('/')}/analytics/{name}"

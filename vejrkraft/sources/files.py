@@ -7,9 +7,9 @@ import zipfile
 from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from vejrkraft.functions.numbers import to_number
 from vejrkraft.operators.cleaning import union_all
@@ -31,15 +31,19 @@ def read_csv(
     types: Mapping[str, str] | None = None,
     sep: str = ",",
     numbered: bool = False,
+    record: str | None = None,
 ) -> DataFrame:
     """Delimited files with a header, by column name. Columns without a type stay text.
 
     Several files must have the same columns, in any order. ``numbered`` adds ``ord``, which orders
-    the rows as they stand in the file (for a single file).
+    the rows as they stand in the file (for a single file). ``record`` names a column to add: the whole line where it has fewer or
+    more fields than the header, else null (``split_records`` parts the two). Without it such lines are padded or cut.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     read = spark.read.option("header", True).option("sep", sep).option("escape", '"')
     tables = [read.csv(p) for p in paths]
+    if record:
+        tables = [_with_record(read, p, t, record) for p, t in zip(paths, tables)]
     if numbered:
         # A large file is read in blocks, which need not be numbered in file order.
         place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
@@ -47,6 +51,23 @@ def read_csv(
     return with_types(union_all(tables), types or {})
 
 
+def _with_record(read: DataFrameReader, path: str, table: DataFrame, record: str) -> DataFrame:
+    """``table`` read again with its malformed lines. A line is only judged if all its fields are parsed."""
+    if record in table.columns:
+        raise ValueError(f"the files have a column {record!r}")
+    schema = StructType([StructField(c, StringType()) for c in [*table.columns, record]])
+    whole = read.schema(schema).option("columnNameOfCorruptRecord", record).option("columnPruning", False).csv(path)
+    # Spark refuses to read the malformed lines alone, so they depend on the fields.
+    fields = F.concat_ws("", *[F.col(f"`{c}`") for c in table.columns])
+    return whole.withColumn(record, F.when(F.length(fields) >= 0, F.col(record)))
+
+
+def split_records(df: DataFrame, record: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``read_csv(..., record=...)`` whose line has the width of the header, and the other lines."""
+    good, bad = F.col(record).isNull(), F.col(record).isNotNull()
+    return df.where(good).drop(record), df.where(bad).select(record)
+
+
 def read_zipped_csv(
     spark: SparkSession,
     path: str,

@@ -166,10 +166,10 @@ def clean_batches(
         clean(batch).write.mode("overwrite").parquet(f"{folder.rstrip('/')}/batch={number}")
 
     writer = stream.writeStream.foreachBatch(land_batch).option("checkpointLocation", checkpoint)
-    return _trigger(writer, every).start()
+    return trigger(writer, every).start()
 
 
-def _trigger(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
+def trigger(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
     return writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)
 
 
@@ -189,7 +189,7 @@ def land(
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    return _trigger(writer, every).start(folder)
+    return trigger(writer, every).start(folder)
 
 
 def publish(
@@ -203,4 +203,4 @@ def publish(
         .option("kafka.retries", str(fv.SEND_RETRIES))
         .option("checkpointLocation", checkpoint)
     )
-    return _trigger(writer, every).start()
+    return trigger(writer, every).start()
