@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from vejrkraft.operators.nearest import nearest_point
+from vejrkraft.operators.nearest import _balanced_cells, nearest_point
 
 POINTS = "code int, latitude double, longitude double, ord int"
 
@@ -32,6 +32,23 @@ def test_equals_brute_force(spark, limit):
     }
 
 
+@pytest.mark.parametrize(
+    "point",
+    [
+        lambda i: (55.0, i * 1e-12),  # one latitude
+        lambda i: (2.0**-i if i < 900 else i * 1e-300, 9.0 + i % 7),  # ever closer to a corner
+        lambda i: (float(i % 3), 2.0 ** (i % 50) + i),
+        lambda i: (0.0, float(i)) if i % 2 else (float(i), 0.0),  # a cross
+    ],
+)
+def test_leaves_are_bounded_whatever_the_spread(spark, point):
+    points = [(*map(float, point(i)), i, i) for i in range(3000)]
+    df = spark.createDataFrame(points, "p_lat double, p_lon double, p_ord int, p_code int").dropDuplicates(["p_lat", "p_lon"])
+    leaves, depth = _balanced_cells(df)
+    sizes = [r["count"] for r in leaves.groupBy("cell").count().collect()]
+    assert max(sizes) <= 64 and sum(sizes) == df.count() and depth <= 5
+
+
 @pytest.mark.parametrize("limit", [4096, 1])
 def test_tie_goes_to_the_first_point(spark, limit):
     points = spark.createDataFrame([(7, 0.0, 2.0, 1), (5, 0.0, 0.0, 0), (9, 0.0, 0.0, 2)], POINTS)

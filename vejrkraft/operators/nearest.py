@@ -14,9 +14,9 @@ from vejrkraft.session import staged
 MAX_ARRAY_POINTS = 4096
 # Rows compared with all those points at once: 32 MiB at most.
 _BLOCK_ROWS = 1024
-# Cell search: every level cuts a cell in 4 x 4, and a leaf should hold at most this many points.
-_FAN = 4
+# Cell search: every level cuts a cell at the quartiles of its own points, 4 x 4 ways, until a leaf holds at most this many points.
 _LEAF_POINTS = 64
+_QUARTILES = (0.25, 0.5, 0.75)
 _MAX_LEVEL = 15
 # The tables of the upper levels have at most 16**level rows; only those are broadcast.
 _BROADCAST_LEVELS = 3
@@ -38,7 +38,7 @@ def nearest_point(
     never nearest. Each distinct
     coordinate is searched once. A small set of points (looked at first, up to the limit only)
     travels with the tasks, which compare whole Arrow batches with it: on a trial 40 times
-    faster than an array expression per row. A larger set is searched through a pyramid of cells.
+    faster than an array expression per row. A larger set is searched through a tree of cells cut at its own quartiles.
     """
     pts = points.select(
         F.col(lat).cast("double").alias("p_lat"),
@@ -105,15 +105,8 @@ def _search_cells(coords: DataFrame, pts: DataFrame) -> DataFrame:
         pts.groupBy("p_lat", "p_lon").agg(F.min(F.struct("p_ord", "p_code")).alias("first"))
         .select("p_lat", "p_lon", F.col("first.p_ord").alias("p_ord"), F.col("first.p_code").alias("p_code"))
     )
-    edge = pts.agg(F.min("p_lat"), F.max("p_lat"), F.min("p_lon"), F.max("p_lon")).first()
-    depth = 2
-    while depth < _MAX_LEVEL:
-        cells = pts.groupBy(_cell(depth, *edge).alias("cell")).count()
-        if cells.agg(F.max("count")).first()[0] <= _LEAF_POINTS:
-            break
-        depth += 1
     # A 4 x 4 numbering per level: the parent of a cell is its number shifted by one level.
-    leaves = pts.withColumn("cell", _cell(depth, *edge))
+    leaves, depth = _balanced_cells(pts)
     front = coords.withColumn("cell", F.lit(0).cast("long"))
     for level in range(1, depth + 1):
         boxes = leaves.groupBy(F.shiftright("cell", 4 * (depth - level)).alias("child")).agg(
@@ -141,21 +134,29 @@ def _search_cells(coords: DataFrame, pts: DataFrame) -> DataFrame:
     )
 
 
-def _cell(depth: int, lat0: float, lat1: float, lon0: float, lon1: float) -> Column:
-    side = _FAN**depth
-
-    def index(col: str, low: float, high: float) -> Column:
-        width = (high - low) or 1.0
-        at = F.floor((F.col(col) - F.lit(low)) / F.lit(width) * F.lit(float(side))).cast("long")
-        return F.least(F.greatest(at, F.lit(0)), F.lit(side - 1)).cast("long")
+def _balanced_cells(pts: DataFrame) -> tuple[DataFrame, int]:
+    """Distinct points with the number of their leaf, and the depth of the tree.
 
-    y, x = index("p_lat", lat0, lat1), index("p_lon", lon0, lon1)
-    number = F.lit(0).cast("long")
-    for level in range(depth):
-        shift = 2 * (depth - 1 - level)
-        digit = F.shiftright(y, shift).bitwiseAND(3) * 4 + F.shiftright(x, shift).bitwiseAND(3)
-        number = number * 16 + digit
-    return number
+    A cell is cut at the quartiles of its points' latitudes, and each strip at the quartiles of its longitudes. Strips of
+    points on one latitude are cut by longitude in full, so every level leaves a third of the points in a cell at most (a quarter but for the
+    quartiles' error), however they are spread, and the depth follows the logarithm of their number.
+    """
+    leaves, depth = staged(pts.withColumn("cell", F.lit(0).cast("long"))), 0
+    while depth < _MAX_LEVEL:
+        largest = leaves.groupBy("cell").count().agg(F.max("count")).first()[0]
+        if depth >= 2 and (largest or 0) <= _LEAF_POINTS:
+            break
+        for axis in ("p_lat", "p_lon"):
+            cuts = leaves.groupBy(F.col("cell").alias("_cell")).agg(
+                F.percentile_approx(axis, F.array(*map(F.lit, _QUARTILES)), F.lit(1000)).alias("_cuts")
+            )
+            if depth < _BROADCAST_LEVELS:
+                cuts = F.broadcast(cuts)
+            cut = leaves.join(cuts, F.col("cell") == F.col("_cell"))
+            digit = sum([(F.col(axis) > F.get("_cuts", F.lit(i))).cast("long") for i in range(3)], F.lit(0).cast("long"))
+            leaves = staged(cut.withColumn("cell", F.col("cell") * 4 + digit).drop("_cell", "_cuts"))
+        depth += 1
+    return leaves, depth
 
 
 def _bounds() -> list[Column]:
