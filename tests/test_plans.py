@@ -5,13 +5,14 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from vejrkraft.operators.align import outer_align
+from vejrkraft.operators.align import outer_align, outer_align_series
 from vejrkraft.operators.nearest import nearest_point
 from vejrkraft.operators.ordering import ffill, row_index
 from vejrkraft.operators.profiles import wind_profile
 from vejrkraft.operators.stats import corr_matrix
 from vejrkraft.plans.panel import consumption_hourly
 from vejrkraft.registry import checks
+from vejrkraft.sinks.series import write_series
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -63,6 +64,23 @@ def test_alignment_shuffles_each_input_once(spark):
     assert text.count("SortMergeJoin") == 4
 
 
+def test_bucketed_series_are_not_shuffled(spark, folder):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    names = [f"plan_series_{i}" for i in range(3)]
+    try:
+        for i, name in enumerate(names):
+            write_series(spark.range(1000).select("id", F.lit(i).alias(f"v{i}")), name, ["id"], f"{folder}/{name}", buckets=4, overwrite=True)
+        text = plan(outer_align_series(spark, names, ["id"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in names:
+            spark.sql(f"drop table if exists {name}")
+    # The one shuffle deals the staged keys to the buckets; a bucketed scan stands under no other.
+    assert text.count("Exchange hashpartitioning") == 1 and text.count("SortMergeJoin") == 3
+    under = text[text.index("Exchange hashpartitioning") :].splitlines()[1]
+    assert "v0" not in under and text.count("Bucketed: true") == 3
+
+
 def test_nearest_searches_distinct_coordinates_without_a_join_to_the_points(spark):
     points = spark.createDataFrame([(1, 0.0, 0.0, 0)], "code int, latitude double, longitude double, ord int")
     df = spark.range(100).select((F.col("id") % 5).cast("double").alias("latitude"), F.lit(1.0).alias("longitude"))

@@ -82,11 +82,10 @@ def csv_rejects(spark: SparkSession, folder: str) -> DataFrame:
         .when(F.col("event_id") % 13 == 0, F.concat(fields, F.lit(";extra")))
         .otherwise(fields)
     )
-    header = spark.range(1).select(F.lit("event_id;user_id;event_type").alias("value"))
     # Each file needs the header as its first line.
     lines = e.repartition(4, "user_id").select(F.spark_partition_id().alias("part"), F.lit(1).alias("at"), line.alias("value"))
-    parts = lines.select("part").distinct()
-    headed = parts.join(F.broadcast(header)).select("part", F.lit(0).alias("at"), "value").unionByName(lines)
+    header = lines.select("part").distinct().select("part", F.lit(0).alias("at"), F.lit("event_id;user_id;event_type").alias("value"))
+    headed = header.unionByName(lines)
     headed = headed.repartition(4, "part").sortWithinPartitions("part", "at")
     headed.select("part", "value").write.partitionBy("part").text(out)
     back = files.read_csv(spark, f"{out}/*", {"event_id": "bigint", "user_id": "bigint"}, sep=";", record="line")
@@ -378,11 +377,12 @@ def json_document(spark: SparkSession, folder: str) -> DataFrame:
     parts = sinks.write_json_document(e, out, ["event_id"])
     after = Window.orderBy("part").rowsBetween(-1, -1)
     end = F.coalesce(F.sum(F.col("offset") + F.col("bytes")).over(after), F.lit(0))
-    checked = parts.withColumn("follows", F.col("offset") == end).agg(F.bool_and("follows").alias("contiguous"))
+    contiguous = parts.withColumn("follows", F.col("offset") == end).agg(F.bool_and("follows")).first()[0]
     element = F.from_json(F.regexp_extract("value", r"^\[?(.*?)(, |\])$", 1), "event_id long, user_id long, event_type string")
     lines = spark.read.text(out).select(element.alias("e"), F.left("value", F.lit(1)).alias("opens"), F.right("value", F.lit(1)).alias("closes"))
-    rows = lines.select("e.*", (F.col("opens") == "[").alias("first"), (F.col("closes") == "]").alias("last"))
-    return rows.join(F.broadcast(checked))  # one row
+    return lines.select(
+        "e.*", (F.col("opens") == "[").alias("first"), (F.col("closes") == "]").alias("last"), F.lit(contiguous).alias("contiguous")
+    )
 
 
 JSON_DOCUMENT_SQL = """select event_id, user_id, event_type, event_id = (select min(event_id) from events) as first,
