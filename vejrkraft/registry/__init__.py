@@ -10,9 +10,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def checks() -> dict[str, tuple[Query, str | None]]:
-    from vejrkraft.registry import column_checks, io_checks, panel_checks, station_checks
+    from vejrkraft.registry import column_checks, io_checks, panel_checks, station_checks, study_checks
 
     out: dict[str, tuple[Query, str | None]] = {}
-    for module in (panel_checks, station_checks, column_checks, io_checks):
+    for module in (panel_checks, station_checks, column_checks, io_checks, study_checks):
         out.update(module.CHECKS)
     return out

@@ -62,7 +62,7 @@ def csv_source(spark: SparkSession, folder: str) -> DataFrame:
         "value",
         "event_id",
     )
-    rows.write.option("header", True).option("sep", ";").csv(out)
+    sinks.write_csv(rows, out, sep=";")
     back = files.read_csv(spark, out, {**WIND_TYPES, "event_id": "bigint"}, sep=";")
     return back.select("event_id", "station_id", "date", "to_time", "parameter", "value")
 
@@ -191,7 +191,7 @@ LANDED_SQL = f"""with r as (
 def landed_accounting(spark: SparkSession, folder: str) -> DataFrame:
     """Page accounting straight from landed pages."""
     landed = pages.read_observation_pages(spark, _land_pages(spark, folder))
-    good, _ = pages.observations(landed)
+    good, _ = pages.observations(pages.last_landings(landed))
     return page_accounting(good).drop("parameter")
 
 
@@ -205,21 +205,21 @@ LANDED_ACCOUNTING_SQL = """with g as (
     from g left join f using (page) group by g.page"""
 
 
-# A table is cut into this many pages per parameter; one of them is landed twice, one offset is left out, and the last pages lie
-# beyond the offsets that the service's own clients ask for.
-_PAGES = 20
+# Pages hold the rows of this many ids, so their number grows with the table; one of them is landed twice, one offset is left out, and
+# later pages lie beyond the offsets that the service's own clients ask for.
+_PAGE_IDS = 250
+_GAP_AT, _FAR_AT = 2, 3
 _STEP = 100_000
-_FAR = 2_000_000
-_PAGE_NO = f"cast(least({{id}} * {_PAGES} div (1 + max_id), {_PAGES - 1}) as bigint)"
+_FAR = 200_000_000
 
 
 def _offset(page: Column, step: int) -> Column:
-    far = F.when(page >= 3 * _PAGES // 4, _FAR).otherwise(0)
-    return (page + (page >= 5).cast("long")) * step + far
+    far = F.when(page >= _FAR_AT, _FAR).otherwise(0)
+    return (page + (page >= _GAP_AT).cast("long")) * step + far
 
 
 def _offset_sql(page: str, step: int) -> str:
-    return f"({page} + ({page} >= 5)::bigint) * {step} + case when {page} >= {3 * _PAGES // 4} then {_FAR} else 0 end"
+    return f"({page} + ({page} >= {_GAP_AT})::bigint) * {step} + case when {page} >= {_FAR_AT} then {_FAR} else 0 end"
 
 
 def _land_twice(
@@ -227,11 +227,9 @@ def _land_twice(
 ) -> str:
     """``rows`` as pages of a service, a JSON document each, in order of ``id_col``."""
     out = _folder(spark, "pages")
-    last = rows.agg(F.max(id_col).alias("max_id"))
-    page = F.expr(_PAGE_NO.format(id=id_col))
+    page = F.floor(F.col(id_col) / _PAGE_IDS)
     documents = (
-        rows.crossJoin(F.broadcast(last))  # one number
-        .groupBy(*by, page.alias("page"))
+        rows.groupBy(*by, page.alias("page"))
         .agg(F.transform(F.array_sort(F.collect_list(F.struct(id_col, feature.alias("item")))), lambda x: x["item"]).alias(items))
     )
     placed = documents.withColumn("offset", _offset(F.col("page"), step))
@@ -308,7 +306,7 @@ def page_ledger(spark: SparkSession, folder: str) -> DataFrame:
 
 PAGE_LEDGER_SQL = f"""with p as (
       select {case_sql("event_type", WIND)} as parameter,
-        least(event_id * {_PAGES} // (1 + (select max(event_id) from events)), {_PAGES - 1}) as page from events),
+        event_id // {_PAGE_IDS} as page from events),
     n as (select parameter, page, {_offset_sql("page", 100)} as "offset", count(*) as rows from p group by all)
     select parameter, "offset"::bigint as "offset", case page when 1 then 2 else 1 end::bigint as landings, rows,
       rows >= 100 as "full",
@@ -393,7 +391,11 @@ def yearly_output(spark: SparkSession, folder: str) -> DataFrame:
     """Orders written by year and read back."""
     out = _folder(spark, "years")
     o = table(spark, folder, "orders")
-    sinks.write_by_year(o, out, "o_orderdate", ["o_custkey", "o_orderdate"])
+    early = F.year("o_orderdate") < 1996
+    sinks.write_by_year(o.where(early), out, "o_orderdate", ["o_custkey", "o_orderdate"])
+    # The other years come with years that are there already, which are replaced.
+    late = o.where(~early | (F.year("o_orderdate") == 1995))
+    sinks.write_by_year(late, out, "o_orderdate", ["o_custkey", "o_orderdate"], overwrite=True)
     back = files.read_parquet(spark, out)
     return back.groupBy("year").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total")
@@ -410,11 +412,18 @@ def monthly_output(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The events file as a stream. Streams need an instant, so the wall-clock time is taken as UTC."""
-    schema = table(spark, folder, "events").schema
-    # A pattern, because a stream takes a folder or a pattern, not a single file.
-    stream = ingest.stream_files(spark, f"{folder.rstrip('/')}/events[.]parquet", schema, "parquet")
-    return stream.withColumn("datetime", F.col("ts").cast("timestamp"))
+    """The events as a stream of files in order of time, one file a batch. Streams need an instant, so the wall-clock
+    time is taken as UTC."""
+    out = _folder(spark, "stream")
+    e = table(spark, folder, "events").withColumn("datetime", F.col("ts").cast("timestamp"))
+    first, last = e.agg(F.min("datetime"), F.max("datetime")).first()
+    step = (last - first) / 4
+    # Files are taken in the order they were written.
+    for i in range(4):
+        low, high = first + step * i, first + step * (i + 1)
+        part = e.where((F.col("datetime") >= low) & (F.col("datetime") < high)) if i < 3 else e.where(F.col("datetime") >= low)
+        part.coalesce(1).write.mode("append").parquet(out)
+    return ingest.stream_files(spark, out, e.schema, "parquet", maxFilesPerTrigger="1")
 
 
 def stream_landing(spark: SparkSession, folder: str) -> DataFrame:

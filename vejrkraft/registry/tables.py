@@ -108,11 +108,14 @@ DETAILS_SQL = """details as (
 
 
 def reference_points(spark: SparkSession, folder: str) -> DataFrame:
-    """One point per embedding label: the mean of the first two numbers."""
-    e = table(spark, folder, "embeddings")
-    mean = lambda i: F.round(F.avg(F.get("embedding", F.lit(i)).cast("double")), 6)
-    return e.groupBy("label").agg(mean(0).alias("latitude"), mean(1).alias("longitude")).select(
-        (F.col("label") + 396).alias("code"), "latitude", "longitude", F.col("label").alias("ord")
+    """One point per supplier, on a lattice; codes lie on both sides of the area rule's limit."""
+    s = table(spark, folder, "supplier")
+    k = F.col("s_suppkey")
+    return s.select(
+        F.when(k % 2 == 0, 401 + k).otherwise(400 - k).cast("int").alias("code"),
+        ((k * 37 % 200 - 100) / 300).alias("latitude"),
+        ((k * 53 % 199 - 99) / 300).alias("longitude"),
+        k.alias("ord"),
     )
 
 
@@ -129,10 +132,9 @@ def located_stations(spark: SparkSession, folder: str) -> DataFrame:
 
 
 STATIONS_SQL = """points as (
-      select label + 396 as code, label as ord,
-             round(avg(cast(embedding[1] as double)), 6) as latitude,
-             round(avg(cast(embedding[2] as double)), 6) as longitude
-      from embeddings group by label),
+      select cast(case when s_suppkey % 2 = 0 then 401 + s_suppkey else 400 - s_suppkey end as integer) as code, s_suppkey as ord,
+             (s_suppkey * 37 % 200 - 100) / 300 as latitude, (s_suppkey * 53 % 199 - 99) / 300 as longitude
+      from supplier),
     stations as (
       select vec_id, cast(embedding[1] as double) as latitude,
              cast(embedding[2] as double) as longitude

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from uuid import uuid4
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 # Time columns are UTC everywhere; text without an offset is read as UTC.
@@ -66,6 +70,25 @@ def staged(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def staged_together(frames: Sequence[DataFrame]) -> list[DataFrame]:
+    """``staged`` copies of several tables, written side by side: one table's last tasks leave no core idle."""
+    if len(frames) < 2:
+        return [staged(f) for f in frames]
+    checkpoint_dir(frames[0].sparkSession)
+    with ThreadPoolExecutor(len(frames)) as pool:
+        return list(pool.map(inheritable_thread_target(frames[0].sparkSession)(staged), frames))
+
+
+def is_scan(df: DataFrame) -> bool:
+    """Whether ``df`` is rows of files or a range, filtered and projected at most: as cheap to read again as to copy."""
+    try:
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+    except AttributeError:  # a session without a JVM of its own
+        return False
+    steps = (re.sub(r"^[\s:+|-]*", "", line) for line in plan.strip().splitlines())
+    return all(re.match(r"(Relation|Project|Filter|Range|LocalRelation)\b", s) for s in steps)
+
+
 def least_parallelism(spark: SparkSession) -> int | None:
     """The cores of the cluster if the shuffle partitions are set below them, else None."""
     cores = spark.sparkContext.defaultParallelism

@@ -13,11 +13,12 @@ from vejrkraft.operators.ordering import nulls_last
 from vejrkraft.sinks.commit import write_parts
 
 
-def write_csv(df: DataFrame, folder: str, overwrite: bool = False) -> bool:
+def write_csv(df: DataFrame, folder: str, overwrite: bool = False, sep: str = ",") -> bool:
     """CSV with header. Nothing is written for an empty table; returns whether something was."""
     if df.isEmpty():
         return False
-    df.write.mode("overwrite" if overwrite else "errorifexists").option("header", True).csv(folder)
+    writer = df.write.mode("overwrite" if overwrite else "errorifexists")
+    writer.option("header", True).option("sep", sep).csv(folder)
     return True
 
 
