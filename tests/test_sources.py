@@ -40,13 +40,26 @@ def test_zip_reads_the_first_entry_only(spark, folder):
         z.writestr("2024.csv", "TimeUTC,MunicipalityCode,ConsumptionkWh\n2024-01-01T00:00:00,101,2.5\n,,\n")
         z.writestr("other.csv", "TimeUTC\nnever\n")
     df = files.read_zipped_csv(spark, f"{folder}/c.zip", schemas.CONSUMPTION_COLUMNS, schemas.CONSUMPTION_TYPES)
-    got = [tuple(r) for r in df.drop("archive").orderBy("ord").collect()]
+    got = [tuple(r) for r in df.drop("archive", "entry").orderBy("ord").collect()]
     assert got == [
         ("2024-01-01T00:00:00", None, 101, None, None, 2.5, 0),
         (None, None, None, None, None, None, 1),
     ]
 
 
+def test_every_entry_of_a_folder_of_archives(spark, folder, monkeypatch):
+    for name in "ab":
+        with zipfile.ZipFile(f"{folder}/{name}.zip", "w", zipfile.ZIP_DEFLATED) as z:
+            z.writestr("data/", "")
+            for i in range(2):
+                lines = "".join(f"{name}{i};{k}\n" for k in range(3))
+                z.writestr(f"data/{i}.csv", f"id;{'n' if i else 'm'}\n{lines}")
+    df = files.read_zipped_csv(spark, folder, ["n", "id"], {"n": "int"}, sep=";", entries="all")
+    assert df.rdd.getNumPartitions() == 4
+    got = rows(df.select("id", "n", F.regexp_extract("archive", r"(\w)\.zip", 1), "entry", "ord"))
+    assert got == [(f"{a}{i}", k if i else None, a, f"data/{i}.csv", k) for a in "ab" for i in range(2) for k in range(3)]
+
+
 def test_ndjson(spark, folder):
     path = write(f"{folder}/d.txt", '{"id": 1, "name": "a"}\n\n{"id": 2}\n')
     assert rows(files.read_ndjson(spark, path, "id long, name string")) == [(1, "a"), (2, None)]

@@ -162,7 +162,7 @@ def test_decode_and_route(spark):
 
 def test_polling_source(spark, folder):
     requests.register(spark)
-    stream = spark.readStream.format("polled_document").option("fetch", "local_service:document").load()
+    stream = spark.readStream.format("polled_document").option("fetch", "local_service:document,local_service:failing").load()
     query = ingest.land(stream, f"{folder}/out", f"{folder}/state", every="0 seconds")
     try:
         for _ in range(200):
@@ -171,5 +171,10 @@ def test_polling_source(spark, folder):
             query.awaitTermination(0.2)
     finally:
         query.stop()
-    got = spark.read.parquet(f"{folder}/out").select("document").distinct().collect()
-    assert [json.loads(r[0])["id"] for r in got] == [208]
+    got = spark.read.parquet(f"{folder}/out")
+    told = {(r["source"], r["document"], r["error"]) for r in got.select("source", "document", "error").distinct().collect()}
+    assert {s: (d, e) for s, d, e in told} == {
+        "local_service:document": ('{"id": 208, "name": "x"}', None),
+        "local_service:failing": (None, "OSError: no answer"),
+    }
+    assert got.groupBy("poll").count().where("count <> 2").count() == 0

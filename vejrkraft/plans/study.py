@@ -35,7 +35,7 @@ def load_series(
     else:
         usage = read_zipped_csv(spark, consumption_zip, schemas.CONSUMPTION_COLUMNS, schemas.CONSUMPTION_TYPES)
         # Several archives: the rows of each one follow those of the one before.
-        usage = usage.withColumn("ord", F.struct("archive", "ord"))
+        usage = usage.withColumn("ord", F.struct("archive", "entry", "ord"))
     return [
         panel.clean_prices([read_csv(spark, p, schemas.PRICE_TYPES) for p in prices], stamp),
         panel.consumption_hourly(panel.clean_consumption(usage)),

@@ -6,8 +6,12 @@ reads it back through the source.
 
 from __future__ import annotations
 
+import zipfile
+from collections.abc import Iterator
 from uuid import uuid4
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -104,6 +108,29 @@ CSV_REJECTS_SQL = """with r as (select *, event_id % 11 = 0 as short, event_id %
     from r"""
 
 
+def _packed(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
+    """Each task's rows as one zip archive, an entry per batch."""
+    name = f"{uuid4().hex}.zip"
+    store, place = fs.FileSystem.from_uri(folder)
+    store.create_dir(place)
+    n = 0
+    with store.open_output_stream(f"{place}/{name}") as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for batch in batches:
+            z.writestr(f"{n}.csv", batch.to_pandas().to_csv(index=False))
+            n += 1
+    yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n], pa.int64())], names=["archive", "entries"])
+
+
+def zipped_source(spark: SparkSession, folder: str) -> DataFrame:
+    """Events packed into zip archives, with several entries each, and read back entry by entry."""
+    out = _folder(spark, "zips")
+    e = table(spark, folder, "events").select("event_id", "user_id", "event_type").repartition(6, "user_id")
+    packed = e.mapInArrow(lambda batches: _packed(batches, out), "archive string, entries long")
+    entries = packed.agg(F.sum("entries")).first()[0]
+    back = files.read_zipped_csv(spark, out, ["event_id", "user_id", "event_type"], {"event_id": "bigint", "user_id": "bigint"}, entries="all")
+    return back.select("event_id", "user_id", "event_type", (F.lit(entries) >= 1).alias("packed"))
+
+
 def message_delivery(spark: SparkSession, folder: str) -> DataFrame:
     """A stream of several files sent to a receiver that takes messages of 52 bytes at most: what it has, and what it refused."""
     _, stream = _event_files(spark, folder)
@@ -610,6 +637,7 @@ CHECKS = {
     "record_pages": (record_pages, RECORD_PAGES_SQL),
     "csv_source": (csv_source, CSV_SQL),
     "csv_rejects": (csv_rejects, CSV_REJECTS_SQL),
+    "zipped_source": (zipped_source, "select event_id, user_id, event_type, true as packed from events"),
     "message_delivery": (message_delivery, MESSAGE_DELIVERY_SQL),
     "ndjson_source": (ndjson_source, "select * from conversations"),
     "ndjson_variant": (ndjson_variant, "select event_id, event_type, value from events"),

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-import io
 import zipfile
 from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from vejrkraft.functions.numbers import to_number
 from vejrkraft.operators.cleaning import union_all
@@ -68,32 +70,73 @@ def split_records(df: DataFrame, record: str) -> tuple[DataFrame, DataFrame]:
     return df.where(good).drop(record), df.where(bad).select(record)
 
 
+class _Entry(InputPartition):
+    def __init__(self, archive: str, entry: str):
+        super().__init__((archive, entry))
+
+
+class _ZippedReader(DataSourceReader):
+    def __init__(self, options: Mapping[str, str], schema: StructType):
+        self.path, self.sep = options["path"], options.get("sep", ",")
+        self.first = options.get("entries", "first") == "first"
+        self.columns = [f.name for f in schema if f.name not in ("archive", "entry", "ord")]
+        self.names = schema.names
+
+    def partitions(self) -> list[_Entry]:
+        """Only the directories of the archives are read here."""
+        store, place = fs.FileSystem.from_uri(self.path)
+        found = store.get_file_info(place)
+        if found.type == fs.FileType.Directory:
+            files = sorted(f.path for f in store.get_file_info(fs.FileSelector(place)) if f.is_file and not f.base_name.startswith(("_", ".")))
+        else:
+            files = [found.path]
+        out = []
+        for file in files:
+            with store.open_input_file(file) as data, zipfile.ZipFile(data) as z:
+                names = [n for n in z.namelist() if not n.endswith("/")]
+            out += [_Entry(file, n) for n in (names[:1] if self.first else names)]
+        return out
+
+    def read(self, partition: _Entry) -> Iterator[pa.RecordBatch]:
+        archive, name = partition.value
+        store, _ = fs.FileSystem.from_uri(self.path)
+        with store.open_input_file(archive) as data, zipfile.ZipFile(data) as z, z.open(name) as entry:
+            for chunk in pd.read_csv(entry, sep=self.sep, dtype=str, chunksize=_CHUNK_ROWS):
+                rows = {c: pa.array(chunk[c] if c in chunk else [None] * len(chunk), pa.string(), from_pandas=True) for c in self.columns}
+                rows["archive"] = pa.array([archive] * len(chunk), pa.string())
+                rows["entry"] = pa.array([name] * len(chunk), pa.string())
+                rows["ord"] = pa.array(chunk.index, pa.int64())
+                yield pa.RecordBatch.from_arrays([rows[n] for n in self.names], names=self.names)
+
+
+class ZippedCsv(DataSource):
+    """CSV entries of zip archives, one task per entry; an entry is unpacked as it is read, so it may be of any size."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "zipped_csv"
+
+    def reader(self, schema: StructType) -> DataSourceReader:
+        return _ZippedReader(self.options, schema)
+
+
 def read_zipped_csv(
     spark: SparkSession,
     path: str,
     columns: Sequence[str],
     types: Mapping[str, str] | None = None,
     sep: str = ",",
+    entries: str = "first",
 ) -> DataFrame:
-    """The first entry of each zip archive under ``path``, with ``archive`` and ``ord``.
+    """The first entry (or, with ``entries="all"``, every one) of a zip archive or of each archive in a folder, by column
+    name, with ``archive``, ``entry`` and ``ord``, the row's place in its entry.
 
-    One task per archive; the entry is unpacked and passed on in chunks. An archive must fit the
-    2 GB a binary value may have.
+    Each entry is read by a task of its own in chunks of 50,000 rows: packed data has no places to start from inside an entry.
     """
-    columns = list(columns)
-
-    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for name, content in zip(batch["path"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as z, z.open(z.namelist()[0]) as entry:
-                    for chunk in pd.read_csv(entry, sep=sep, dtype=str, chunksize=_CHUNK_ROWS):
-                        out = chunk.reindex(columns=columns)
-                        out = out.astype(object).where(out.notna(), None)
-                        yield out.assign(archive=name, ord=chunk.index)
-
-    schema = ", ".join(f"`{c}` string" for c in columns) + ", archive string, ord long"
-    archives = spark.read.format("binaryFile").load(path).select("path", "content")
-    return with_types(archives.mapInPandas(unpack, schema), types or {})
+    spark.dataSource.register(ZippedCsv)
+    schema = StructType([StructField(c, StringType()) for c in [*columns, "archive", "entry"]] + [StructField("ord", LongType())])
+    packed = spark.read.format("zipped_csv").schema(schema).options(sep=sep, entries=entries).load(path)
+    return with_types(packed, types or {})
 
 
 def read_ndjson(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import importlib
 import json
+import time
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceReader,
+    DataSourceStreamReader,
     InputPartition,
-    SimpleDataSourceStreamReader,
 )
 
 from vejrkraft import fixed_values as fv
@@ -85,38 +86,48 @@ def answered(requested: DataFrame) -> DataFrame:
     return requested.select("parameter", "offset", document.alias("document"))
 
 
-class _Poller(SimpleDataSourceStreamReader):
+class Poll(InputPartition):
+    def __init__(self, number: int, fetch: str):
+        super().__init__((number, fetch))
+
+
+class _Poller(DataSourceStreamReader):
+    """The offset is the time of a poll in milliseconds. The driver only reads the clock; every document is fetched by a
+    task of its own."""
+
     def __init__(self, options):
-        self.fetch = options["fetch"]
+        self.fetches = [f.strip() for f in options["fetch"].split(",")]
+        self.last = 0
 
     def initialOffset(self) -> dict:
         return {"poll": 0}
 
-    def read(self, start: dict):
-        number = start["poll"]
-        rows = list(self._poll(number))
-        return iter(rows), {"poll": number + 1}
+    def latestOffset(self) -> dict:
+        self.last = max(self.last + 1, time.time_ns() // 1_000_000)
+        return {"poll": self.last}
 
-    def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
-        # Replay after a failure: a document cannot be asked for again, so the poll is repeated.
-        return iter([row for n in range(start["poll"], end["poll"]) for row in self._poll(n)])
+    def partitions(self, start: dict, end: dict) -> list[Poll]:
+        # However long the source was not asked, there is one document to fetch now.
+        return [Poll(end["poll"], f) for f in self.fetches] if end["poll"] > start["poll"] else []
 
-    def commit(self, end: dict) -> None:
-        pass
-
-    def _poll(self, number: int) -> Iterator[tuple]:
-        fetch = _function(self.fetch)
+    def read(self, partition: Poll) -> Iterator[tuple]:
+        # After a failure a document cannot be asked for again, so the poll is repeated.
+        number, name = partition.value
         try:
-            document = fetch()
+            document = _function(name)()
         except Exception as e:  # noqa: BLE001  told as a row
-            yield number, None, f"{type(e).__name__}: {e}"
+            yield number, name, None, f"{type(e).__name__}: {e}"
             return
         if document is not None:
-            yield number, document if isinstance(document, str) else json.dumps(document), None
+            yield number, name, document if isinstance(document, str) else json.dumps(document), None
+
+    def commit(self, end: dict) -> None:
+        pass
 
 
 class PolledDocument(DataSource):
-    """A stream of ``poll, document, error``: one ``fetch()`` per micro-batch; a failed one has its error.
+    """A stream of ``poll, source, document, error``: one call of each function named in ``fetch`` (comma separated) per
+    micro-batch, each in a task of its own; a failed one has its error.
 
     The poll interval is the trigger of the query.
     """
@@ -126,9 +137,9 @@ class PolledDocument(DataSource):
         return "polled_document"
 
     def schema(self) -> str:
-        return "poll long, document string, error string"
+        return "poll long, source string, document string, error string"
 
-    def simpleStreamReader(self, schema) -> SimpleDataSourceStreamReader:
+    def streamReader(self, schema) -> DataSourceStreamReader:
         return _Poller(self.options)
 
 
