@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from fixture_texts import edited, text, words
 
@@ -112,13 +113,32 @@ def _families(seed, n=25):
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_classes_equal_all_pairs(spark, seed):
-    common = 2 if seed == 2 else jaccard_tree.COMMON_IN_TASK  # at 2, shingles that stand twice come late
+    cells = 1 if seed == 2 else 64 if seed == 3 else jaccard_tree.CELLS  # one cell: the order is that of hashes
     docs = list(enumerate(_families(seed), 10))
     docs += [(1, None), (2, ""), (3, " \n"), (4, "A b"), (5, "a  B\n"), (None, docs[0][1]), docs[3], docs[3], (6, docs[5][1].upper())]
-    got = jaccard_tree.jaccard_classes(_df(spark, docs), common_in_task=common).select("doc_id", "n_shingles", "component_id")
+    got = jaccard_tree.jaccard_classes(_df(spark, docs), cells=cells).select("doc_id", "n_shingles", "component_id")
     assert sorted((tuple(r) for r in got.collect()), key=repr) == _classes(docs)
 
 
+@pytest.mark.parametrize("size", [1, 3, 1000])
+def test_meetings_keep_every_first_common_shingle(size):
+    """Batches of any size; a row stays if and only if a plain search of its block finds a partner for it."""
+    rng = random.Random(size)
+    rows = sorted({(k, rng.choice([10, 11, 13, 20, 40, 50]), i) for k in range(40) for i in rng.sample(range(60), rng.randrange(1, 12))})
+    rows = [(k, n, i, rng.randrange(0, n // 5 + 2)) for k, n, i in rows]
+    table = pa.table({c: pa.array([r[j] for r in rows], pa.int64()) for c, j in (("key", 0), ("n", 1), ("set_id", 2), ("pos", 3))})
+    got = [tuple(r.values()) for b in jaccard_tree._meetings(80)(iter(table.to_batches(max_chunksize=size))) for r in b.to_pylist()]
+    want = []
+    for i, (k, n, s, p) in enumerate(rows):
+        early = lambda r: r[1] - r[3] >= -(-160 * r[1] // 180)
+        before = [r for r in rows[:i] if r[0] == k and early(r) and 100 * r[1] >= 80 * n]
+        after = [r for r in rows[i + 1 :] if r[0] == k and early(rows[i]) and 100 * n >= 80 * r[1]]
+        if before or after:
+            want.append((k, s, n, p, [r[2] for r in before]))
+    assert [g[:4] for g in got] == [w[:4] for w in want]
+    assert all((g[4] in w[4]) if w[4] else g[4] is None for g, w in zip(got, want))
+
+
 def test_one_document_of_each_class_stays(spark):
     docs = list(enumerate(_families(4), 10)) + [(1, None), (2, ""), (2, ""), (None, "a b c")]
     docs += [docs[0], docs[0], (None, "A b c"), (7, docs[1][1])]
@@ -146,13 +166,13 @@ def test_tree_finds_what_all_pairs_find(spark):
         own = own[: int(rng.integers(size * 3 // 4, size + 1))]
         sets[i] = set(own.tolist())
         label = i // 2 if i % 8 < 2 else i
-        rows.append((i % 2, i, len(own), label, i % 8 < 2, bytearray(jaccard_tree.bitmap(own))))
-    df = spark.createDataFrame(rows, "key long, set_id long, n int, label long, linked boolean, bitmap binary")
+        rows.append((i % 2, i, len(own), 0, label, i % 8 < 2, bytearray(jaccard_tree.bitmap(own))))
+    df = spark.createDataFrame(rows, "key long, set_id long, n int, pos int, label long, linked boolean, bitmap binary")
     got = {(r["a"], r["b"]) for r in jaccard_tree.tree_candidates(df, 80, Steps(spark)).collect()}
     for i in range(400):
         for j in range(i):
             o = len(sets[i] & sets[j])
-            if i % 2 == j % 2 and rows[i][3] != rows[j][3] and 100 * o >= 80 * (len(sets[i] | sets[j])):
+            if i % 2 == j % 2 and rows[i][4] != rows[j][4] and 100 * o >= 80 * (len(sets[i] | sets[j])):
                 assert (j, i) in got
     assert len(got) < 3000
 

@@ -1,9 +1,10 @@
 """N-gram Jaccard join with signature trees.
 
 A document is the set of its distinct word shingles; equal sets are one class from the start. Two sets that
-reach the similarity share a shingle among the first few of each, in any order common to all sets (rare
-shingles first, so that passages which many documents share do not bring them together). A shingle's sets are a
-block; the sets that meet in blocks are compared in two rounds:
+reach the similarity share a shingle among the first few of each, in any order common to all sets. The order puts
+rare shingles first, by a sketch of fixed size that counts all shingles: what is a document's own comes before what its family or
+other documents share. In that order the first shingle that two sets share leaves the rest of both as room for their overlap, so it must
+stand early in both, and in the smaller one earlier still. A shingle's sets are a block; the sets that meet in blocks are compared in two rounds:
 
 1. every set with the partner it meets most often. Linked sets form components;
 2. every block that still holds several components, by a signature tree: its nodes hold the OR of their sets' token
@@ -16,6 +17,7 @@ All candidates are verified on the whole sets. Links inside a component that no
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +31,10 @@ from vejrkraft.llm.words import SHINGLE, chunks, list_column, runs_of, shingle_s
 
 PERCENT = 80
 LEAF = 64
-COMMON_LIMIT = 1 << 16
-COMMON_IN_TASK = 8
+# Counters of the sketch that orders shingles, and how many travel in a row.
+CELLS = 1 << 20
+CELLS_IN_ROW = 1 << 16
+CELL_GROUPS = 4
 
 
 def _set_id(own: np.ndarray) -> int:
@@ -54,47 +58,76 @@ def folded(bits: np.ndarray, size: int) -> np.ndarray:
     return bits
 
 
-def _survey(k: int, common: int):
-    """Per document its set's id, size and bitmap; and shingles that stand in several sets of the task."""
+def _cell(shingles: np.ndarray, cells: int) -> np.ndarray:
+    return ((shingles >> np.uint64(20)) % np.uint64(cells)).astype(np.int64)
+
+
+def _survey(k: int, cells: int):
+    """Per document its set's id, size and bitmap; and the task's sketch: how many of its distinct sets' shingles fall into each cell."""
 
     def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        low = []
+        counts, done = np.zeros(cells, dtype=np.int64), set()
         for part in chunks(batches, "text"):
             sets = list(shingle_sets(words_of(part.column("text")), k))
+            ids = [_set_id(s) for s in sets]
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": part.column("doc_id"),
                     "text_hash": part.column("text_hash"),
-                    "set_id": pa.array([_set_id(s) for s in sets], pa.int64()),
+                    "set_id": pa.array(ids, pa.int64()),
                     "n": pa.array([len(s) for s in sets], pa.int64()),
                     "bitmap": pa.array([bitmap(s) for s in sets], pa.binary()),
-                    "common": pa.nulls(len(sets), pa.int64()),
+                    "cells": pa.nulls(len(sets), pa.int32()),
                 }
             )
-            # Any shingle may come first in a set's order, but only small hashes do in most sets.
-            low.append(np.concatenate([s[: len(s) // 4 + 1] for s in sets]) if sets else np.zeros(0, np.uint64))
-        seen, times = np.unique(np.concatenate(low) if low else np.zeros(0, np.uint64), return_counts=True)
-        seen, times = seen[times >= common], times[times >= common]
-        nothing = pa.nulls(len(seen), pa.int64())
-        yield pa.RecordBatch.from_pydict(
-            {
-                "doc_id": nothing,
-                "text_hash": nothing,
-                "set_id": nothing,
-                "n": pa.array(times, pa.int64()),
-                "bitmap": pa.nulls(len(seen), pa.binary()),
-                "common": pa.array(seen.astype(np.int64), pa.int64()),
-            }
-        )
+            new = [s for s, i in zip(sets, ids) if i not in done]
+            done.update(ids)
+            if new:
+                counts += np.bincount(_cell(np.concatenate(new), cells), minlength=cells)
+        # Only the order of shingles depends on the counters: one that is full stays full.
+        full = np.minimum(counts, np.iinfo(np.uint16).max).astype("<u2")
+        for at in range(0, cells, CELLS_IN_ROW):
+            own = full[at : at + CELLS_IN_ROW]
+            if own.any():
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        **{c: pa.nulls(1, pa.int64()) for c in ("doc_id", "text_hash", "set_id", "n")},
+                        "bitmap": pa.array([own.tobytes()], pa.binary()),
+                        "cells": pa.array([at], pa.int32()),
+                    }
+                )
 
     return survey
 
 
-def _prefixes(k: int, percent: int, common):
-    """The first shingles of each set, of one text per set in a task."""
+def _add_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sum of each stretch of cells over the tasks' rows, 32 bits a cell. Streams: one sum per stretch is held."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for at, own in zip(batch.column("cells").to_pylist(), batch.column("bitmap").to_pylist()):
+            counts = np.frombuffer(own, "<u2")
+            sums[at] = sums.get(at, np.zeros(len(counts), np.int64)) + counts
+    full = [np.minimum(x, np.iinfo(np.uint32).max).astype("<u4").tobytes() for x in sums.values()]
+    yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(full, pa.binary())], names=["cells", "bitmap"])
+
+
+def _order(surveyed: DataFrame, cells: int) -> np.ndarray:
+    """The sketch: 4 bytes a cell, whatever the corpus. The driver adds up CELL_GROUPS rows a stretch."""
+    stretches = surveyed.where("cells is not null").select("cells", "bitmap")
+    some = stretches.withColumn("some", F.pmod(F.spark_partition_id(), F.lit(CELL_GROUPS)))
+    added = some.repartition("cells", "some").select("cells", "bitmap").mapInArrow(_add_cells, "cells int, bitmap binary")
+    counts = np.zeros(cells, dtype=np.int64)
+    for row in added.collect():
+        own = np.frombuffer(row["bitmap"], "<u4")
+        counts[row["cells"] : row["cells"] + len(own)] += own
+    return np.minimum(counts, np.iinfo(np.uint32).max).astype(np.uint32)
+
+
+def _prefixes(k: int, percent: int, order):
+    """The first shingles of each set, with their places, of one text per set in a task."""
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        late, done = common.value, set()
+        counts, done = order.value, set()
         for part in chunks(batches, "text"):
             keys, ids, sizes = [], [], []
             for own in shingle_sets(words_of(part.column("text")), k):
@@ -103,12 +136,8 @@ def _prefixes(k: int, percent: int, common):
                     continue
                 done.add(set_id)
                 first = n - -(-n * percent // 100) + 1
-                if len(late):
-                    place = np.minimum(np.searchsorted(late, own), len(late) - 1)
-                    hot = late[place] == own
-                    if hot.any():
-                        own = np.concatenate([own[~hot], own[hot]])
-                keys.append(own[:first])
+                rare = np.argsort(counts[_cell(own, len(counts))], kind="stable")[:first]
+                keys.append(own[rare])
                 ids.append(set_id)
                 sizes.append(n)
             if ids:
@@ -118,62 +147,78 @@ def _prefixes(k: int, percent: int, common):
                         "key": np.concatenate(keys).astype(np.int64),
                         "set_id": np.repeat(np.array(ids, np.int64), each),
                         "n": np.repeat(np.array(sizes, np.int32), each),
+                        "pos": np.concatenate([np.arange(x, dtype=np.int32) for x in each]),
                     }
                 )
 
     return prefixes
 
 
+def _least_shared(n_a, n_b, percent: int):
+    """How many shingles sets of these sizes must share."""
+    return -(-percent * (n_a + n_b) // (100 + percent))
+
+
 def _meetings(percent: int):
-    """From rows sorted by (key, n, set_id): those whose block has another set of similar size, each with
-    a partner before it. Streams: only the last row is carried on."""
-
-    def row(i, key, set_id, n, partner, known) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict(
-            {
-                "key": key[i],
-                "set_id": set_id[i],
-                "n": n[i].astype(np.int32),
-                "partner": pa.array(partner[i], pa.int64(), mask=~known[i]),
-            }
-        )
+    """From rows sorted by (key, n, set_id): those that may be the first shingle a pair shares, each with a partner before it.
+
+    The smaller set of a pair must have room for the overlap behind the shingle even if both are equally large: such rows are
+    `early`. A row stays if an early row before it, or, early itself, a row behind it, is of similar size. Streams: only the last row is carried on.
+    """
 
     def meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
-        for batch in batches:
-            if not batch.num_rows:
+        for batch in chain(batches, [None]):
+            if batch is None:
+                if held is None:
+                    return
+                rows = {c: np.array([held[c]], dtype=np.int64) for c in ("key", "set_id", "n", "pos")}
+            elif not batch.num_rows:
                 continue
-            key, set_id, n = (batch.column(c).to_numpy().astype(np.int64) for c in ("key", "set_id", "n"))
-            if held:
-                key, set_id, n = (np.append(held[c], x) for c, x in zip(("key", "set_id", "n"), (key, set_id, n)))
+            else:
+                rows = {c: batch.column(c).to_numpy().astype(np.int64) for c in ("key", "set_id", "n", "pos")}
+                if held:
+                    rows = {c: np.append(held[c], x) for c, x in rows.items()}
+            key, set_id, n, pos = rows.values()
             new = np.ones(len(key), bool)
             new[1:] = (key[1:] != key[:-1]) | (set_id[1:] != set_id[:-1])
-            key, set_id, n = key[new], set_id[new], n[new]
-            # close[i]: row i is of similar size as row i - 1 of its block.
-            close = np.zeros(len(key) + 1, bool)
-            close[0] = bool(held) and held["close"]
-            close[1:-1] = (key[1:] == key[:-1]) & (100 * n[:-1] >= percent * n[1:])
-            begins = ~close[:-1]
-            begins[0] = True
-            lead = np.flatnonzero(begins)[np.cumsum(begins) - 1]
-            leader, leader_n = set_id[lead], n[lead]
+            key, set_id, n, pos = key[new], set_id[new], n[new], pos[new]
+            at = np.arange(len(key))
+            early = n - pos >= _least_shared(n, n, percent)
+            first = np.ones(len(key), bool)
+            first[1:] = key[1:] != key[:-1]
+            begin = np.maximum.accumulate(np.where(first, at, 0))
+            before = np.append(-1, np.maximum.accumulate(np.where(early, at, -1))[:-1])
+            here = before >= begin
+            before_n, before_id = np.where(here, n[before], -1), np.where(here, set_id[before], 0)
             if held:
-                leader[lead == 0], leader_n[lead == 0] = held["leader"], held["leader_n"]
-            # The partner is the first row of the run of similar sizes, or the row before if that one is too small.
-            fits = (leader != set_id) & (100 * leader_n >= percent * n)
-            partner = np.where(fits, leader, np.append(0, set_id[:-1]))
-            known = fits | close[:-1]
+                carried = ~here & (begin == 0)
+                before_n[carried], before_id[carried] = held["before_n"], held["before_id"]
+            met = 100 * before_n >= percent * n
+            # The partner is the first row of the run of similar sizes, or the early row before if that one is too small.
+            lead = np.maximum.accumulate(np.where(met, -1, at))
+            leader, leader_n = set_id[lead], n[lead]
             if held:
-                partner[0], known[0] = held["partner"], held["close"]
+                leader[lead < 0], leader_n[lead < 0] = held["leader"], held["leader_n"]
+            fits = met & (100 * leader_n >= percent * n)
+            partner = np.where(fits, leader, before_id)
+            follows = np.zeros(len(key), bool)
+            follows[:-1] = early[:-1] & ~first[1:] & (100 * n[:-1] >= percent * n[1:])
             last = len(key) - 1
-            out = np.flatnonzero((close[:-1] | close[1:])[:last])
+            done = last if batch is not None else last + 1
+            out = np.flatnonzero((met | follows)[:done])
             if len(out):
-                yield row(out, key, set_id, n, partner, known)
-            names = ("key", "set_id", "n", "leader", "leader_n", "partner", "close")
-            held = dict(zip(names, (x[last] for x in (key, set_id, n, leader, leader_n, partner, close))))
-        if held and held["close"]:
-            one = {c: np.array([held[c]]) for c in ("key", "set_id", "n", "partner", "close")}
-            yield row(slice(None), one["key"], one["set_id"], one["n"], one["partner"], one["close"])
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "key": key[out],
+                        "set_id": set_id[out],
+                        "n": n[out].astype(np.int32),
+                        "pos": pos[out].astype(np.int32),
+                        "partner": pa.array(partner[out], pa.int64(), mask=~met[out]),
+                    }
+                )
+            names = ("key", "set_id", "n", "pos", "before_n", "before_id", "leader", "leader_n")
+            held = dict(zip(names, (int(x[last]) for x in (key, set_id, n, pos, before_n, before_id, leader, leader_n))))
 
     return meetings
 
@@ -274,7 +319,7 @@ def _grow(percent: int):
             return {**made, "bits": bits}
 
         def members() -> list[dict]:
-            return [{c: r[c] for c in ("set_id", "n", "label", "bitmap")} for r in open_rows]
+            return [{c: r[c] for c in ("set_id", "n", "pos", "label", "bitmap")} for r in open_rows]
 
         def close_leaf() -> None:
             nonlocal leaf_no
@@ -319,7 +364,7 @@ def _grow(percent: int):
 
 
 _MEMBER = pa.struct(
-    [("set_id", pa.int64()), ("n", pa.int32()), ("label", pa.int64()), ("bitmap", pa.binary())]
+    [("set_id", pa.int64()), ("n", pa.int32()), ("pos", pa.int32()), ("label", pa.int64()), ("bitmap", pa.binary())]
 )
 _NODES = pa.schema(
     [
@@ -338,7 +383,7 @@ _NODES = pa.schema(
 )
 _NODE_SCHEMA = (
     "key long, level int, no long, parent long, bitmap binary, n_min int, n_max int, slack int, "
-    "members array<struct<set_id: long, n: int, label: long, bitmap: binary>>, a long, b long"
+    "members array<struct<set_id: long, n: int, pos: int, label: long, bitmap: binary>>, a long, b long"
 )
 
 
@@ -377,14 +422,16 @@ def _leaf_pairs(one: list[dict], two: list[dict] | None, percent: int) -> Iterat
     size = min(len(m["bitmap"]) for m in (*one, *other))
     side = lambda ms: (
         np.stack([folded(np.frombuffer(m["bitmap"], np.uint8), size) for m in ms]),
-        *(np.array([m[c] for m in ms], dtype=np.int64) for c in ("n", "label", "set_id")),
+        *(np.array([m[c] for m in ms], dtype=np.int64) for c in ("n", "pos", "label", "set_id")),
     )
-    x, n_x, label_x, id_x = side(one)
-    y, n_y, label_y, id_y = (x, n_x, label_x, id_x) if two is None else side(other)
+    x, n_x, pos_x, label_x, id_x = side(one)
+    y, n_y, pos_y, label_y, id_y = (x, n_x, pos_x, label_x, id_x) if two is None else side(other)
     hidden_x, hidden_y = n_x - _count(x), n_y - _count(y)
     for i in range(len(one)):
         most = _count(x[i] & y) + np.minimum(hidden_x[i], hidden_y)
         most = np.minimum(most, np.minimum(n_x[i], n_y))
+        # If this is the first shingle they share, the others stand behind it in both.
+        most = np.minimum(most, np.minimum(n_x[i] - pos_x[i], n_y - pos_y))
         good = ((100 + percent) * most >= percent * (n_x[i] + n_y)) & (label_x[i] != label_y)
         if two is None:
             good[: i + 1] = False
@@ -426,14 +473,14 @@ def _compare(percent: int):
 def tree_candidates(rows: DataFrame, percent: int, steps: Steps) -> DataFrame:
     """Pairs of sets (a < b) of different labels that meet in a block and may reach the similarity.
 
-    ``rows``: key (the block), set_id, n, label, linked, bitmap.
+    ``rows``: key (the block), set_id, n, pos (the block's place in the set), label, linked, bitmap.
     """
     grouped = F.when(F.col("linked"), F.col("label"))
     ordered = rows.repartition("key").sortWithinPartitions(
         F.col("key"), grouped.asc_nulls_last(), F.col("n"), F.col("set_id")
     )
     grown = steps.write(
-        ordered.select("key", "set_id", "n", "label", "bitmap").mapInArrow(_grow(percent), _NODE_SCHEMA),
+        ordered.select("key", "set_id", "n", "pos", "label", "bitmap").mapInArrow(_grow(percent), _NODE_SCHEMA),
         release=True,
     )
     nodes = grown.where("level is not null")
@@ -477,7 +524,7 @@ def jaccard_classes(
     text_col: str = "text",
     percent: int = PERCENT,
     k: int = SHINGLE,
-    common_in_task: int = COMMON_IN_TASK,
+    cells: int = CELLS,
 ) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id, text_hash, label (one per component).
 
@@ -485,8 +532,8 @@ def jaccard_classes(
     smallest doc_id that links reach. Shingles are runs of ``k`` words, A-Z lower-cased; a shorter text is one
     shingle. Null, empty and blank texts have no shingles and link with nothing: their component is their own
     doc_id. Repeated rows are in one component; null ids take part, but are no component's smallest id unless all
-    are null. Other columns are not read; an empty table gives no rows. Shingles of ``common_in_task`` sets of one task come last in
-    the order of shingles: this changes the work, not the result.
+    are null. Other columns are not read; an empty table gives no rows. ``cells`` is the number of counters that order shingles
+    (4 bytes each, sent to all tasks): it changes the work, not the result.
     """
     spark = docs.sparkSession
     steps = Steps(spark)
@@ -497,26 +544,16 @@ def jaccard_classes(
     )
     surveyed = steps.write(
         texts.mapInArrow(
-            _survey(k, common_in_task), "doc_id long, text_hash long, set_id long, n long, bitmap binary, common long"
+            _survey(k, cells), "doc_id long, text_hash long, set_id long, n long, bitmap binary, cells int"
         )
     )
-    members = surveyed.where("common is null").drop("common")
-    # Only the order of shingles depends on this list, so its bound cannot lose a link.
-    often = (
-        surveyed.where("common is not null")
-        .groupBy("common")
-        .agg(F.sum("n").alias("times"))
-        .orderBy(F.desc("times"), "common")
-        .limit(COMMON_LIMIT)
-        .toArrow()
-    )
-    late = np.sort(often.column("common").to_numpy().astype(np.int64).view(np.uint64))
-    shared = spark.sparkContext.broadcast(late)
-    first = texts.select("text").mapInArrow(_prefixes(k, percent, shared), "key long, set_id long, n int")
+    members = surveyed.where("cells is null").drop("cells")
+    shared = spark.sparkContext.broadcast(_order(surveyed, cells))
+    first = texts.select("text").mapInArrow(_prefixes(k, percent, shared), "key long, set_id long, n int, pos int")
     met = steps.write(
         first.repartition("key")
         .sortWithinPartitions("key", "n", "set_id")
-        .mapInArrow(_meetings(percent), "key long, set_id long, n int, partner long"),
+        .mapInArrow(_meetings(percent), "key long, set_id long, n int, pos int, partner long"),
         release=True,
     )
 
@@ -566,7 +603,7 @@ def jaccard_classes(
     labels = components(links, steps)
 
     labelled = met.join(labels.withColumnRenamed("id", "set_id"), "set_id", "left").select(
-        "key", "set_id", "n", F.coalesce("label", "set_id").alias("label"), F.col("label").isNotNull().alias("linked")
+        "key", "set_id", "n", "pos", F.coalesce("label", "set_id").alias("label"), F.col("label").isNotNull().alias("linked")
     )
     labelled = steps.write(labelled, release=True)
     mixed_blocks = (
