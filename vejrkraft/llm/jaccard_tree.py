@@ -6,7 +6,8 @@ rare shingles first, by a sketch of fixed size that counts all shingles: what is
 other documents share. In that order the first shingle that two sets share leaves the rest of both as room for their overlap, so it must
 stand early in both, and in the smaller one earlier still. A shingle's sets are a block; the sets that meet in blocks are compared in two rounds:
 
-1. every set with the partner it meets most often. Linked sets form components;
+1. every set with two partners: the smallest set that it meets most often, and the hub that it meets most often, a block's set with the
+   fewest shingles of its own before the block's. Linked sets form components, and a set that links with any copy of an original mostly links with its hub;
 2. every block that still holds several components, by a signature tree: its nodes hold the OR of their sets' token
    bitmaps and their range of sizes. Pairs of nodes are opened from the top; a pair whose largest possible overlap
    is too small for its sizes is dropped, and sets of one component are not compared again.
@@ -31,6 +32,7 @@ from vejrkraft.llm.words import SHINGLE, chunks, list_column, runs_of, shingle_s
 
 PERCENT = 80
 LEAF = 64
+BITS = 8
 # Counters of the sketch that orders shingles, and how many travel in a row.
 CELLS = 1 << 20
 CELLS_IN_ROW = 1 << 16
@@ -43,8 +45,8 @@ def _set_id(own: np.ndarray) -> int:
 
 
 def bitmap(own: np.ndarray) -> bytes:
-    """A token bitmap with at least two bits per shingle; its halves folded by OR are the bitmap of half the width."""
-    width = max(256, 1 << int(2 * len(own) - 1).bit_length())
+    """A token bitmap with at least ``BITS`` bits per shingle; its halves folded by OR are the bitmap of half the width."""
+    width = max(256, 1 << int(BITS * len(own) - 1).bit_length())
     bits = np.zeros(width, dtype=bool)
     bits[(own >> np.uint64(20)) % np.uint64(width)] = True
     return np.packbits(bits, bitorder="little").tobytes()
@@ -590,6 +592,14 @@ def jaccard_classes(
 
     times = met.where("partner is not null").groupBy("set_id", "partner").agg(F.count(F.lit(1)).alias("times"))
     best = times.groupBy("set_id").agg(F.max_by("partner", F.struct("times", "partner")).alias("partner"))
+    # The hub of a block: the one with the earliest place, of equal ones the smallest.
+    place = F.col("pos").cast("long") * (1 << 32) + F.col("n")
+    hubs = met.groupBy("key").agg(F.min_by("set_id", place).alias("hub"), F.min_by("n", place).alias("hub_n"))
+    alike = (100 * F.col("n") >= percent * F.col("hub_n")) & (100 * F.col("hub_n") >= percent * F.col("n"))
+    to_hub = met.join(hubs, "key").where((F.col("set_id") != F.col("hub")) & alike)
+    to_hub = to_hub.groupBy("set_id", "hub").agg(F.count(F.lit(1)).alias("times"))
+    to_hub = to_hub.groupBy("set_id").agg(F.max_by("hub", F.struct("times", "hub")).alias("partner"))
+    best = best.unionByName(to_hub)
     pairs = best.select(F.least("set_id", "partner").alias("a"), F.greatest("set_id", "partner").alias("b"))
     side = lambda c: bitmaps.select(
         F.col("set_id").alias(c), F.col("n").alias(f"n_{c}"), F.col("bitmap").alias(f"bitmap_{c}")
