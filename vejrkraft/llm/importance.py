@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vejrkraft.llm.names import shield
 from vejrkraft.llm.words import chunks, mixed, words_of
 from vejrkraft.session import staged
 
@@ -249,16 +250,19 @@ def select_documents(
     labelled_rows: int = LABELLED_ROWS,
     seed: int = 29,
 ) -> DataFrame:
-    """The rows of ``docs`` that ``importance_resample`` keeps, with all their columns.
+    """The rows of ``docs`` that ``importance_resample`` keeps, with all their columns, whatever their names.
 
     Rows are weighed again where they lie: no text is shuffled.
     """
+    own = ("_n_grams", "_log_weight", "_key")
+    docs, now, back = shield(docs, *own)
+    id_col, text_col = now[id_col], now[text_col]
     ratio, _, least = _scored(
         docs, labels, id_col, text_col, label_col, keep, buckets, labelled_rows, seed
     )
     again = _weighed(docs, ratio, buckets, id_col, text_col, seed)
     kept = (F.col("_n_grams") > 0) & (F.col("_key") >= least)
-    return again.where(kept).drop("_n_grams", "_log_weight", "_key")
+    return back(again.where(kept).drop(*own))
 
 
 def _learnt_cut(weighed: DataFrame, sample: dict[int, np.ndarray]) -> float:

@@ -5,8 +5,10 @@ seed. A seed's places are sorted; each is matched with the first one and with th
 it, so matches grow with the seeds and not with their pairs. Those two need not have the passage, so runs of as many words
 as a passage has are matched as well: all texts with the same run do share a passage, and the first one stands for all.
 Runs are made only around minimizers of longer k-mers that stand in several texts, of which every such run holds one. The matches of two texts are chained:
-in order in both texts, with a cost for the words between them, through a Fenwick tree. The chains' words are then aligned, which
-finds where a passage begins and ends and how much of it agrees; edits inside a passage are allowed.
+in order in both texts, with a cost for the words between them, through a Fenwick tree. A text of a large family has chains with
+many others over the same words: the best ones that cover its words go first, and a chain left over is only looked at if some of its words are
+in no passage then. The chains' words are aligned, which finds where a passage begins and ends and how much of it agrees; edits inside a passage are
+allowed.
 """
 
 from __future__ import annotations
@@ -16,9 +18,10 @@ from difflib import SequenceMatcher
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vejrkraft.llm.names import shield
 from vejrkraft.llm.steps import Steps
 from vejrkraft.llm.words import chunks, list_column, runs_of, shingles, words_of
 
@@ -31,6 +34,7 @@ LONG = 70  # percent of a passage's words in a long k-mer
 GAP_COST = 0.2
 MARGIN = 40
 SOLID = 4  # words in a row that agree
+LEFT_OUT = 10  # words of a chain that other chains or passages may leave out
 STRANGE = 10  # words that do not agree, between two passages
 
 
@@ -252,7 +256,7 @@ def chain(runs: np.ndarray, cost: float = GAP_COST) -> list[np.ndarray]:
 
 def _chains(k: int, min_words: int, reach: int):
     def chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by (b, a); a pair's matches are bounded by the length of text b."""
+        """Rows come sorted by (b, a); a text's matches are bounded by its length."""
         rest = None
         for batch in batches:
             if not batch.num_rows:
@@ -260,22 +264,25 @@ def _chains(k: int, min_words: int, reach: int):
             cols = [batch.column(c).to_numpy() for c in ("b", "a", "at_b", "at_a", "n")]
             if rest is not None:
                 cols = [np.concatenate([x, y]) for x, y in zip(rest, cols)]
-            change = np.flatnonzero((cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1])) + 1
+            change = np.flatnonzero(cols[0][1:] != cols[0][:-1]) + 1
             cut = change[-1] if len(change) else 0
             rest = [x[cut:] for x in cols]
             if cut:
-                yield _pairs([x[:cut] for x in cols], np.append(0, change), k, min_words, reach)
+                yield _pairs([x[:cut] for x in cols], k, min_words, reach)
         if rest is not None:
-            yield _pairs(rest, np.array([0, len(rest[0])]), k, min_words, reach)
+            yield _pairs(rest, k, min_words, reach)
 
     return chains
 
 
-def _pairs(cols, edges, k: int, min_words: int, reach: int) -> pa.RecordBatch:
+def _pairs(cols, k: int, min_words: int, reach: int) -> pa.RecordBatch:
+    """Chains of all pairs of some texts b, whose rows are whole; of each b, those that cover its words and those to spare."""
     b, a, at_b, at_a, n = cols
-    out = {"b": [], "a": [], "run_b": [], "run_a": [], "run_n": []}
+    change = np.flatnonzero((b[1:] != b[:-1]) | (a[1:] != a[:-1])) + 1
+    edges = np.concatenate([[0], change, [len(b)]])
     sizes = np.diff(edges)
     whole = np.maximum.reduceat(n, edges[:-1]) >= min_words
+    found: list[tuple[int, int, np.ndarray]] = []
     for i in np.flatnonzero((sizes >= MIN_SEEDS) | whole):
         low, high = edges[i], edges[i + 1]
         # A long passage has far more seeds; this only skips pairs that share a phrase.
@@ -284,17 +291,57 @@ def _pairs(cols, edges, k: int, min_words: int, reach: int) -> pa.RecordBatch:
         for runs in chain(anchors(*(x[low:high].astype(np.int64) for x in (at_b, at_a, n)), reach)):
             end = runs[-1]
             if end[0] + end[2] - runs[0, 0] + 2 * (WINDOW + k) >= min_words:
-                out["b"].append(int(b[low]))
-                out["a"].append(int(a[low]))
-                for name, j in (("run_b", 0), ("run_a", 1), ("run_n", 2)):
-                    out[name].append(runs[:, j].tolist())
+                found.append((int(b[low]), int(a[low]), runs))
+    spare = []
+    cuts = runs_of(np.array([x[0] for x in found], dtype=np.int64)) if found else []
+    for low, high in zip(cuts[:-1], cuts[1:]):
+        spare += covering([runs for _, _, runs in found[low:high]])
+    out = {"b": [x[0] for x in found], "a": [x[1] for x in found], "spare": spare}
+    for name, j in (("run_b", 0), ("run_a", 1), ("run_n", 2)):
+        out[name] = [runs[:, j].tolist() for _, _, runs in found]
     return pa.RecordBatch.from_pydict(out, schema=_CHAINS)
 
 
+def covering(chains: list[np.ndarray]) -> list[bool]:
+    """Which chains of a text are to spare: their words lie in chains with more seeds, but for ``LEFT_OUT``."""
+    spans = [(int(r[0, 0]), int(r[-1, 0] + r[-1, 2])) for r in chains]
+    covered = np.zeros(max(end for _, end in spans), dtype=bool)
+    spare = [False] * len(chains)
+    for i in sorted(range(len(chains)), key=lambda i: -int(chains[i][:, 2].sum())):
+        begin, end = spans[i]
+        spare[i] = end - begin - int(covered[begin:end].sum()) < LEFT_OUT
+        if not spare[i]:
+            covered[begin:end] = True
+    return spare
+
+
+def _merged(spans: Column) -> Column:
+    """Spans (start, end) as disjoint ones in order."""
+    last = lambda acc: F.element_at(acc, -1)
+    joined = lambda acc, x: F.struct(
+        last(acc)["start"].alias("start"), F.greatest(last(acc)["end"], x["end"]).alias("end")
+    )
+    return F.aggregate(
+        F.array_sort(spans),
+        F.array().cast("array<struct<start: int, end: int>>"),
+        lambda acc, x: F.when((F.size(acc) == 0) | (F.get(acc, F.size(acc) - 1)["end"] < x["start"]), F.concat(acc, F.array(x))).otherwise(
+            F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(joined(acc, x)))
+        ),
+    )
+
+
+def _open_words(begin: str, end: str, spans: str) -> Column:
+    """Words from ``begin`` to ``end`` that lie in none of the disjoint spans."""
+    shared = lambda x: F.greatest(F.lit(0), F.least(F.col(end), x["end"]) - F.greatest(F.col(begin), x["start"]))
+    inside = F.aggregate(spans, F.lit(0), lambda acc, x: acc + shared(x))
+    return F.col(end) - F.col(begin) - F.coalesce(inside, F.lit(0))
+
+
 _CHAINS = pa.schema(
-    [("b", pa.int64()), ("a", pa.int64()), *[(c, pa.list_(pa.int32())) for c in ("run_b", "run_a", "run_n")]]
+    [("b", pa.int64()), ("a", pa.int64()), ("spare", pa.bool_())]
+    + [(c, pa.list_(pa.int32())) for c in ("run_b", "run_a", "run_n")]
 )
-_CHAIN_SCHEMA = "b long, a long, run_b array<int>, run_a array<int>, run_n array<int>"
+_CHAIN_SCHEMA = "b long, a long, spare boolean, run_b array<int>, run_a array<int>, run_n array<int>"
 
 
 def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -441,42 +488,60 @@ def text_passages(
         matched(runs, min_words, False)
     )
     chains = steps.write(
-        matches.repartition("b", "a")
+        matches.repartition("b")
         .sortWithinPartitions("b", "a", "at_b", "at_a")
         .mapInArrow(_chains(k, min_words, min_words), _CHAIN_SCHEMA)
         .withColumn("chain", F.monotonically_increasing_id()),
         release=True,
     )
 
-    def asked(side: str) -> DataFrame:
-        begin, last = F.get(f"run_{side}", 0), F.element_at(f"run_{side}", -1) + F.element_at("run_n", -1)
-        return chains.select(
-            F.col(side).alias("node"),
-            "chain",
-            F.lit(side).alias("side"),
-            F.greatest(begin - MARGIN, F.lit(0)).alias("low"),
-            (last + MARGIN).alias("high"),
+    begin = lambda side: F.get(f"run_{side}", 0)
+    last = lambda side: F.element_at(f"run_{side}", -1) + F.element_at("run_n", -1)
+
+    def passages(chosen: DataFrame) -> DataFrame:
+        """What alignment makes of some chains."""
+
+        def asked(side: str) -> DataFrame:
+            return chosen.select(
+                F.col(side).alias("node"),
+                "chain",
+                F.lit(side).alias("side"),
+                F.greatest(begin(side) - MARGIN, F.lit(0)).alias("low"),
+                (last(side) + MARGIN).alias("high"),
+            )
+
+        # A row per chain would carry the text with each.
+        wanted = (
+            asked("b")
+            .unionByName(asked("a"))
+            .groupBy("node", F.pmod("chain", F.lit(_DEALS)).alias("deal"))
+            .agg(F.collect_list(F.struct("chain", "side", "low", "high")).alias("asked"))
         )
-
-    # A row per chain would carry the text with each.
-    wanted = (
-        asked("b")
-        .unionByName(asked("a"))
-        .groupBy("node", F.pmod("chain", F.lit(_DEALS)).alias("deal"))
-        .agg(F.collect_list(F.struct("chain", "side", "low", "high")).alias("asked"))
-    )
-    once = texts.join(wanted.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
-    regions = steps.write(
-        once.join(wanted, "node")
-        .select("text", "asked")
-        .mapInArrow(_regions, "chain long, side string, low int, words array<bigint>"),
-        release=True,
-    )
-    part = lambda side: regions.where(F.col("side") == side).select(
-        "chain", F.col("low").alias(f"low_{side}"), F.col("words").alias(f"words_{side}")
-    )
-    both = chains.join(part("b"), "chain").join(part("a"), "chain").drop("chain")
-    return both.mapInArrow(_aligner(min_words, percent), _PASSAGE_SCHEMA)
+        once = texts.join(wanted.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+        regions = steps.write(
+            once.join(wanted, "node")
+            .select("text", "asked")
+            .mapInArrow(_regions, "chain long, side string, low int, words array<bigint>"),
+            release=True,
+        )
+        part = lambda side: regions.where(F.col("side") == side).select(
+            "chain", F.col("low").alias(f"low_{side}"), F.col("words").alias(f"words_{side}")
+        )
+        both = chosen.join(part("b"), "chain").join(part("a"), "chain").drop("chain", "spare")
+        out = steps.write(both.mapInArrow(_aligner(min_words, percent), _PASSAGE_SCHEMA), release=True)
+        steps.forget(regions)
+        return out
+
+    first = passages(chains.where("not spare"))
+    # A text has few passages: those of the chains that cover it.
+    spans = F.collect_set(F.struct(F.col("start_word").alias("start"), F.col("end_word").alias("end")))
+    known = first.groupBy("node").agg(_merged(spans).alias("known"))
+    spare = chains.where("spare").select(F.col("b").alias("node"), "chain", begin("b").alias("begin"), last("b").alias("end"))
+    left = spare.join(known, "node", "left").where(_open_words("begin", "end", "known") >= LEFT_OUT).select("chain")
+    left = steps.write(left, release=True)
+    if not left.head(1):
+        return first
+    return first.unionByName(passages(chains.join(left, "chain", "left_semi")))
 
 
 def _texts(docs: DataFrame, text_col: str) -> DataFrame:
@@ -500,7 +565,8 @@ def repeated_passages(
     document's; places count words from 0, the end is exclusive. Of two texts only one has the
     passage listed, the other keeps it: texts are ordered by their hash, copies of one text by doc_id. A copy
     of a whole text is listed as one passage over all its words. ``other_id`` is the least doc_id of the other text. A passage
-    that stands in several texts is listed against the first and the one before, not against all.
+    that stands in several texts is listed against one or a few of them, not against all; of a passage's words, up to ``LEFT_OUT`` at an end
+    may be left out that only agree with a text not listed.
     Null and empty texts have no words; null ids are reported as null and come last among copies; repeated rows are
     copies. Other columns are not read; an empty table gives no rows.
     """
@@ -572,13 +638,15 @@ def cut_passages(
     k: int = K,
     window: int = WINDOW,
 ) -> DataFrame:
-    """``docs`` without the passages that another text keeps, same columns; texts that were nothing else go.
+    """``docs`` without the passages that another text keeps, same columns, whatever their names; texts that were nothing else go.
 
     Passages are those of ``repeated_passages`` between different texts; copies of a whole text are cut alike. Null texts stay as they are.
     """
     steps = Steps(docs.sparkSession)
+    docs, now, back = shield(docs, "_node", "_spans")
+    text_col = now[text_col]
     found = steps.result(text_passages(_texts(docs, text_col), min_words, percent, k, window, steps))
     spans = found.groupBy("node").agg(F.collect_set(F.struct("start_word", "end_word")).alias("_spans"))
     node = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
     marked = docs.withColumn("_node", node).join(spans.withColumnRenamed("node", "_node"), "_node", "left")
-    return marked.select(*docs.columns, "_spans").mapInArrow(_cutter(text_col), docs.schema)
+    return back(marked.select(*docs.columns, "_spans").mapInArrow(_cutter(text_col), docs.schema))
