@@ -75,8 +75,8 @@ def consumption_hourly(
     """Sum of ``value`` and first known value of each label per key.
 
     Rows without a key are dropped, and a sum of nothing is 0. Rows are first added up per key *and*
-    labels: that step hash-aggregates before the shuffle, while the first-value step
-    sees only one row per combination.
+    labels: that step hash-aggregates before the shuffle, so a key with very many rows leaves a row per combination. The
+    combinations of a key are then put together and sorted once, after their shuffle.
     """
     keys, labels = list(keys), list(labels)
     combos = (
@@ -86,7 +86,7 @@ def consumption_hourly(
     )
     total = F.coalesce(F.sum("_sum"), F.lit(0.0)).alias(value)
     first = [F.min_by(c, F.when(F.col(c).isNotNull(), F.col("_at"))).alias(c) for c in labels]
-    return combos.groupBy(*keys).agg(total, *first)
+    return combos.repartition(*keys).groupBy(*keys).agg(total, *first)
 
 
 def consumption_by_area(
