@@ -1,6 +1,7 @@
 """Importance resampling, toxicity and HTML extraction."""
 
 import random
+import time
 
 import numpy as np
 from fixture_texts import words
@@ -139,6 +140,36 @@ def test_blocks_of_pages():
     assert html_text._main_blocks("<p>" + "a " * 100_000)[1] == ["a " * 99_999 + "a"]
 
 
+def test_nothing_of_an_article_is_lost():
+    blocks = lambda html: html_text._main_blocks(html)[1]
+    inside = "<article><h1>A</h1><h2 id='social-history'>B</h2><section id='related-work'><p>C</p></section><div class='share-prices'>D</div>"
+    inside += "<p>E <span id='copyright'>F</span> <label>G</label></p><div class='related-posts'>X</div><ul class=comments><li>X</ul></article>"
+    assert blocks(inside) == ["A", "B", "C", "D", "E F G"]
+    assert blocks("<main><h1>Title</h1><article><p>A longer body.</p></article></main>") == ["Title", "A longer body."]
+    assert blocks("<h1>Title</h1><article><p>A body that is longer.</p></article>") == ["Title", "A body that is longer."]
+    assert blocks("<article><p>One half.</p></article><section><p>The other.</p></section>") == ["One half.", "The other."]
+    assert blocks('<article><p class="a>one</p><p>two</p></article>') == ["one", "two"]
+    assert blocks("<p title='it's>a</p><b x=\"1>c") == ["a", "c"]
+
+
+def test_depth_costs_nothing():
+    for html in ("<div>" * 100_000 + "deep", "<div>x" * 50_000, "<p><b>" * 30_000 + "x", "<ul><li>" * 30_000 + "x", "<table><tr><td>" * 20_000 + "x", "</div>" * 100_000 + "x"):
+        begin = time.perf_counter()
+        assert html_text._main_blocks(html)[1]
+        assert time.perf_counter() - begin < 3
+
+
+def test_only_the_count_of_subtrees_decides(spark):
+    """Nothing in tag or name tells the box from the text; its wording is the same on ten pages or more, whatever the host's size."""
+    box = "<div class=k><p>Read <b>more</b> of us</p></div>"
+    page = lambda i, extra: f"<article><h1>News {i}</h1>{extra}<p>It was day {i}.</p><p>Yes.</p></article>"
+    rows = [(i, "http://a.org/x", page(i, box if i < 12 else "")) for i in range(400)]
+    rows += [(1000 + i, "http://b.org/x", page(i, box if i < 9 else "")) for i in range(50)]
+    got = {r["page_id"]: r["text"] for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"News {i}\n\nIt was day {i}.\n\nYes." for i in range(400))
+    assert all(("Read more of us" in got[1000 + i]) == (i < 9) for i in range(50))
+
+
 def test_templates_of_a_host_are_deleted(spark):
     rows = []
     for i in range(40):

@@ -1,14 +1,16 @@
 """Main text of HTML pages by removing the templates of a site.
 
-A page is parsed once into text blocks. Every container element is a subtree with a hash (its tag, class, text and
-children); the hashes are counted per host in Spark, and subtrees that recur across many different pages of a
-host are deleted. Elements that are page furniture by their tag, role or class (menus, headers, footers, forms,
+A page is parsed once into text blocks. Every block element is a subtree with a hash, made of its tag, attributes, own text and the
+hashes of its children; the hashes are counted per host in Spark, and subtrees that recur across many different pages of a
+host are deleted. A paragraph, heading, list item or cell of the main text is never deleted for itself: two authors may write the same
+sentence. Elements that are page furniture by their tag, role or class (menus, headers, footers, forms,
 adverts, notices, comments) go as well, so that a host's first page is cleaned like its thousandth.
 """
 
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from html import unescape
 
@@ -21,11 +23,11 @@ from vejrkraft.llm.url_rules import host_of
 from vejrkraft.session import staged
 
 MIN_PAGES = 10
-MIN_SHARE = 0.05
 
 _TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
+    r"|<(?P<loose_close>/?)(?P<loose>[a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)"  # a quote that does not end
     r"|</[^>]*(?:>|\Z)|(?P<text>[^<]+|<)",
     re.S,
 )
@@ -39,9 +41,11 @@ BLOCKS = _set(
     "footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre "
     "search section summary table tbody td tfoot th thead tr ul"
 )
-CONTAINERS = _set("aside details div dl figure footer form header menu nav ol section table ul")
+HEADINGS = _set("h1 h2 h3 h4 h5 h6")
+# Blocks that hold the author's words themselves; the other blocks hold blocks.
+SENTENCES = HEADINGS | _set("blockquote caption dd dt figcaption legend li option p pre summary td th")
 FURNITURE = _set(
-    "annotation annotation-xml aside audio button canvas datalist dialog footer form frame frameset head iframe input label map menu nav "
+    "annotation annotation-xml aside audio button canvas datalist dialog footer form frame frameset head iframe input map menu nav "
     "noembed noframes noscript object script search select style svg template textarea title video"
 )
 ROLES = _set(
@@ -53,6 +57,11 @@ NAMES = _set(
     "overlay pager pagination popup promo promoted promotion recommended related replies reply respond share sharebar "
     "sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget widgets"
 )
+# Words that only say what kind of box a name is on.
+BOXES = _set(
+    "area articles bar block bottom box btn button buttons container content form group icons inline inner item items left link links list "
+    "module panel posts right row section slot stories top unit wrap wrapper"
+)
 _WITHOUT = _set("no has with without is")
 # An open <p> ends where one of these begins; the others end their own kind.
 _ENDS_P = BLOCKS - _set("body caption dd dt head html legend optgroup option tbody td tfoot th thead tr summary figcaption li")
@@ -81,25 +90,23 @@ def _is_furniture(tag: str, attrs: str, in_article: bool) -> bool:
             return True
         if name == "style" and re.search(r"display\s*:\s*none", value, re.I):
             return True
-        if name in ("class", "id"):
+        if name in ("class", "id") and tag in BLOCKS and tag not in HEADINGS:
             for whole in unescape(value).lower().split():
                 parts = [x for x in re.split(r"[^a-z]+", whole) if x]
-                if tag == "article":
-                    parts = parts if len(parts) == 1 else []
-                if not parts or parts[0] in _WITHOUT:
-                    continue
-                ends = {parts[0], parts[-1]}
-                if in_article:  # an article's own header
-                    ends -= {"header"}
-                if ends & NAMES:
+                if in_article or tag == "article":
+                    # Here an author's words may begin or end with such a name; an article has a header of its own.
+                    known = {x for x in parts if x in NAMES and x != "header"}
+                    if known and all(x in known or x in BOXES for x in parts):
+                        return True
+                elif parts and parts[0] not in _WITHOUT and {parts[0], parts[-1]} & NAMES:
                     return True
     return False
 
 
 class _Element:
-    __slots__ = ("tag", "furniture", "article", "main", "hash", "mark", "block")
+    __slots__ = ("tag", "furniture", "article", "main", "hash", "mark")
 
-    def __init__(self, tag: str, parent: "_Element | None", attrs: str, mark: int | None) -> None:
+    def __init__(self, tag: str, parent: "_Element | None", attrs: str) -> None:
         self.tag = tag
         above = parent is not None
         self.article = above and parent.article
@@ -108,18 +115,27 @@ class _Element:
             self.article = True
         role_main = tag == "main" or (attrs and re.search(r"role\s*=\s*[\"']?main\b", attrs, re.I) is not None)
         self.main = (above and parent.main) or (bool(role_main) and not self.furniture)
-        self.mark = mark
-        self.hash = None
-        if mark is not None:
-            self.hash = xxhash.xxh64(tag)
-            self.hash.update(" ".join(attrs.split()))
+        # Text and inline elements count for the block around them.
+        self.mark = parent.mark if above else -1
+        self.hash = parent.hash if above else None
+
+
+class Page:
+    """What parsing leaves of a page: ``blocks`` (text, innermost subtree or -1, rank 2 in an article, 1 in main, else 0, whether
+    it is a headline), and per subtree its hash, the subtree around it (or -1) and whether it may be deleted for itself."""
+
+    def __init__(self) -> None:
+        self.blocks: list[tuple[str, int, int, bool]] = []
+        self.hashes: list[int] = []
+        self.parents: list[int] = []
+        self.whole: list[bool] = []
 
 
-def parse(html: str) -> tuple[list[tuple[str, list[int], int]], list[int]]:
-    """Blocks (text, places of the enclosing subtrees, 2 in an article, 1 in main, else 0), and subtree hashes."""
+def parse(html: str) -> Page:
+    """Reads a page once; the work per tag does not grow with the depth of the tags around it."""
+    page = Page()
     stack: list[_Element] = []
-    blocks: list[tuple[str, list[int], int]] = []
-    marks: list[int] = []
+    open_at: dict[str, list[int]] = defaultdict(list)  # places in the stack, by tag
     pieces: list[str] = []
 
     def flush() -> None:
@@ -129,33 +145,54 @@ def parse(html: str) -> tuple[list[tuple[str, list[int], int]], list[int]]:
             if text:
                 top = stack[-1] if stack else None
                 rank = 2 if top and top.article else 1 if top and top.main else 0
-                blocks.append((text, [e.mark for e in stack if e.mark is not None], rank))
+                page.blocks.append((text, top.mark if top else -1, rank, bool(open_at["h1"])))
 
     def add(text: str) -> None:
-        for element in stack:
-            if element.hash is not None:
-                element.hash.update(text)
-        if not (stack and stack[-1].furniture):
-            pieces.append(text)
+        if stack:
+            if stack[-1].hash is not None:
+                stack[-1].hash.update(text)
+            if stack[-1].furniture:
+                return
+        pieces.append(text)
+
+    def push(tag: str, attrs: str) -> None:
+        parent = stack[-1] if stack else None
+        element = _Element(tag, parent, attrs)
+        if tag in BLOCKS:
+            page.parents.append(element.mark)
+            element.mark = len(page.hashes)
+            page.hashes.append(0)
+            page.whole.append(tag not in SENTENCES)
+            element.hash = xxhash.xxh64(tag)
+            element.hash.update(" ".join(attrs.split()))
+        elif element.hash is not None:
+            element.hash.update(f"<{tag}>")
+        open_at[tag].append(len(stack))
+        stack.append(element)
 
     def pop() -> None:
         element = stack[-1]
         if element.tag in BLOCKS:
             flush()
         stack.pop()
-        if element.hash is not None:
+        open_at[element.tag].pop()
+        if element.tag in BLOCKS:
             digest = element.hash.intdigest()
-            marks[element.mark] = digest - (1 << 64) if digest >> 63 else digest
-
-    def end(tags: frozenset, limit: frozenset) -> None:
-        """Close the nearest open element among ``tags``, not looking beyond ``limit``."""
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i].tag in tags:
-                while len(stack) > i:
-                    pop()
-                return
-            if stack[i].tag in limit:
-                return
+            page.hashes[element.mark] = digest - (1 << 64) if digest >> 63 else digest
+            if stack and stack[-1].hash is not None:
+                stack[-1].hash.update(element.hash.digest())
+
+    def last(tags: frozenset) -> int:
+        return max((open_at[t][-1] for t in tags if open_at[t]), default=-1)
+
+    def end(tags: frozenset, limit: frozenset) -> bool:
+        """Close the nearest open element among ``tags``, if none of ``limit`` was opened after it."""
+        at = last(tags)
+        if at < 0 or last(limit) > at:
+            return False
+        while len(stack) > at:
+            pop()
+        return True
 
     at, size = 0, len(html)
     while at < size:
@@ -168,16 +205,14 @@ def parse(html: str) -> tuple[list[tuple[str, list[int], int]], list[int]]:
         if kind == "cdata":
             add(m.group("cdata"))
             continue
-        tag = m.group("tag")
+        tag = m.group("tag") or m.group("loose")
         if tag is None:
             continue
-        tag = tag.lower()
-        if m.group("close"):
+        tag, attrs = tag.lower(), m.group("attrs") or ""
+        if m.group("close") or m.group("loose_close"):
             if tag == "br":
                 add(" ")
-            elif tag in RAW or tag in VOID:
-                pass
-            elif any(e.tag == tag for e in stack):
+            elif tag not in RAW and tag not in VOID:
                 end(frozenset((tag,)), frozenset())
             continue
         if tag == "br" or tag == "wbr":
@@ -192,26 +227,16 @@ def parse(html: str) -> tuple[list[tuple[str, list[int], int]], list[int]]:
             if tag in _ENDS_P:
                 end(frozenset(("p",)), _P_LIMIT)
             if tag in _ENDS:
-                while True:
-                    before = len(stack)
-                    end(_ENDS[tag], _LIMIT[tag])
-                    if len(stack) == before:
-                        break
+                while end(_ENDS[tag], _LIMIT[tag]):
+                    pass
             flush()
-        if tag in VOID or m.group("attrs").endswith("/") and tag not in BLOCKS and tag not in ("a", "b", "i", "span"):
+        if tag in VOID or attrs.endswith("/") and tag not in BLOCKS and tag not in ("a", "b", "i", "span"):
             continue
-        mark = None
-        if tag in CONTAINERS:
-            mark = len(marks)
-            marks.append(0)
-        stack.append(_Element(tag, stack[-1] if stack else None, m.group("attrs"), mark))
-        for element in stack[:-1]:
-            if element.hash is not None:
-                element.hash.update(f"<{tag}>")
+        push(tag, attrs)
     while stack:
         pop()
     flush()
-    return blocks, marks
+    return page
 
 
 _PARSED = pa.schema(
@@ -220,10 +245,16 @@ _PARSED = pa.schema(
         ("url", pa.string()),
         ("page", pa.int64()),
         ("texts", pa.list_(pa.string())),
-        ("marks", pa.list_(pa.list_(pa.int64()))),
-        ("subtrees", pa.list_(pa.int64())),
+        ("within", pa.list_(pa.int32())),
+        ("hashes", pa.list_(pa.int64())),
+        ("parents", pa.list_(pa.int32())),
+        ("whole", pa.list_(pa.bool_())),
     ]
 )
+_PARSED_SCHEMA = (
+    "page_id long, url string, page long, texts array<string>, within array<int>, hashes array<bigint>, parents array<int>, "
+    "whole array<boolean>"
+)
 
 
 def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,16 +268,51 @@ def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             yield pa.RecordBatch.from_pydict(out, schema=_PARSED)
 
 
-def _main_blocks(html: str) -> tuple[int, list[str], list[list[int]], list[int]]:
-    """Fingerprint of the page's text; texts of its main blocks; the subtrees around each; all subtrees."""
-    blocks, marks = parse(html)
-    # A page's articles, or its main element, count as its main text only if they hold half of what stands around them.
-    size = [sum(len(text) for text, _, rank in blocks if rank >= least) for least in range(3)]
-    best = 2 if size[2] and 2 * size[2] >= size[0] else 1 if size[1] and 2 * size[1] >= size[0] else 0
-    kept = [(text, [marks[i] for i in around]) for text, around, rank in blocks if rank >= best]
-    texts = [text for text, _ in kept]
-    digest = xxhash.xxh64("\n".join(texts)).intdigest()
-    return digest - (1 << 64) if digest >> 63 else digest, texts, [a for _, a in kept], sorted(set(marks))
+def _main_blocks(html: str) -> tuple[int, list[str], list[int], list[int], list[int], list[bool]]:
+    """Fingerprint of the page's main text; texts of its blocks and their innermost subtrees; the subtrees around main text
+    (renumbered): hashes, parents, and which may be deleted for themselves.
+
+    The main text is that of the main element if it holds half of all; else of the articles, with the page's one headline if they have
+    none, if they hold two thirds; else all, and then paragraphs that recur are templates too.
+    """
+    page = parse(html)
+    size = [sum(len(text) for text, _, rank, _ in page.blocks if rank >= least) for least in range(3)]
+    best = 1 if 2 * size[1] >= size[0] and any(rank == 1 for _, _, rank, _ in page.blocks) else 2 if 3 * size[2] >= 2 * size[0] > 0 else 0
+    above = [i for i, (_, _, rank, headline) in enumerate(page.blocks) if headline and rank < best]
+    if best == 1 or len(above) != 1 or any(rank == 2 and headline for _, _, rank, headline in page.blocks):
+        above = []
+    kept = [(text, mark) for i, (text, mark, rank, _) in enumerate(page.blocks) if rank >= best or i in above]
+    # Only subtrees around these blocks can take text away.
+    used: set[int] = set()
+    for _, mark in kept:
+        while mark >= 0 and mark not in used:
+            used.add(mark)
+            mark = page.parents[mark]
+    number = {mark: i for i, mark in enumerate(sorted(used))}
+    digest = xxhash.xxh64("\n".join(text for text, _ in kept)).intdigest()
+    return (
+        digest - (1 << 64) if digest >> 63 else digest,
+        [text for text, _ in kept],
+        [number.get(mark, -1) for _, mark in kept],
+        [page.hashes[mark] for mark in number],
+        [number.get(page.parents[mark], -1) for mark in number],
+        [page.whole[mark] or best == 0 for mark in number],
+    )
+
+
+def _without_lost(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts of pages less those inside a lost subtree."""
+    for batch in batches:
+        columns = (batch.column(c).to_pylist() for c in ("texts", "within", "hashes", "parents", "whole", "lost"))
+        texts = []
+        for text, within, hashes, parents, whole, lost in zip(*columns):
+            gone, dead = set(lost), [False] * len(hashes)
+            for i, (own, parent) in enumerate(zip(hashes, parents)):  # a subtree comes after the one around it
+                dead[i] = (whole[i] and own in gone) or (parent >= 0 and dead[parent])
+            texts.append([t for t, mark in zip(text, within) if mark < 0 or not dead[mark]])
+        yield pa.RecordBatch.from_pydict(
+            {"page_id": batch.column("page_id"), "url": batch.column("url"), "texts": pa.array(texts, pa.list_(pa.string()))}
+        )
 
 
 def main_text(
@@ -255,63 +321,39 @@ def main_text(
     url_col: str = "url",
     html_col: str = "html",
     min_pages: int = MIN_PAGES,
-    min_share: float = MIN_SHARE,
 ) -> DataFrame:
     """Per row of ``pages``: page_id, url, text (blocks joined by a blank line, "" if none) and n_chars.
 
-    Blocks come from the page's articles if they hold half of its text, else from its main element if that does, else from its
-    body. A subtree recurs if it
-    stands on at least ``min_pages`` pages of its host with different main text, and on at least ``min_share`` of
-    them: copies of one page count once. Character references are decoded and white space in a block becomes
-    one space. Null html is empty, a null url has the empty host. Repeated rows are extracted each; other
+    Blocks come from the page's main element if it holds half of its text, else from its articles and its headline if the articles hold
+    two thirds, else from its body, where paragraphs count as subtrees too. A subtree recurs if it stands around main text on at least ``min_pages`` pages of its host with different
+    main text: copies of one page count once, and the size of the host does not matter. Character references are decoded and white space in a
+    block becomes one space. Null html is empty, a null url has the empty host. Repeated rows are extracted each; other
     columns are not read; an empty table gives no rows.
     """
     read = pages.select(
         F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")
     )
-    schema = (
-        "page_id long, url string, page long, texts array<string>, marks array<array<bigint>>, subtrees array<bigint>"
-    )
     parsed = staged(
-        read.mapInArrow(_parse_batches, schema).withColumns(
+        read.mapInArrow(_parse_batches, _PARSED_SCHEMA).withColumns(
             {"host": F.coalesce(host_of(F.col("url")), F.lit("")), "row": F.monotonically_increasing_id()}
         )
     )
+    eligible = F.array_distinct(F.filter("hashes", lambda _, i: F.get("whole", i)))
+    stood = parsed.select("host", "page", "row", F.explode(eligible).alias("subtree"))
     # (host, page, subtree) is spread by all three, so a hot host or menu is counted in many tasks.
-    stood = parsed.select("host", "page", F.explode("subtrees").alias("subtree")).distinct()
-    pages_of = parsed.select("host", "page").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
     recurring = (
-        stood.groupBy("host", "subtree")
+        stood.select("host", "page", "subtree")
+        .distinct()
+        .groupBy("host", "subtree")
         .agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") >= min_pages)
-        .join(pages_of, "host")
-        .where(F.col("n") >= min_share * F.col("pages"))
         .select("host", "subtree")
     )
-    # Only pages with a subtree around a main block can lose any.
-    inside = F.array_distinct(F.flatten("marks"))
-    lost = (
-        parsed.where(F.size(inside) > 0)
-        .select("host", "row", F.explode(inside).alias("subtree"))
-        .join(recurring, ["host", "subtree"])
-        .groupBy("row")
-        .agg(F.collect_set("subtree").alias("lost"))
-    )
-    plain = parsed.where(F.size(inside) == 0).select("page_id", "url", "texts")
-    cleaned = (
-        parsed.where(F.size(inside) > 0)
-        .join(lost, "row", "left")
-        .select(
-            "page_id",
-            "url",
-            F.when(F.col("lost").isNull(), F.col("texts"))
-            .otherwise(
-                F.filter("texts", lambda _, i: ~F.arrays_overlap(F.get("marks", i), F.col("lost")))
-            )
-            .alias("texts"),
-        )
-    )
+    lost = stood.join(recurring, ["host", "subtree"]).groupBy("row").agg(F.collect_set("subtree").alias("lost"))
+    marked = parsed.join(lost, "row", "left")
+    touched = marked.where("lost is not null").select("page_id", "url", "texts", "within", "hashes", "parents", "whole", "lost")
+    cleaned = touched.mapInArrow(_without_lost, "page_id long, url string, texts array<string>")
     text = F.array_join("texts", "\n\n")
-    return plain.unionByName(cleaned).select(
+    return marked.where("lost is null").select("page_id", "url", "texts").unionByName(cleaned).select(
         "page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars")
     )
