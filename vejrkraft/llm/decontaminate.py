@@ -1,10 +1,12 @@
-"""Benchmark decontamination by MinHash containment search.
+"""Benchmark decontamination by size-partitioned MinHash containment search.
 
-The test items are the queries, parted by size. An item's sketch is the smallest hashes of its shingles: with
+The test items are the queries. An item's sketch is the smallest hashes of its shingles: with
 n shingles of which a document must hold m, any n - m + 1 of them include one that the document holds, so the
 sketch of that size misses nothing, however long the document. (Signatures of fixed length over
-whole documents would: a short item is a vanishing part of a long document.) Documents are probed with all
-their shingles; those that meet a sketch are verified by exact containment.
+whole documents would: a short item is a vanishing part of a long document.) Items are parted by size, a part for each power of
+two, so sketches of one part have similar lengths and a document too small for a part is not compared with it. A document's
+shingles are looked up in the sketches of each part; a hit names an item, and each item named is verified by exact
+containment.
 
 Items are taken in blocks of bounded size, so what travels with the tasks has a proven bound.
 """
@@ -49,36 +51,55 @@ def _item_sets(k: int):
     return sets
 
 
+class _Part:
+    """Items of similar size: their sketches' hashes, sorted, each with its item, and the fewest shingles any of them needs."""
+
+    def __init__(self, items: np.ndarray, sketches: list[np.ndarray], least: int) -> None:
+        hashes, owner = np.concatenate(sketches), np.repeat(items, [len(s) for s in sketches])
+        order = np.argsort(hashes, kind="stable")
+        self.hashes, self.owner, self.least = hashes[order], owner[order], least
+
+    def candidates(self, hits: np.ndarray) -> np.ndarray:
+        """Items whose sketch holds one of the shingles ``hits``."""
+        low = np.searchsorted(self.hashes, hits, side="left")
+        size = np.searchsorted(self.hashes, hits, side="right") - low
+        at = np.repeat(low, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        return np.unique(self.owner[at])
+
+
 class _Index:
-    """Items of one block: sorted sketch hashes with their items, and sorted shingles of all items."""
+    """Items of one block, parted by size."""
 
     def __init__(self, sets: list[np.ndarray], percent: int) -> None:
+        self.sets = sets
         self.sizes = np.array([len(s) for s in sets])
         self.need = needed(self.sizes, percent)
-        item = np.repeat(np.arange(len(sets)), self.sizes)
-        self.shingles, self.owner = self._sorted(np.concatenate(sets), item)
-        # Size partitions: the sketch grows with the item. Sets are sorted, so their least hashes come first.
+        # Sets are sorted, so their least hashes come first.
         sketch = [s[: n - m + 1] for s, n, m in zip(sets, self.sizes, self.need)]
-        self.sketch = np.unique(np.concatenate(sketch))
-
-    @staticmethod
-    def _sorted(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        order = np.argsort(hashes, kind="stable")
-        return hashes[order], owner[order]
+        size_class = np.array([int(n).bit_length() for n in self.sizes])
+        self.parts = []
+        for c in np.unique(size_class[self.sizes > 0]):
+            items = np.flatnonzero(size_class == c)
+            self.parts.append(_Part(items, [sketch[i] for i in items], int(self.need[items].min())))
+        self.all = np.unique(np.concatenate(sketch))
 
     def matches(self, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Items that a document with the shingles ``own`` contains, and how many of theirs it holds."""
-        place = np.searchsorted(self.sketch, own)
-        place[place == len(self.sketch)] = 0
-        if not (self.sketch[place] == own).any():
+        """Items that a document with the sorted shingles ``own`` contains, and how many of theirs it holds."""
+        place = np.searchsorted(self.all, own)
+        place[place == len(self.all)] = 0
+        hits = own[self.all[place] == own]
+        if not len(hits):
             return _NONE, _NONE
-        low = np.searchsorted(self.shingles, own, side="left")
-        high = np.searchsorted(self.shingles, own, side="right")
-        size = high - low
-        held = np.repeat(low, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-        shared = np.bincount(self.owner[held], minlength=len(self.sizes))
-        found = np.flatnonzero((shared >= self.need) & (self.sizes > 0))
-        return found, shared[found]
+        named = [part.candidates(hits) for part in self.parts if len(own) >= part.least]
+        found, counts = [], []
+        for item in np.sort(np.concatenate([_NONE, *named])).tolist():
+            at = np.searchsorted(own, self.sets[item])
+            at[at == len(own)] = 0
+            shared = int((own[at] == self.sets[item]).sum())
+            if shared >= self.need[item]:
+                found.append(item)
+                counts.append(shared)
+        return np.array(found, dtype=np.int64), np.array(counts, dtype=np.int64)
 
 
 _NONE = np.zeros(0, dtype=np.int64)
