@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vejrkraft.llm.names import shield
+from vejrkraft.llm.steps import small_batches
 from vejrkraft.llm.words import chunks, mixed, words_of
 from vejrkraft.session import staged
 
@@ -195,6 +196,7 @@ def _scored(
     seed: int,
 ):
     """The model, all rows with their weights, and the least key that is kept."""
+    small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sample = labelled_sample(labels, id_col, label_col, labelled_rows)
     ratio = _fitted(texts, sample[1], buckets)

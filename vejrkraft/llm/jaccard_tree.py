@@ -27,12 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vejrkraft.llm.components import components
+from vejrkraft.llm.names import shield
 from vejrkraft.llm.steps import Steps
 from vejrkraft.llm.words import SHINGLE, chunks, list_column, runs_of, shingle_sets, words_of
 
 PERCENT = 80
 LEAF = 64
-BITS = 8
+BITS = 6
 # Counters of the sketch that orders shingles, and how many travel in a row.
 CELLS = 1 << 20
 CELLS_IN_ROW = 1 << 16
@@ -262,8 +263,8 @@ def _narrow(percent: int):
     def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for one, two in zip(batch.column("prints_a").to_pylist(), batch.column("prints_b").to_pylist()):
-                x, y = np.frombuffer(one, np.uint16), np.frombuffer(two, np.uint16)
+            for one, two in zip(batch.column("prints_a"), batch.column("prints_b")):
+                x, y = np.frombuffer(one.as_py(), np.uint16), np.frombuffer(two.as_py(), np.uint16)
                 # The i-th of equal prints can only meet the i-th: both texts' are numbered and compared.
                 most = len(np.intersect1d(_numbered(x), _numbered(y), assume_unique=True))
                 keep.append((100 + percent) * most >= percent * (len(x) + len(y)))
@@ -293,10 +294,12 @@ def _grow(percent: int):
     def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Trees from rows sorted by block: a leaf is up to LEAF rows of a block that follow each other, a
         parent up to LEAF leaves. A block of one leaf is compared at once and gives pairs; of others the nodes go on."""
-        open_rows, leaves, key = [], [], None
+        open_rows, leaves, key, held = [], [], None, 0
         out = {c: [] for c in _NODES.names}
 
         def put(row: dict) -> None:
+            nonlocal held
+            held += 1 + len(row.get("members") or ())
             for c in out:
                 out[c].append(row.get(c))
 
@@ -348,7 +351,7 @@ def _grow(percent: int):
 
         leaf_no = 0
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in chain.from_iterable(batch.slice(at, 512).to_pylist() for at in range(0, batch.num_rows, 512)):
                 if row["key"] != key:
                     close_block()
                     key, leaf_no = row["key"], 0
@@ -356,9 +359,9 @@ def _grow(percent: int):
                     close_leaf()
                 bits = np.frombuffer(row["bitmap"], dtype=np.uint8)
                 open_rows.append({**row, "bits": bits, "n_min": row["n"], "n_max": row["n"]})
-                if len(out["key"]) >= 4096:
+                if held >= 2048:
                     yield pa.RecordBatch.from_pydict(out, schema=_NODES)
-                    out = {c: [] for c in out}
+                    out, held = {c: [] for c in out}, 0
         close_block()
         yield pa.RecordBatch.from_pydict(out, schema=_NODES)
 
@@ -464,8 +467,9 @@ def _compare(percent: int):
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pairs = []
-            for one, two, same in zip(*(batch.column(c).to_pylist() for c in ("members_a", "members_b", "same"))):
-                pairs += _leaf_pairs(one, None if same else two, percent)
+            # Leaves are turned into Python one pair at a time: a batch may hold thousands, with all their bitmaps.
+            for one, two, same in zip(*(batch.column(c) for c in ("members_a", "members_b", "same"))):
+                pairs += _leaf_pairs(one.as_py(), None if same.as_py() else two.as_py(), percent)
             a, b = zip(*pairs) if pairs else ((), ())
             yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
@@ -651,10 +655,12 @@ def one_per_class(
     percent: int = PERCENT,
     k: int = SHINGLE,
 ) -> DataFrame:
-    """The rows of ``docs`` less near-duplicates, same columns: of each component the row with the least id.
+    """The rows of ``docs`` less near-duplicates, same columns, whatever their names: of each component the row with the least id.
 
     Texts without a shingle link with nothing and all stay; of repeated rows one stays.
     """
+    docs, now, back = shield(docs, "_row_id", "_row_hash", "_id", "_hash")
+    id_col, text_col = now[id_col], now[text_col]
     classes = jaccard_classes(docs, id_col, text_col, percent, k)
     first = F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
     stay = (
@@ -672,4 +678,4 @@ def one_per_class(
         .join(stay, same, "left_semi")
         .dropDuplicates(["_row_id", "_row_hash"])
     )
-    return docs.where(blank).unionByName(kept.select(*docs.columns))
+    return back(docs.where(blank).unionByName(kept.select(*docs.columns)))

@@ -6,6 +6,7 @@ import gc
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vejrkraft.session import checkpoint_dir
 
@@ -17,6 +18,25 @@ def drop_shuffles(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+MOST_KEYS = 1 << 19
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+TEXTS_IN_BATCH = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ``TEXTS_IN_BATCH`` rows, unless the session asks for fewer: rows are whole texts here, and Spark's 10,000 of
+    them would stand in memory several times on both sides."""
+    if int(spark.conf.get(_BATCH_ROWS)) > TEXTS_IN_BATCH:
+        spark.conf.set(_BATCH_ROWS, str(TEXTS_IN_BATCH))
+
+
+def among(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """The rows of ``df`` whose ``on`` is among the ``keys``, a table that is cheap to read. Up to ``MOST_KEYS`` keys, counted first, are
+    broadcast (a few bytes each), so that the texts of ``df`` that are not wanted stay where they are."""
+    few = keys.limit(MOST_KEYS + 1).count() <= MOST_KEYS
+    return df.join(F.broadcast(keys) if few else keys, on, "left_semi")
+
+
 class Steps:
     """Tables in the shared folder that one operator writes for itself.
 
@@ -24,6 +44,7 @@ class Steps:
     """
 
     def __init__(self, spark: SparkSession) -> None:
+        small_batches(spark)
         self.spark = spark
         self.folders: list[str] = []
 
