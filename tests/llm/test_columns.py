@@ -59,6 +59,6 @@ def test_open_words_of_spans(spark):
     rows = [([], 3, 9), (None, 0, 5), ([(0, 4), (2, 6), (8, 9), (20, 30)], 3, 12), ([(5, 7), (5, 6), (7, 9)], 0, 20), ([(0, 100)], 4, 9)]
     df = spark.createDataFrame(rows, "spans array<struct<start: int, end: int>>, begin int, end int")
     merged = df.withColumn("m", passages._merged(df["spans"]))
-    got = merged.select("m", passages._open_words("begin", "end", "m").alias("n")).collect()
+    got = merged.select("m", passages._open_words(merged["begin"], merged["end"], merged["m"]).alias("n")).collect()
     assert [r["n"] for r in got] == [6, 5, 5, 16, 0]
     assert [tuple(x) for x in got[2]["m"]] == [(0, 6), (8, 9), (20, 30)] and [tuple(x) for x in got[3]["m"]] == [(5, 9)]

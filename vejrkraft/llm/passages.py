@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vejrkraft.llm.names import shield
-from vejrkraft.llm.steps import Steps
+from vejrkraft.llm.steps import Steps, among
 from vejrkraft.llm.words import chunks, list_column, runs_of, shingles, words_of
 
 K = 6
@@ -330,11 +330,10 @@ def _merged(spans: Column) -> Column:
     )
 
 
-def _open_words(begin: str, end: str, spans: str) -> Column:
-    """Words from ``begin`` to ``end`` that lie in none of the disjoint spans."""
-    shared = lambda x: F.greatest(F.lit(0), F.least(F.col(end), x["end"]) - F.greatest(F.col(begin), x["start"]))
-    inside = F.aggregate(spans, F.lit(0), lambda acc, x: acc + shared(x))
-    return F.col(end) - F.col(begin) - F.coalesce(inside, F.lit(0))
+def _open_words(begin: Column, end: Column, spans: Column) -> Column:
+    """Words from ``begin`` to ``end`` that lie in none of the disjoint spans (null: there are none)."""
+    shared = lambda x: F.greatest(F.lit(0), F.least(end, x["end"]) - F.greatest(begin, x["start"]))
+    return end - begin - F.coalesce(F.aggregate(spans, F.lit(0), lambda acc, x: acc + shared(x)), F.lit(0))
 
 
 _CHAINS = pa.schema(
@@ -345,11 +344,12 @@ _CHAIN_SCHEMA = "b long, a long, spare boolean, run_b array<int>, run_a array<in
 
 
 def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Word hashes of the asked parts of texts; a text's questions come together, so it is split once for them."""
+    """Word hashes (32 bits: they only tell two aligned words apart) of the asked parts of texts; a text's questions come together,
+    so it is split once for them."""
     for batch in batches:
         asked = batch.column("asked")
         for i in range(batch.num_rows):
-            words = words_of(batch.column("text").slice(i, 1)).hash
+            words = (words_of(batch.column("text").slice(i, 1)).hash >> np.uint64(32)).astype(np.uint32).view(np.int32)
             own = pa.RecordBatch.from_struct_array(asked[i].values)
             lows, highs = own.column("low").to_pylist(), own.column("high").to_pylist()
             for at in range(0, own.num_rows, _REGIONS_AT_ONCE):
@@ -357,7 +357,7 @@ def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 found = [words[low:high] for low, high in zip(lows[some], highs[some])]
                 yield pa.RecordBatch.from_pydict(
                     {c: own.column(c).slice(at, _REGIONS_AT_ONCE) for c in ("chain", "side", "low")}
-                    | {"words": list_column(found, pa.int64())}
+                    | {"words": list_column(found, pa.int32())}
                 )
 
 
@@ -482,7 +482,7 @@ def text_passages(
         _recurring, "node long, place int"
     )
     spots = steps.write(recurring.groupBy("node").agg(F.collect_set("place").alias("places")), release=True)
-    held = texts.join(spots.select("node"), "node", "left_semi").dropDuplicates(["node"]).join(spots, "node")
+    held = among(texts, spots.select("node"), "node").dropDuplicates(["node"]).join(spots, "node")
     runs = held.select("node", "text", "places").mapInArrow(_runs_around(min_words, long_k), seed_schema)
     matches = matched(texts.mapInArrow(_seeds(k, window), seed_schema), k, True).unionByName(
         matched(runs, min_words, False)
@@ -517,11 +517,13 @@ def text_passages(
             .groupBy("node", F.pmod("chain", F.lit(_DEALS)).alias("deal"))
             .agg(F.collect_list(F.struct("chain", "side", "low", "high")).alias("asked"))
         )
-        once = texts.join(wanted.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+        wanted = steps.write(wanted, release=True)
+        nodes = steps.write(wanted.select("node").distinct(), release=True)
+        once = among(texts, nodes, "node").dropDuplicates(["node"])
         regions = steps.write(
             once.join(wanted, "node")
             .select("text", "asked")
-            .mapInArrow(_regions, "chain long, side string, low int, words array<bigint>"),
+            .mapInArrow(_regions, "chain long, side string, low int, words array<int>"),
             release=True,
         )
         part = lambda side: regions.where(F.col("side") == side).select(
@@ -529,15 +531,18 @@ def text_passages(
         )
         both = chosen.join(part("b"), "chain").join(part("a"), "chain").drop("chain", "spare")
         out = steps.write(both.mapInArrow(_aligner(min_words, percent), _PASSAGE_SCHEMA), release=True)
-        steps.forget(regions)
+        steps.forget(regions, wanted, nodes)
         return out
 
     first = passages(chains.where("not spare"))
     # A text has few passages: those of the chains that cover it.
     spans = F.collect_set(F.struct(F.col("start_word").alias("start"), F.col("end_word").alias("end")))
     known = first.groupBy("node").agg(_merged(spans).alias("known"))
-    spare = chains.where("spare").select(F.col("b").alias("node"), "chain", begin("b").alias("begin"), last("b").alias("end"))
-    left = spare.join(known, "node", "left").where(_open_words("begin", "end", "known") >= LEFT_OUT).select("chain")
+    # A text's spare chains are no more than its matches, and one row.
+    one = F.struct("chain", begin("b").alias("begin"), last("b").alias("end"))
+    spare = chains.where("spare").groupBy(F.col("b").alias("node")).agg(F.collect_list(one).alias("spares"))
+    still = F.filter("spares", lambda c: _open_words(c["begin"], c["end"], F.col("known")) >= LEFT_OUT)
+    left = spare.join(known, "node", "left").select(F.explode(still).alias("open")).select("open.chain")
     left = steps.write(left, release=True)
     if not left.head(1):
         return first
