@@ -19,6 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vejrkraft.llm.steps import MOST_KEYS
 from vejrkraft.llm.url_rules import host_of
 from vejrkraft.session import staged
 
@@ -350,10 +351,15 @@ def main_text(
         .select("host", "subtree")
     )
     lost = stood.join(recurring, ["host", "subtree"]).groupBy("row").agg(F.collect_set("subtree").alias("lost"))
-    marked = parsed.join(lost, "row", "left")
-    touched = marked.where("lost is not null").select("page_id", "url", "texts", "within", "hashes", "parents", "whole", "lost")
+    lost = staged(lost)
+    rows = lost.select("row")
+    # The number of pages that lose something is known now: pages that lose nothing stay where they are.
+    rows = F.broadcast(rows) if rows.limit(MOST_KEYS + 1).count() <= MOST_KEYS else rows
+    touched = parsed.join(rows, "row", "left_semi").join(lost, "row")
+    touched = touched.select("page_id", "url", "texts", "within", "hashes", "parents", "whole", "lost")
     cleaned = touched.mapInArrow(_without_lost, "page_id long, url string, texts array<string>")
     text = F.array_join("texts", "\n\n")
-    return marked.where("lost is null").select("page_id", "url", "texts").unionByName(cleaned).select(
+    untouched = parsed.join(rows, "row", "left_anti").select("page_id", "url", "texts")
+    return untouched.unionByName(cleaned).select(
         "page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars")
     )
