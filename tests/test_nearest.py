@@ -3,6 +3,7 @@ import random
 
 import pytest
 
+from vejrkraft.operators import nearest
 from vejrkraft.operators.nearest import _balanced_cells, nearest_point
 
 POINTS = "code int, latitude double, longitude double, ord int"
@@ -69,3 +70,30 @@ def test_points_without_coordinates_are_ignored(spark, limit):
 def test_no_points(spark):
     df = spark.createDataFrame([(0.0, 1.0)], "latitude double, longitude double")
     assert nearest_point(df, spark.createDataFrame([], POINTS)).first()["municipality_code"] is None
+
+
+@pytest.fixture
+def met(monkeypatch):
+    """Small cells, and the tables of coordinates that met the points of a cell."""
+    asked, meet = [], nearest._meet
+    monkeypatch.setattr(nearest, "_CELL_POINTS", 64)
+    monkeypatch.setattr(nearest, "_meet", lambda a, cells: asked.append(a.count()) or meet(a, cells))
+    return asked
+
+
+def test_few_cells_are_met_where_points_crowd_into_a_corner(spark, met):
+    points = [(i, 1 / (1 + i), 1 / (1 + i * 37 % 1500 * 3), i) for i in range(3000)]
+    asks = [(i, 1 / (1 + 3 * i), 1 / (2 + i * 7 % 100)) for i in range(300)]
+    df = spark.createDataFrame(asks, "id int, latitude double, longitude double")
+    got = nearest_point(df, spark.createDataFrame(points, POINTS), max_array_points=64)
+    assert {r["id"]: r["municipality_code"] for r in got.collect()} == {i: brute(points, la, lo) for i, la, lo in asks}
+    assert met[0] == 300 and met[1] < 300 * 8
+
+
+def test_coordinates_far_outside_meet_few_cells(spark, met):
+    points = [(i, i * 37 % 200 / 300, i * 53 % 199 / 300, i) for i in range(3000)]
+    asks = [(i, i % 20 / 4 - 0.5, 1000.0 + i) for i in range(300)]
+    df = spark.createDataFrame(asks, "id int, latitude double, longitude double")
+    got = nearest_point(df, spark.createDataFrame(points, POINTS), max_array_points=64)
+    assert {r["id"]: r["municipality_code"] for r in got.collect()} == {i: brute(points, la, lo) for i, la, lo in asks}
+    assert met[0] == 300 and met[1] < 300 * 8

@@ -2,23 +2,33 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Row, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from vejrkraft.functions.numbers import squared_distance
 from vejrkraft.session import staged
 
 # Up to this many points travel with the tasks (about 100 KiB).
 MAX_ARRAY_POINTS = 4096
 # Rows compared with all those points at once: 32 MiB at most.
 _BLOCK_ROWS = 1024
-# Cell search: every level cuts a cell at the quartiles of its own points, 4 x 4 ways, until a leaf holds at most this many points.
+# Cell search: every level cuts a cell at the quartiles of its own points, 4 x 4 ways, until it holds at most this many points (or the
+# tasks know as many boxes as they can); a task then searches them by leaves of a few.
+_CELL_POINTS = 16_384
 _LEAF_POINTS = 64
+# So many coordinates of one cell are searched by one task.
+_PART_ROWS = 20_000
+# Rows compared with all boxes, and pairs of a row and a leaf compared at once: 8 MiB a table.
+_BLOCK_BOXES = 256
+_BLOCK_LEAVES = 16_384
 _QUARTILES = (0.25, 0.5, 0.75)
 _MAX_LEVEL = 15
-# The tables of the upper levels have at most 16**level rows; only those are broadcast.
+# The tables of the upper levels have at most 16**level rows; only those are broadcast or known to the tasks.
 _BROADCAST_LEVELS = 3
 
 
@@ -38,7 +48,7 @@ def nearest_point(
     never nearest. Each distinct
     coordinate is searched once. A small set of points (looked at first, up to the limit only)
     travels with the tasks, which compare whole Arrow batches with it: on a trial 40 times
-    faster than an array expression per row. A larger set is searched through a tree of cells cut at its own quartiles.
+    faster than an array expression per row. A larger set is searched through cells cut at its own quartiles, a cell a task.
     """
     pts = points.select(
         F.col(lat).cast("double").alias("p_lat"),
@@ -66,11 +76,6 @@ def _usable(lat: str, lon: str) -> Column:
     return (F.abs(lat) < infinite) & (F.abs(lon) < infinite)
 
 
-def _candidate(lat: Column, lon: Column, order: Column, code: Column) -> Column:
-    d2 = squared_distance(F.col("q_lat"), F.col("q_lon"), lat, lon)
-    return F.struct(d2.alias("d2"), order.alias("ord"), code.alias("code"))
-
-
 def _search_batches(coords: DataFrame, pts: DataFrame, few: list[Row]) -> DataFrame:
     """``few`` holds all points, in order: the first of the nearest ones is the answer."""
     lats = np.array([p["p_lat"] for p in few], dtype=float)
@@ -93,81 +98,172 @@ def _search_batches(coords: DataFrame, pts: DataFrame, few: list[Row]) -> DataFr
 
 
 def _search_cells(coords: DataFrame, pts: DataFrame) -> DataFrame:
-    """Exact descent through nested cells.
+    """Exact search through the cells of a tree, in two rounds.
 
-    Every cell knows the bounding box of its points. The farthest corner of a box is an upper bound
-    for the nearest point, the nearest edge a lower bound. On each level a coordinate keeps the
-    cells whose lower bound does not exceed its best upper bound, so the true nearest point (and
-    every equally near one) survives, and pairs are only formed with a handful of cells.
+    Tasks know the bounding box of every cell. A coordinate first meets the points of the cell whose box is nearest, then those of
+    every other cell whose box is not farther than the point found there, so the nearest point (and every equally near
+    one) is met. However far away a coordinate lies, it meets a handful of cells.
     """
     # Points on the same spot: only the first in order can win.
     pts = staged(
         pts.groupBy("p_lat", "p_lon").agg(F.min(F.struct("p_ord", "p_code")).alias("first"))
         .select("p_lat", "p_lon", F.col("first.p_ord").alias("p_ord"), F.col("first.p_code").alias("p_code"))
     )
-    # A 4 x 4 numbering per level: the parent of a cell is its number shifted by one level.
-    leaves, depth = _balanced_cells(pts)
-    front = coords.withColumn("cell", F.lit(0).cast("long"))
-    for level in range(1, depth + 1):
-        boxes = leaves.groupBy(F.shiftright("cell", 4 * (depth - level)).alias("child")).agg(
-            F.min("p_lat").alias("lat0"),
-            F.max("p_lat").alias("lat1"),
-            F.min("p_lon").alias("lon0"),
-            F.max("p_lon").alias("lon1"),
-        )
-        boxes = boxes.withColumn("parent", F.shiftright("child", 4))
-        if level <= _BROADCAST_LEVELS:
-            boxes = F.broadcast(boxes)
-        near = front.join(boxes, F.col("cell") == F.col("parent")).select(
-            "q_lat", "q_lon", F.col("child").alias("cell"), *_bounds()
-        )
-        # A coordinate holds 16 children per cell it kept: a few dozen rows at most.
-        bound = F.min("most").over(Window.partitionBy("q_lat", "q_lon"))
-        front = near.withColumn("best", bound).where(F.col("least") <= F.col("best"))
-        front = staged(front.select("q_lat", "q_lon", "cell"))
-    pairs = front.join(leaves, "cell")
-    choice = _candidate(F.col("p_lat"), F.col("p_lon"), F.col("p_ord"), F.col("p_code"))
+    cells, _ = _balanced_cells(pts, _CELL_POINTS, _BROADCAST_LEVELS)
+    edges = [f(c) for c in ("p_lat", "p_lon") for f in (F.min, F.max)]
+    found = cells.groupBy("cell").agg(*edges).collect()
+    numbers, boxes = np.array([r[0] for r in found], dtype=int), np.array([r[1:] for r in found], dtype=float).T
+
+    @F.pandas_udf("long")
+    def first_cell(la: pd.Series, lo: pd.Series) -> pd.Series:
+        return pd.Series([n for b in _blocks(len(la)) for n in numbers[_least(la[b], lo[b], boxes).argmin(axis=1)]], dtype="int64")
+
+    @F.pandas_udf("array<long>")
+    def other_cells(la: pd.Series, lo: pd.Series, met: pd.Series, d2: pd.Series) -> pd.Series:
+        out = []
+        for b in _blocks(len(la)):
+            near = (_least(la[b], lo[b], boxes) <= d2[b].to_numpy()[:, None]) & (numbers != met[b].to_numpy()[:, None])
+            out += [numbers[row] for row in near]
+        return pd.Series(out, dtype=object)
+
+    near = staged(_meet(staged(coords.withColumn("cell", first_cell("q_lat", "q_lon"))), cells))
+    others = F.explode(other_cells("q_lat", "q_lon", "cell", "d2")).alias("cell")
+    rest = _meet(staged(near.select("q_lat", "q_lon", others)), cells)
     return (
-        pairs.groupBy("q_lat", "q_lon")
-        .agg(F.min(choice).alias("best"))
+        near.unionByName(rest).groupBy("q_lat", "q_lon")
+        .agg(F.min(F.struct("d2", "ord", "code")).alias("best"))
         .select("q_lat", "q_lon", F.col("best.code").alias("found_code"))
     )
 
 
-def _balanced_cells(pts: DataFrame) -> tuple[DataFrame, int]:
-    """Distinct points with the number of their leaf, and the depth of the tree.
+def _meet(asked: DataFrame, cells: DataFrame) -> DataFrame:
+    """``asked`` with the nearest point of its ``cell``: ``q_lat, q_lon, cell, d2, ord, code``.
 
-    A cell is cut at the quartiles of its points' latitudes, and each strip at the quartiles of its longitudes. Strips of
-    points on one latitude are cut by longitude in full, so every level leaves a third of the points in a cell at most (a quarter but for the
-    quartiles' error), however they are spread, and the depth follows the logarithm of their number.
+    A task takes a cell's points, in their order, before the coordinates that ask for them. Many coordinates in one cell are dealt out to
+    parts, each with a copy of the points.
     """
-    leaves, depth = staged(pts.withColumn("cell", F.lit(0).cast("long"))), 0
-    while depth < _MAX_LEVEL:
-        largest = leaves.groupBy("cell").count().agg(F.max("count")).first()[0]
-        if depth >= 2 and (largest or 0) <= _LEAF_POINTS:
+    parts = asked.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / _PART_ROWS).alias("_parts"))
+    parts = F.broadcast(parts)  # a row per cell
+    part = F.pmod(F.xxhash64("q_lat", "q_lon"), F.col("_parts"))
+    asks = asked.join(parts, "cell").select("cell", part.alias("part"), F.lit(True).alias("asks"), F.col("q_lat").alias("lat"), F.col("q_lon").alias("lon"))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1))
+    points = cells.join(parts, "cell").select(
+        "cell", every.alias("part"), F.lit(False).alias("asks"),
+        F.col("p_lat").alias("lat"), F.col("p_lon").alias("lon"), F.col("p_ord").alias("ord"), F.col("p_code").alias("code"),
+    )
+    # A number of partitions of its own: the rows are few bytes, but much work.
+    n = int(asked.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = points.unionByName(asks, allowMissingColumns=True).repartition(n, "cell", "part")
+    types = {f.name: f.dataType.simpleString() for f in rows.schema}
+    out = f"q_lat double, q_lon double, cell long, d2 double, ord {types['ord']}, code {types['code']}"
+    return rows.sortWithinPartitions("cell", "part", "asks", "ord", "code").mapInArrow(_nearest_met, out)
+
+
+def _nearest_met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come by cell and part, the points before those that ask."""
+    key, points, spots = None, [], None
+    for batch in batches:
+        cell, part, asks, lat, lon = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("cell", "part", "asks", "lat", "lon"))
+        changes = np.flatnonzero((np.diff(cell) != 0) | (np.diff(part) != 0) | (asks[1:] != asks[:-1])) + 1
+        for begin, end in zip([0, *changes], [*changes, len(cell)]):
+            if end == begin:
+                continue
+            if (cell[begin], part[begin]) != key:
+                key, points, spots = (cell[begin], part[begin]), [], None
+            if not asks[begin]:
+                points.append(batch.slice(begin, end - begin))
+                continue
+            if spots is None:
+                known = pa.Table.from_batches(points).combine_chunks()
+                spots = _Spots(known["lat"].to_numpy(), known["lon"].to_numpy())
+            d2, at = spots.nearest(lat[begin:end], lon[begin:end])
+            first = known.take(pa.array(at))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(lat[begin:end]), pa.array(lon[begin:end]), pa.array(cell[begin:end]), pa.array(d2)]
+                + [pa.concat_arrays(first[c].chunks) for c in ("ord", "code")],
+                names=["q_lat", "q_lon", "cell", "d2", "ord", "code"],
+            )
+
+
+class _Spots:
+    """A cell's points in leaves of neighbours: strips by latitude, each cut by longitude."""
+
+    def __init__(self, lat: np.ndarray, lon: np.ndarray):
+        leaves = -(-len(lat) // _LEAF_POINTS)
+        strip = _LEAF_POINTS * -(-leaves // math.ceil(math.sqrt(leaves)))
+        rank = np.empty(len(lat), dtype=int)
+        rank[np.argsort(lat, kind="stable")] = np.arange(len(lat))
+        order = np.lexsort((lon, rank // strip))
+        # The last leaf is filled up with its last point.
+        self.at = np.pad(order, (0, -len(order) % _LEAF_POINTS), mode="edge").reshape(-1, _LEAF_POINTS)
+        self.lat, self.lon = lat[self.at], lon[self.at]
+        self.boxes = np.array([self.lat.min(axis=1), self.lat.max(axis=1), self.lon.min(axis=1), self.lon.max(axis=1)])
+
+    def nearest(self, la: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Squared distance and place of the nearest point; the first place of equally near ones."""
+        d2, at = np.empty(len(la)), np.empty(len(la), dtype=int)
+        for b in _blocks(len(la)):
+            least = _least(la[b], lo[b], self.boxes)
+            rows = np.arange(len(least))
+            d2[b], at[b] = best, _ = self._in_leaves(la[b], lo[b], rows, least.argmin(axis=1))
+            rows, leaves = np.nonzero(least <= best[:, None])
+            for begin in range(0, len(rows), _BLOCK_LEAVES):
+                r = rows[begin : begin + _BLOCK_LEAVES]
+                d, a = self._in_leaves(la[b], lo[b], r, leaves[begin : begin + _BLOCK_LEAVES])
+                order = np.lexsort((a, d, r))
+                one = order[np.r_[True, np.diff(r[order]) > 0]]
+                r, d, a = r[one] + b.start, d[one], a[one]
+                better = (d < d2[r]) | ((d == d2[r]) & (a < at[r]))
+                d2[r[better]], at[r[better]] = d[better], a[better]
+        return d2, at
+
+    def _in_leaves(self, la: np.ndarray, lo: np.ndarray, rows: np.ndarray, leaves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        dlat, dlon = la[rows][:, None] - self.lat[leaves], lo[rows][:, None] - self.lon[leaves]
+        d2 = dlat * dlat + dlon * dlon
+        best = d2.min(axis=1)
+        return best, np.where(d2 == best[:, None], self.at[leaves], self.at.size).min(axis=1)
+
+
+def _blocks(n: int) -> list[slice]:
+    return [slice(begin, min(begin + _BLOCK_BOXES, n)) for begin in range(0, n, _BLOCK_BOXES)]
+
+
+def _least(la: pd.Series | np.ndarray, lo: pd.Series | np.ndarray, boxes: np.ndarray) -> np.ndarray:
+    """Squared distance of every coordinate to every box (0 inside). Rounding keeps order, so no point of a box is nearer."""
+    la, lo = np.asarray(la)[:, None], np.asarray(lo)[:, None]
+    dlat = np.maximum(np.maximum(boxes[0] - la, la - boxes[1]), 0.0)
+    dlon = np.maximum(np.maximum(boxes[2] - lo, lo - boxes[3]), 0.0)
+    return dlat * dlat + dlon * dlon
+
+
+def _balanced_cells(pts: DataFrame, most: int = _LEAF_POINTS, levels: int = _MAX_LEVEL) -> tuple[DataFrame, int]:
+    """Distinct points with the number of their cell, and the depth of the tree: cells of ``most`` points, if that takes no more ``levels``.
+
+    A level cuts a cell twice at the quartiles of its points, each time along its longer side, so cells are as long as they are wide
+    where the points allow it. Where over a quarter of the points lie on the far end of the longer side, so that no point is
+    beyond the first quartile, the other side is cut: distinct points have one that can be. The depth follows the
+    logarithm of their number, however they are spread.
+    """
+    cells, depth = staged(pts.withColumn("cell", F.lit(0).cast("long"))), 0
+    quartiles = F.array(*map(F.lit, _QUARTILES))
+    while depth < levels:
+        largest = cells.groupBy("cell").count().agg(F.max("count")).first()[0]
+        if (largest or 0) <= most:
             break
-        for axis in ("p_lat", "p_lon"):
-            cuts = leaves.groupBy(F.col("cell").alias("_cell")).agg(
-                F.percentile_approx(axis, F.array(*map(F.lit, _QUARTILES)), F.lit(1000)).alias("_cuts")
+        for _ in range(2):
+            sides = cells.groupBy(F.col("cell").alias("_cell")).agg(
+                *[F.percentile_approx(c, quartiles, F.lit(1000)).alias(f"_{c}") for c in ("p_lat", "p_lon")],
+                *[F.max(c).alias(f"_{c}_end") for c in ("p_lat", "p_lon")],
+                (F.max("p_lat") - F.min("p_lat") >= F.max("p_lon") - F.min("p_lon")).alias("_tall"),
             )
+            can = [F.get(f"_{c}", F.lit(0)) < F.col(f"_{c}_end") for c in ("p_lat", "p_lon")]
+            by_lat = (F.col("_tall") & can[0]) | ~can[1]
+            cuts = sides.select("_cell", by_lat.alias("_by_lat"), F.when(by_lat, F.col("_p_lat")).otherwise(F.col("_p_lon")).alias("_cuts"))
             if depth < _BROADCAST_LEVELS:
                 cuts = F.broadcast(cuts)
-            cut = leaves.join(cuts, F.col("cell") == F.col("_cell"))
-            digit = sum([(F.col(axis) > F.get("_cuts", F.lit(i))).cast("long") for i in range(3)], F.lit(0).cast("long"))
-            leaves = staged(cut.withColumn("cell", F.col("cell") * 4 + digit).drop("_cell", "_cuts"))
+            cut = cells.join(cuts, F.col("cell") == F.col("_cell"))
+            place = F.when(F.col("_by_lat"), F.col("p_lat")).otherwise(F.col("p_lon"))
+            digit = sum([(place > F.get("_cuts", F.lit(i))).cast("long") for i in range(3)], F.lit(0).cast("long"))
+            cells = staged(cut.withColumn("cell", F.col("cell") * 4 + digit).drop("_cell", "_by_lat", "_cuts"))
         depth += 1
-    return leaves, depth
-
-
-def _bounds() -> list[Column]:
-    def gaps(q: str, low: str, high: str) -> tuple[Column, Column]:
-        below, above = F.col(low) - F.col(q), F.col(q) - F.col(high)
-        least = F.greatest(below, above, F.lit(0.0))
-        most = F.greatest(F.abs(below), F.abs(above))
-        return least, most
-
-    lat_least, lat_most = gaps("q_lat", "lat0", "lat1")
-    lon_least, lon_most = gaps("q_lon", "lon0", "lon1")
-    least = lat_least * lat_least + lon_least * lon_least
-    most = lat_most * lat_most + lon_most * lon_most
-    return [least.alias("least"), most.alias("most")]
+    return cells, depth
