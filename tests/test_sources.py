@@ -233,3 +233,31 @@ def test_lines_of_the_wrong_width_are_kept(spark, folder):
     assert bad.count() == 3 and good.select("b").count() == 4
     with pytest.raises(ValueError, match="have a column"):
         files.read_csv(spark, f"{folder}/1.csv", record="a")
+
+
+def test_pages_as_lines(spark, folder):
+    """Many pages in a file: later files replace earlier ones page by page, later lines earlier ones of their file."""
+    page = lambda o, *stations: json.dumps({"offset": o, "features": [feature(s, "t", 1) for s in stations]})
+    write(f"{folder}/parameter=a/old", "\n".join([page(0, "gone"), page(4, "kept")]))
+    os.utime(f"{folder}/parameter=a/old", (1, 1))
+    write(f"{folder}/parameter=a/new", "\n".join([page(0, "gone", "too"), page(0, "a0", "a1"), page(2, "a2")]))
+    write(f"{folder}/parameter=b/one", "\n".join([page(0, "b0"), page(None, "b1"), page(None, "b2")]))
+    landed = pages.read_observation_pages(spark, folder, lines=True)
+    good, _ = pages.observations(pages.last_landings(landed))
+    assert rows(good.select("parameter", "page", "station_id")) == sorted(
+        [("a", 0, "a0"), ("a", 0, "a1"), ("a", 2, "a2"), ("a", 4, "kept"), ("b", 0, "b0"), ("b", None, "b1"), ("b", None, "b2")], key=repr
+    )
+    ledger = pages.page_ledger(landed, limit=2).where("parameter = 'a'").select("offset", "landings", "rows")
+    assert rows(ledger) == [(0, 3, 2), (2, 1, 1), (4, 1, 1)]
+
+
+def test_files_of_pages_do_not_grow_with_the_pages(spark, folder):
+    from vejrkraft.registry import io_checks
+
+    found = spark.range(5000).select(F.col("id").alias("event_id"), F.lit("a").alias("parameter"), F.col("id").cast("string").alias("s"))
+    item = F.struct(F.struct(F.col("s").alias("stationId")).alias("properties"))
+    out = io_checks._land_twice(spark, found, "event_id", ["parameter"], item, "features", 100)
+    landed = pages.read_observation_pages(spark, out, lines=True)
+    assert landed.count() == 21 and landed.select("file").distinct().count() <= 16
+    good, _ = pages.observations(pages.last_landings(landed))
+    assert good.count() == good.select("station_id").distinct().count() == 5000

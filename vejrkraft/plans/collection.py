@@ -59,26 +59,26 @@ def collect_year(
 
 
 def collect_consumption(
-    spark: SparkSession, page_folder: str, folder: str, overwrite: bool = False
+    spark: SparkSession, page_folder: str, folder: str, overwrite: bool = False, lines: bool = False
 ) -> DataFrame | None:
     """Write the consumption records by month; their coverage of the calendar, or None."""
-    records = read_record_pages(spark, page_folder).drop("ord")
+    records = read_record_pages(spark, page_folder, lines=lines).drop("ord")
     if not write_by_month(records, folder, overwrite=overwrite):
         return None
     return month_coverage(records, F.col("TimeUTC").cast("timestamp"), month_calendar(spark))
 
 
 def profile_stations(
-    spark: SparkSession, kind: str, page_folder: str, detail_folder: str, reject_folder: str
+    spark: SparkSession, kind: str, page_folder: str, detail_folder: str, reject_folder: str, lines: bool = False
 ) -> DataFrame:
     """Sorted station profile of one kind ('wind', 'precipitation', 'sunlight') from every landed page.
 
     Features that were rejected are written, with the reason, to ``observations`` and ``details`` under
-    ``reject_folder`` (replaced if there).
+    ``reject_folder`` (replaced if there). ``lines``: files hold a page per line.
     """
-    landed = pages.last_landings(pages.read_observation_pages(spark, page_folder))
+    landed = pages.last_landings(pages.read_observation_pages(spark, page_folder, lines))
     obs, bad_obs = pages.observations(landed)
-    detail_pages = pages.last_landings(pages.read_detail_pages(spark, detail_folder), by=())
+    detail_pages = pages.last_landings(pages.read_detail_pages(spark, detail_folder, lines), by=())
     details, bad_details = pages.station_details(detail_pages)
     for name, bad in (("observations", bad_obs), ("details", bad_details)):
         bad.write.mode("overwrite").parquet(f"{reject_folder.rstrip('/')}/{name}")

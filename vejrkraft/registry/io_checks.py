@@ -169,7 +169,7 @@ def ndjson_variant(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _land_pages(spark: SparkSession, folder: str) -> str:
-    """Events as service pages: one JSON document of 1,000 features, as the service sends them.
+    """Events as service pages: JSON documents of 1,000 features, as the service sends them, a line each.
 
     Every 'signup' lacks its station, and small values are unreadable text.
     """
@@ -188,15 +188,13 @@ def _land_pages(spark: SparkSession, folder: str) -> str:
     documents = e.groupBy((page * _PAGE_ROWS).alias("offset")).agg(
         F.array_sort(F.collect_list(feature)).alias("features")
     )
-    text = F.to_json(F.struct("features"))
-    documents.select(F.lit("all").alias("parameter"), "offset", text.alias("value")).write.partitionBy(
-        "parameter", "offset"
-    ).text(out)
+    text = F.to_json(F.struct("offset", "features"))
+    documents.select(F.lit("all").alias("parameter"), text.alias("value")).write.partitionBy("parameter").text(out)
     return out
 
 
 def landed_observations(spark: SparkSession, folder: str) -> DataFrame:
-    landed = pages.read_observation_pages(spark, _land_pages(spark, folder))
+    landed = pages.read_observation_pages(spark, _land_pages(spark, folder), lines=True)
     good, bad = pages.observations(pages.last_landings(landed))
     out = good.withColumn("reason", F.lit("good")).unionByName(bad.drop("value_text"))
     return out.select(
@@ -217,7 +215,7 @@ LANDED_SQL = f"""with r as (
 
 def landed_accounting(spark: SparkSession, folder: str) -> DataFrame:
     """Page accounting straight from landed pages."""
-    landed = pages.read_observation_pages(spark, _land_pages(spark, folder))
+    landed = pages.read_observation_pages(spark, _land_pages(spark, folder), lines=True)
     good, _ = pages.observations(pages.last_landings(landed))
     return page_accounting(good).drop("parameter")
 
@@ -252,7 +250,7 @@ def _offset_sql(page: str, step: int) -> str:
 def _land_twice(
     spark: SparkSession, rows: DataFrame, id_col: str, by: list[str], feature: Column, items: str, step: int
 ) -> str:
-    """``rows`` as pages of a service, a JSON document each, in order of ``id_col``."""
+    """``rows`` as pages of a service, a JSON document a line, in order of ``id_col``."""
     out = _folder(spark, "pages")
     page = F.floor(F.col(id_col) / _PAGE_IDS)
     documents = (
@@ -263,8 +261,8 @@ def _land_twice(
     # An earlier landing of one page held half of its rows.
     half = placed.where("page = 1").withColumn(items, F.slice(items, 1, F.size(items).cast("int") / 2))
     for landing in (half, placed):
-        text = landing.select(*by, "offset", F.to_json(F.struct(items)).alias("value"))
-        text.write.mode("append").partitionBy(*by, "offset").text(out)
+        text = landing.select(*by, F.to_json(F.struct("offset", items)).alias("value"))
+        text.write.mode("append").partitionBy(*by).text(out)
     return out
 
 
@@ -302,7 +300,7 @@ def _profile_from_pages(kind: str, parameters: dict[str, str], shift: float = 0.
     def query(spark: SparkSession, folder: str) -> DataFrame:
         obs = _land_parameters(spark, folder, parameters, shift=shift)
         det = _land_details(spark, folder)
-        out = profile_stations(spark, kind, obs, det, _folder(spark, "rejects"))
+        out = profile_stations(spark, kind, obs, det, _folder(spark, "rejects"), lines=True)
         times = [c for c, t in out.dtypes if t.startswith("timestamp")]
         out = out.withColumns({c: iso_text(c) for c in times})
         return out.withColumns({c: F.round(c, 6) for c in ("latitude", "longitude")})
@@ -317,7 +315,7 @@ def _with_stations(sql: str) -> str:
 def page_rejects(spark: SparkSession, folder: str) -> DataFrame:
     """What the profile leaves out is written, with the reason."""
     out = _folder(spark, "rejects")
-    profile_stations(spark, "wind", _land_parameters(spark, folder, WIND), _land_details(spark, folder), out)
+    profile_stations(spark, "wind", _land_parameters(spark, folder, WIND), _land_details(spark, folder), out, lines=True)
     bad = files.read_parquet(spark, f"{out}/observations")
     return bad.groupBy("parameter", "reason").agg(F.count(F.lit(1)).alias("n"))
 
@@ -327,7 +325,7 @@ PAGE_REJECTS_SQL = f"""select {case_sql("event_type", WIND)} as parameter, 'no s
 
 
 def page_ledger(spark: SparkSession, folder: str) -> DataFrame:
-    landed = pages.read_observation_pages(spark, _land_parameters(spark, folder, WIND, step=100))
+    landed = pages.read_observation_pages(spark, _land_parameters(spark, folder, WIND, step=100), lines=True)
     return pages.page_ledger(landed, limit=100).withColumn("rows", F.col("rows").cast("long"))
 
 
@@ -344,7 +342,7 @@ PAGE_LEDGER_SQL = f"""with p as (
 
 def details_pages(spark: SparkSession, folder: str) -> DataFrame:
     """The last details of every station over all pages."""
-    landed = pages.last_landings(pages.read_detail_pages(spark, _land_details(spark, folder)), by=())
+    landed = pages.last_landings(pages.read_detail_pages(spark, _land_details(spark, folder), lines=True), by=())
     good, _ = pages.station_details(landed)
     return latest_details(good)
 
@@ -358,7 +356,7 @@ def record_pages(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_totalprice").alias("ConsumptionkWh"),
     )
     landed = _land_twice(spark, o, "o_orderkey", [], record, "records", _STEP)
-    return pages.read_record_pages(spark, landed).drop("ord")
+    return pages.read_record_pages(spark, landed, lines=True).drop("ord")
 
 
 RECORD_PAGES_SQL = """select strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') as "TimeUTC", null::varchar as "TimeDK",

@@ -284,7 +284,7 @@ def collected_consumption(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_totalprice").alias("ConsumptionkWh"),
     )
     landed = _land_twice(spark, o, "o_orderkey", [], record, "records", 100_000)
-    return collection.collect_consumption(spark, landed, _folder(spark, "months"))
+    return collection.collect_consumption(spark, landed, _folder(spark, "months"), lines=True)
 
 
 COLLECTED_CONSUMPTION_SQL = f"""with m as (select unnest(generate_series(date '{fv.CONSUMPTION_FIRST_MONTH}', date '{fv.CONSUMPTION_LAST_MONTH}', interval 1 month)) as month),

@@ -1,6 +1,7 @@
 """Landed service pages: ``parameter=…/offset=…/*.json`` for observations, ``offset=…`` or one folder else.
 
-A page is one JSON document of a limited number of rows. Every landed page is read. What a set of pages
+A page is one JSON document of a limited number of rows, in a file of its own; with ``lines=True`` files hold a page per line, with its
+``offset`` (``parameter=…/*`` for observations), so their number does not grow with that of the pages. Every landed page is read. What a set of pages
 lacks or holds twice is told by ``page_ledger``; it never decides which rows are used.
 """
 
@@ -8,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vejrkraft import fixed_values as fv
@@ -18,40 +19,46 @@ from vejrkraft.operators.cleaning import split_rejects
 from vejrkraft.schemas import CONSUMPTION_RECORD, DETAIL_PAGE, OBSERVATION_PAGE
 
 
-def _read(spark: SparkSession, folder: str, schema: str) -> DataFrame:
-    """Pages with when and from where they were landed."""
-    pages = spark.read.schema(schema).option("multiLine", True).json(folder)
-    return pages.withColumns(
-        {
-            "landed_at": F.col("_metadata.file_modification_time"),
-            "file": F.col("_metadata.file_path"),
-        }
-    )
+def _read(spark: SparkSession, folder: str, schema: str, lines: bool) -> DataFrame:
+    """Pages with when and from where they were landed, and of a file's ``lines`` their order."""
+    pages = spark.read.schema(schema).option("multiLine", not lines).json(folder)
+    landing = {
+        "landed_at": F.col("_metadata.file_modification_time"),
+        "file": F.col("_metadata.file_path"),
+    }
+    if lines:
+        # A block's lines are numbered as they are read.
+        landing["line"] = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    return pages.withColumns(landing)
+
+
+def _landing(pages: DataFrame) -> list[str]:
+    return [c for c in ("landed_at", "file", "line") if c in pages.columns]
 
 
-def read_observation_pages(spark: SparkSession, folder: str) -> DataFrame:
+def read_observation_pages(spark: SparkSession, folder: str, lines: bool = False) -> DataFrame:
     """``parameter, offset, features, landed_at, file``: one row per landing of a page."""
-    return _read(spark, folder, OBSERVATION_PAGE)
+    return _read(spark, folder, OBSERVATION_PAGE, lines)
 
 
-def read_detail_pages(spark: SparkSession, folder: str) -> DataFrame:
+def read_detail_pages(spark: SparkSession, folder: str, lines: bool = False) -> DataFrame:
     """``offset, features, landed_at, file``; the offset is null in a folder that is not cut by it."""
-    return _read(spark, folder, DETAIL_PAGE)
+    return _read(spark, folder, DETAIL_PAGE, lines)
 
 
 def read_record_documents(
-    spark: SparkSession, folder: str, record: str = CONSUMPTION_RECORD
+    spark: SparkSession, folder: str, record: str = CONSUMPTION_RECORD, lines: bool = False
 ) -> DataFrame:
     """``offset, records, landed_at, file`` of ``{"records": [...]}`` pages; record fields as ``name: type, …``."""
-    return _read(spark, folder, f"records array<struct<{record}>>, offset bigint")
+    return _read(spark, folder, f"records array<struct<{record}>>, offset bigint", lines)
 
 
 def last_landings(pages: DataFrame, by: Sequence[str] = ("parameter",)) -> DataFrame:
-    """Each page once, by its last landing. Pages without an offset are told apart by their file."""
-    place = [*by, "offset", F.when(F.col("offset").isNull(), F.col("file")).alias("_file")]
-    last = pages.groupBy(*place).agg(F.max(F.struct("landed_at", "file")).alias("_last"))
-    kept = last.select(F.col("_last.file").alias("file"))
-    return pages.join(kept, "file", "left_semi")
+    """Each page once, by its last landing. Pages without an offset are told apart by their file (and line)."""
+    landing = _landing(pages)
+    unplaced = F.when(F.col("offset").isNull(), F.struct(*landing[1:]))
+    last = Window.partitionBy(*by, "offset", unplaced).orderBy(*[F.desc(c) for c in landing])
+    return pages.withColumn("_rank", F.rank().over(last)).where("_rank = 1").drop("_rank")
 
 
 def page_ledger(
@@ -65,8 +72,9 @@ def page_ledger(
 
     A page tells its neighbours by two more rows, so no task walks over all pages.
     """
+    landing = _landing(pages)
     sizes = pages.select(
-        *by, "offset", "landed_at", "file", F.coalesce(F.size(items), F.lit(0)).alias("rows")
+        *by, "offset", *landing, F.coalesce(F.size(items), F.lit(0)).alias("rows")
     )
     told = sizes.withColumn(
         "told",
@@ -77,14 +85,14 @@ def page_ledger(
                 F.struct((F.col("offset") - limit).alias("place"), F.lit(-1).alias("step")),
             )
         ),
-    ).select(*by, "told.*", "landed_at", "file", "rows")
+    ).select(*by, "told.*", *landing, "rows")
     step = F.col("step")
     here = step == 0
     return (
         told.groupBy(*by, F.col("place").alias("offset"))
         .agg(
             F.count_if(here).alias("landings"),
-            F.max_by("rows", F.when(here, F.struct("landed_at", "file"))).alias("rows"),
+            F.max_by("rows", F.when(here, F.struct(*landing))).alias("rows"),
             F.count_if(step == 1).alias("_before"),
             F.count_if(step == -1).alias("_after"),
         )
@@ -137,17 +145,18 @@ def observations(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
 def station_details(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Station details of the pages, and the features without a station with the reason.
 
-    ``arrival`` orders them over all pages: by offset, then file, then position.
+    ``arrival`` orders them over all pages: by offset, then file (and line), then position.
     """
     p = "feature.properties"
-    rows = _features(pages, "offset", "file").select(
+    place = ["offset", *_landing(pages)[1:]]
+    rows = _features(pages, *place).select(
         F.col(f"{p}.stationId").alias("station_id"),
         F.col(f"{p}.name").alias("name"),
         F.col(f"{p}.country").alias("country"),
         F.col(f"{p}.status").alias("status"),
         F.col(f"{p}.validFrom").alias("valid_from"),
         F.col(f"{p}.validTo").alias("valid_to"),
-        F.struct("offset", "file", F.col("pos").cast("long").alias("pos")).alias("arrival"),
+        F.struct(*place, F.col("pos").cast("long").alias("pos")).alias("arrival"),
     )
     return split_rejects(rows, {"no station": F.col("station_id").isNotNull()})
 
@@ -159,7 +168,7 @@ def page_records(pages: DataFrame) -> DataFrame:
 
 
 def read_record_pages(
-    spark: SparkSession, folder: str, record: str = CONSUMPTION_RECORD
+    spark: SparkSession, folder: str, record: str = CONSUMPTION_RECORD, lines: bool = False
 ) -> DataFrame:
     """Records of every page under ``offset=…``, each page once."""
-    return page_records(last_landings(read_record_documents(spark, folder, record), by=()))
+    return page_records(last_landings(read_record_documents(spark, folder, record, lines), by=()))
