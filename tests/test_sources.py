@@ -261,3 +261,11 @@ def test_files_of_pages_do_not_grow_with_the_pages(spark, folder):
     assert landed.count() == 21 and landed.select("file").distinct().count() <= 16
     good, _ = pages.observations(pages.last_landings(landed))
     assert good.count() == good.select("station_id").distinct().count() == 5000
+
+
+def test_archive_without_entries_gives_no_rows(spark, folder):
+    with zipfile.ZipFile(f"{folder}/empty.zip", "w"):
+        pass
+    with zipfile.ZipFile(f"{folder}/full.zip", "w") as z:
+        z.writestr("a.csv", "n\n1\n2\n")
+    assert rows(files.read_zipped_csv(spark, folder, ["n"], {"n": "int"}, entries="all").select("n")) == [(1,), (2,)]

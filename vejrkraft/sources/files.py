@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import zipfile
 from collections.abc import Iterator, Mapping, Sequence
 
@@ -70,6 +71,32 @@ def split_records(df: DataFrame, record: str) -> tuple[DataFrame, DataFrame]:
     return df.where(good).drop(record), df.where(bad).select(record)
 
 
+class _Stored(io.RawIOBase):
+    """A stored file as ``zipfile`` knows files: a place before its beginning is an OSError, also for an archive without entries."""
+
+    def __init__(self, data: pa.NativeFile):
+        self.data = data
+
+    def readable(self) -> bool:
+        return True
+
+    seekable = readable
+
+    def readinto(self, buffer) -> int:
+        chunk = self.data.read(len(buffer))
+        buffer[: len(chunk)] = chunk
+        return len(chunk)
+
+    def seek(self, offset: int, whence: int = 0) -> int:
+        try:
+            return self.data.seek(offset, whence)
+        except pa.ArrowInvalid as e:
+            raise OSError(str(e)) from e
+
+    def tell(self) -> int:
+        return self.data.tell()
+
+
 class _Entry(InputPartition):
     def __init__(self, archive: str, entry: str):
         super().__init__((archive, entry))
@@ -92,7 +119,7 @@ class _ZippedReader(DataSourceReader):
             files = [found.path]
         out = []
         for file in files:
-            with store.open_input_file(file) as data, zipfile.ZipFile(data) as z:
+            with store.open_input_file(file) as data, zipfile.ZipFile(io.BufferedReader(_Stored(data))) as z:
                 names = [n for n in z.namelist() if not n.endswith("/")]
             out += [_Entry(file, n) for n in (names[:1] if self.first else names)]
         return out
@@ -100,7 +127,7 @@ class _ZippedReader(DataSourceReader):
     def read(self, partition: _Entry) -> Iterator[pa.RecordBatch]:
         archive, name = partition.value
         store, _ = fs.FileSystem.from_uri(self.path)
-        with store.open_input_file(archive) as data, zipfile.ZipFile(data) as z, z.open(name) as entry:
+        with store.open_input_file(archive) as data, zipfile.ZipFile(io.BufferedReader(_Stored(data))) as z, z.open(name) as entry:
             for chunk in pd.read_csv(entry, sep=self.sep, dtype=str, chunksize=_CHUNK_ROWS):
                 rows = {c: pa.array(chunk[c] if c in chunk else [None] * len(chunk), pa.string(), from_pandas=True) for c in self.columns}
                 rows["archive"] = pa.array([archive] * len(chunk), pa.string())
