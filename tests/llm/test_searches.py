@@ -275,6 +275,51 @@ def test_a_passage_is_found_beside_texts_that_hold_its_halves(spark):
     assert whole == {(6 * t + 5, 6 * t + 2) for t in range(20)} and len(got) == 20
 
 
+class _Counted(Steps):
+    """Counts the rows of tables of chains."""
+
+    def write(self, df, release=False):
+        out = super().write(df, release)
+        if "run_b" in df.columns:
+            self.chains = [*getattr(self, "chains", []), out.count()]
+        return out
+
+
+def test_a_larger_family_lists_no_more_chains_a_text(spark):
+    """A text has matches with ever more texts of its family; only chains that cover its words are listed."""
+    family = words(1500, 77, 10**6)
+    rows = [(i, " ".join(edited(family, 0.05, i))) for i in range(80)]
+    listed = {}
+    for n in (20, 80):
+        steps = _Counted(spark)
+        texts = spark.createDataFrame(rows[:n], "node long, text string")
+        got = passages.text_passages(texts, 50, 80, passages.K, passages.WINDOW, steps).collect()
+        listed[n] = sum(steps.chains) / n
+        assert {r["node"] for r in got} == set(range(1, n)), "all but the first text hold a passage of another one"
+    assert listed[80] <= 1.2 * listed[20] and listed[80] < 4, listed
+
+
+def test_chains_to_spare_are_found_again_where_words_stay_open():
+    """Text 9 has the same words in common with several texts, by 50 matched words each or by three short matches."""
+    rows = [(9, a, at, at + 100 * a, 50) for a in range(1, 5) for at in (0, 40)]
+    rows += [(9, 5, at, at, 6) for at in (20, 45, 70)] + [(9, 6, at, at, 6) for at in (60, 75, 90, 99)]
+    rows += [(8, 7, 0, 0, 50)]
+    rows.sort()
+    batch = lambda x: pa.RecordBatch.from_pydict(dict(zip(("b", "a", "at_b", "at_a", "n"), map(list, zip(*x)))))
+    listed = lambda x, spare: [
+        r
+        for part in passages._chains(6, 50, 50, spare)(iter([batch(x[:4]), batch(x[4:])]))
+        for r in part.to_pylist()
+    ]
+    first = listed(rows, False)
+    assert [(r["b"], r["a"]) for r in first] == [(8, 7), (9, 1), (9, 6)]
+    assert first[0]["spares"] == [] and [s for r in first[1:] for s in r["spares"]] == [{"begin": 0, "end": 90}]
+    known = lambda *spans: [(9, 9, begin, end, 0) for begin, end in spans]
+    assert [r["a"] for r in listed(rows[1:], True)] == [2, 3, 4, 5]
+    assert [r["a"] for r in listed(rows[1:] + known((0, 85)), True)] == []
+    assert [r["a"] for r in listed(rows[1:] + known((0, 15), (25, 105)), True)] == [2, 3, 4]
+
+
 def test_passages_with_other_words_between_them_are_parted():
     """Equally many other words stand between two passages, all on one diagonal."""
     rng = np.random.default_rng(5)

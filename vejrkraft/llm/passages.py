@@ -6,9 +6,9 @@ it, so matches grow with the seeds and not with their pairs. Those two need not
 as a passage has are matched as well: all texts with the same run do share a passage, and the first one stands for all.
 Runs are made only around minimizers of longer k-mers that stand in several texts, of which every such run holds one. The matches of two texts are chained:
 in order in both texts, with a cost for the words between them, through a Fenwick tree. A text of a large family has chains with
-many others over the same words: the best ones that cover its words go first, and a chain left over is only looked at if some of its words are
-in no passage then. The chains' words are aligned, which finds where a passage begins and ends and how much of it agrees; edits inside a passage are
-allowed.
+many others over the same words: only the best ones that cover its words are listed, and the outermost spans of the others. A text with such a span
+that passages leave open is chained once more, for its chains over the open words. The chains' words are aligned, which finds where a passage begins
+and ends and how much of it agrees; edits inside a passage are allowed.
 """
 
 from __future__ import annotations
@@ -254,9 +254,10 @@ def chain(runs: np.ndarray, cost: float = GAP_COST) -> list[np.ndarray]:
     return out
 
 
-def _chains(k: int, min_words: int, reach: int):
+def _chains(k: int, min_words: int, reach: int, spare: bool):
     def chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by (b, a); a text's matches are bounded by its length."""
+        """Rows come sorted by (b, a); a text's matches are bounded by its length. Lists the chains that cover a text's words; if asked, those to
+        spare that have ``LEFT_OUT`` words outside the known spans instead. A known span is a row (begin at_b, end at_a) with n = 0."""
         rest = None
         for batch in batches:
             if not batch.num_rows:
@@ -268,16 +269,47 @@ def _chains(k: int, min_words: int, reach: int):
             cut = change[-1] if len(change) else 0
             rest = [x[cut:] for x in cols]
             if cut:
-                yield _pairs([x[:cut] for x in cols], k, min_words, reach)
+                yield _pairs([x[:cut] for x in cols], k, min_words, reach, spare)
         if rest is not None:
-            yield _pairs(rest, k, min_words, reach)
+            yield _pairs(rest, k, min_words, reach, spare)
 
     return chains
 
 
-def _pairs(cols, k: int, min_words: int, reach: int) -> pa.RecordBatch:
-    """Chains of all pairs of some texts b, whose rows are whole; of each b, those that cover its words and those to spare."""
+def _pairs(cols, k: int, min_words: int, reach: int, spare: bool) -> pa.RecordBatch:
+    """Chains of all pairs of some texts b, whose rows are whole: of each b those that cover its words, or those to spare that are open."""
+    known: dict[int, list[tuple[int, int]]] = {}
+    for text, begin, end in zip(*(x[cols[4] == 0].tolist() for x in cols[:1] + cols[2:4])):
+        known.setdefault(text, []).append((begin, end))
+    found = _pair_chains([x[cols[4] > 0] for x in cols], k, min_words, reach)
+    listed: list[int] = []
+    spans: list[list[dict]] = []
+    cuts = runs_of(np.array([x[0] for x in found], dtype=np.int64)) if found else []
+    for low, high in zip(cuts[:-1], cuts[1:]):
+        chains = [runs for _, _, runs in found[low:high]]
+        over = covering(chains)
+        if spare:
+            chosen = is_open(chains, known.get(found[low][0], []))
+            listed += [low + i for i in range(high - low) if over[i] and chosen[i]]
+            continue
+        chosen = [low + i for i in range(high - low) if not over[i]]
+        # With all chains shorter than LEFT_OUT, none is listed.
+        listed += chosen
+        spans += [[] for _ in chosen]
+        if chosen:
+            spans[-1] = outermost([runs for runs, x in zip(chains, over) if x])
+    out = {"b": [found[i][0] for i in listed], "a": [found[i][1] for i in listed]}
+    for name, j in (("run_b", 0), ("run_a", 1), ("run_n", 2)):
+        out[name] = [found[i][2][:, j].tolist() for i in listed]
+    out["spares"] = [[]] * len(listed) if spare else spans
+    return pa.RecordBatch.from_pydict(out, schema=_CHAINS)
+
+
+def _pair_chains(cols, k: int, min_words: int, reach: int) -> list[tuple[int, int, np.ndarray]]:
+    """Chains (b, a, runs) of all pairs of some texts."""
     b, a, at_b, at_a, n = cols
+    if not len(b):
+        return []
     change = np.flatnonzero((b[1:] != b[:-1]) | (a[1:] != a[:-1])) + 1
     edges = np.concatenate([[0], change, [len(b)]])
     sizes = np.diff(edges)
@@ -292,19 +324,16 @@ def _pairs(cols, k: int, min_words: int, reach: int) -> pa.RecordBatch:
             end = runs[-1]
             if end[0] + end[2] - runs[0, 0] + 2 * (WINDOW + k) >= min_words:
                 found.append((int(b[low]), int(a[low]), runs))
-    spare = []
-    cuts = runs_of(np.array([x[0] for x in found], dtype=np.int64)) if found else []
-    for low, high in zip(cuts[:-1], cuts[1:]):
-        spare += covering([runs for _, _, runs in found[low:high]])
-    out = {"b": [x[0] for x in found], "a": [x[1] for x in found], "spare": spare}
-    for name, j in (("run_b", 0), ("run_a", 1), ("run_n", 2)):
-        out[name] = [runs[:, j].tolist() for _, _, runs in found]
-    return pa.RecordBatch.from_pydict(out, schema=_CHAINS)
+    return found
+
+
+def _spans(chains: list[np.ndarray]) -> list[tuple[int, int]]:
+    return [(int(r[0, 0]), int(r[-1, 0] + r[-1, 2])) for r in chains]
 
 
 def covering(chains: list[np.ndarray]) -> list[bool]:
     """Which chains of a text are to spare: their words lie in chains with more seeds, but for ``LEFT_OUT``."""
-    spans = [(int(r[0, 0]), int(r[-1, 0] + r[-1, 2])) for r in chains]
+    spans = _spans(chains)
     covered = np.zeros(max(end for _, end in spans), dtype=bool)
     spare = [False] * len(chains)
     for i in sorted(range(len(chains)), key=lambda i: -int(chains[i][:, 2].sum())):
@@ -315,6 +344,25 @@ def covering(chains: list[np.ndarray]) -> list[bool]:
     return spare
 
 
+def outermost(chains: list[np.ndarray]) -> list[dict[str, int]]:
+    """Spans of a text's chains that lie in no other one: if any chain has so many words outside some spans, one of these has."""
+    out, last = [], -1
+    for begin, end in sorted(_spans(chains), key=lambda x: (x[0], -x[1])):
+        if end > last:
+            out.append({"begin": begin, "end": end})
+            last = end
+    return out
+
+
+def is_open(chains: list[np.ndarray], known: list[tuple[int, int]]) -> list[bool]:
+    """Which chains of a text have ``LEFT_OUT`` words or more outside the known spans."""
+    spans = _spans(chains)
+    still = np.ones(max(end for _, end in spans), dtype=bool)
+    for begin, end in known:
+        still[begin:end] = False
+    return [int(still[begin:end].sum()) >= LEFT_OUT for begin, end in spans]
+
+
 def _merged(spans: Column) -> Column:
     """Spans (start, end) as disjoint ones in order."""
     last = lambda acc: F.element_at(acc, -1)
@@ -337,10 +385,11 @@ def _open_words(begin: Column, end: Column, spans: Column) -> Column:
 
 
 _CHAINS = pa.schema(
-    [("b", pa.int64()), ("a", pa.int64()), ("spare", pa.bool_())]
+    [("b", pa.int64()), ("a", pa.int64())]
     + [(c, pa.list_(pa.int32())) for c in ("run_b", "run_a", "run_n")]
+    + [("spares", pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())])))]
 )
-_CHAIN_SCHEMA = "b long, a long, spare boolean, run_b array<int>, run_a array<int>, run_n array<int>"
+_CHAIN_SCHEMA = "b long, a long, run_b array<int>, run_a array<int>, run_n array<int>, spares array<struct<begin: int, end: int>>"
 
 
 def _regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -487,14 +536,17 @@ def text_passages(
     matches = matched(texts.mapInArrow(_seeds(k, window), seed_schema), k, True).unionByName(
         matched(runs, min_words, False)
     )
-    chains = steps.write(
-        matches.repartition("b")
-        .sortWithinPartitions("b", "a", "at_b", "at_a")
-        .mapInArrow(_chains(k, min_words, min_words), _CHAIN_SCHEMA)
-        .withColumn("chain", F.monotonically_increasing_id()),
-        release=True,
-    )
+    matches = steps.write(matches, release=True)
 
+    def chained(rows: DataFrame, spare: bool) -> DataFrame:
+        out = (
+            rows.repartition("b")
+            .sortWithinPartitions("b", "a", "at_b", "at_a")
+            .mapInArrow(_chains(k, min_words, min_words, spare), _CHAIN_SCHEMA)
+        )
+        return steps.write(out.withColumn("chain", F.monotonically_increasing_id()), release=True)
+
+    chains = chained(matches, False)
     begin = lambda side: F.get(f"run_{side}", 0)
     last = lambda side: F.element_at(f"run_{side}", -1) + F.element_at("run_n", -1)
 
@@ -529,24 +581,27 @@ def text_passages(
         part = lambda side: regions.where(F.col("side") == side).select(
             "chain", F.col("low").alias(f"low_{side}"), F.col("words").alias(f"words_{side}")
         )
-        both = chosen.join(part("b"), "chain").join(part("a"), "chain").drop("chain", "spare")
+        both = chosen.join(part("b"), "chain").join(part("a"), "chain").drop("chain", "spares")
         out = steps.write(both.mapInArrow(_aligner(min_words, percent), _PASSAGE_SCHEMA), release=True)
         steps.forget(regions, wanted, nodes)
         return out
 
-    first = passages(chains.where("not spare"))
+    first = passages(chains)
     # A text has few passages: those of the chains that cover it.
     spans = F.collect_set(F.struct(F.col("start_word").alias("start"), F.col("end_word").alias("end")))
     known = first.groupBy("node").agg(_merged(spans).alias("known"))
-    # A text's spare chains are no more than its matches, and one row.
-    one = F.struct("chain", begin("b").alias("begin"), last("b").alias("end"))
-    spare = chains.where("spare").groupBy(F.col("b").alias("node")).agg(F.collect_list(one).alias("spares"))
-    still = F.filter("spares", lambda c: _open_words(c["begin"], c["end"], F.col("known")) >= LEFT_OUT)
-    left = spare.join(known, "node", "left").select(F.explode(still).alias("open")).select("open.chain")
-    left = steps.write(left, release=True)
+    spare = chains.where(F.size("spares") > 0).select(F.col("b").alias("node"), "spares").join(known, "node", "left")
+    still = F.exists("spares", lambda c: _open_words(c["begin"], c["end"], F.col("known")) >= LEFT_OUT)
+    left = steps.write(spare.where(still).select(F.col("node").alias("b"), "known"), release=True)
     if not left.head(1):
+        steps.forget(matches)
         return first
-    return first.unionByName(passages(chains.join(left, "chain", "left_semi")))
+    spans = left.select("b", F.explode("known").alias("x")).select(
+        "b", F.col("b").alias("a"), F.col("x.start").alias("at_b"), F.col("x.end").alias("at_a"), F.lit(0).alias("n")
+    )
+    more = chained(among(matches, left.select("b"), "b").unionByName(spans), True)
+    steps.forget(matches)
+    return first.unionByName(passages(more))
 
 
 def _texts(docs: DataFrame, text_col: str) -> DataFrame:
